@@ -11,40 +11,38 @@ from barworks.operators.positions import attach, block_window, blocks, number_ro
 SEQUENCE_LENGTH = 50
 
 
-def series_median(df, columns, keys=KEYS, accuracy=10000):
-    """Exact median per series and column without sorting a series.
+def series_spread(df, columns, keys=KEYS, accuracy=10000):
+    """Exact `min_`, `max_` and `median_` per series and column, without sorting a series.
 
-    A mergeable sketch brackets the middle ranks, one pass counts what lies below the bracket, and
-    only the distinct values inside it (a few in `accuracy`) are ranked, with their counts.
+    A mergeable sketch brackets the middle ranks; a second pass counts what lies below the bracket and
+    keeps only the distinct values inside it (a few in `accuracy`) with their counts for ranking.
     """
-    margin = 2.0 / accuracy
+    margin, by = 2.0 / accuracy, [*keys, "column"]
     cells = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])).alias("cell"))
     cells = cells.select(*keys, "cell.column", "cell.v").where("v is not null")
-    by = [*keys, "column"]
-    bracket = cells.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("m"),
+    sketch = cells.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("m"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy).alias("q"))
-    bracket = bracket.select(*by, "m", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    wide = _wide(bracket, columns, keys, ("m", "lo", "hi"))
-    rows = attach(df.select(*keys, "timestamp", *columns), wide, keys)
-    below = rows.groupBy(*keys).agg(*[F.count_if(F.col(c) < F.col(f"lo_{c}")).alias(f"below_{c}") for c in columns])
-    inside = rows.select(*keys, F.explode(F.filter(F.array(*[
-        F.when(F.col(c).between(F.col(f"lo_{c}"), F.col(f"hi_{c}")),
-               F.struct(F.lit(c).alias("column"), F.col(c).alias("v"))) for c in columns]),
-        lambda s: s.isNotNull())).alias("cell")).select(*keys, "cell.column", "cell.v")
-    counted = inside.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
-    below = below.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"below_{c}").alias("below")) for c in columns])).alias("b"))
-    upto = Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("rank", F.sum("c").over(upto)).join(
-        below.select(*keys, "b.column", "b.below").join(bracket.select(*by, "m"), by), by)
+    sketch = sketch.select(*by, "m", "min", "max", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    rows = attach(df.select(*keys, "timestamp", *columns),
+                  _wide(sketch, columns, keys, ("m", "min", "max", "lo", "hi")), keys)
+    kept = rows.select(*keys, F.explode(F.filter(F.array(*[
+        F.when(F.col(c) <= F.col(f"hi_{c}"), F.struct(
+            F.lit(c).alias("column"), F.when(F.col(c) >= F.col(f"lo_{c}"), F.col(c)).alias("v"),
+            F.col(f"m_{c}").alias("m"), F.col(f"min_{c}").alias("min"), F.col(f"max_{c}").alias("max")))
+        for c in columns]), lambda s: s.isNotNull())).alias("cell")).select(*keys, "cell.*")
+    counted = kept.groupBy(*by, "v", "m", "min", "max").agg(F.count(F.lit(1)).alias("c"))
+    # the NULL value stands for everything below the bracket and sorts first
+    upto = Window.partitionBy(*by).orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("rank", F.sum("c").over(upto))
     first, second = F.floor((F.col("m") + 1) / 2), F.floor(F.col("m") / 2) + 1
-    top = F.col("below") + F.col("rank")
-    picked = ranked.groupBy(*by).agg(F.min(F.when(top >= first, F.col("v"))).alias("a"),
-                                     F.min(F.when(top >= second, F.col("v"))).alias("b"))
-    middle = picked.select(*by, ((F.col("a") + F.col("b")) / 2).alias("median"))
-    return _wide(middle, columns, keys, ("median",))
+    picked = ranked.groupBy(*by).agg(
+        F.max("min").alias("min"), F.max("max").alias("max"),
+        F.min(F.when(F.col("rank") >= first, F.col("v"))).alias("a"),
+        F.min(F.when(F.col("rank") >= second, F.col("v"))).alias("b"))
+    return _wide(picked.withColumn("median", (F.col("a") + F.col("b")) / 2), columns, keys, ("min", "max", "median"))
 
 
 def _wide(long, columns, keys, names):
@@ -58,14 +56,11 @@ def minmax_scale(df, columns, keys=KEYS):
     A column that is all NULL in a series stays so. The median lies between min and max, so filling
     never moves them.
     """
-    facts = df.groupBy(*keys).agg(*[e for c in columns for e in (
-        F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))])
-    medians = series_median(df, columns, keys).select(*keys, *[F.col(f"median_{c}").alias(f"_md_{c}") for c in columns])
-    rows = attach(df, facts.join(medians, list(keys), "left"), keys)
+    rows = attach(df, series_spread(df, columns, keys), keys)
 
     def scaled(c):
-        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        x = F.coalesce(F.col(c), F.col(f"_md_{c}"))
+        lo, hi = F.col(f"min_{c}"), F.col(f"max_{c}")
+        x = F.coalesce(F.col(c), F.col(f"median_{c}"))
         return F.when(hi == lo, F.lit(0.0)).otherwise((x - lo) / (hi - lo))
     return rows.select(*[scaled(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 

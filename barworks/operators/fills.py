@@ -3,9 +3,8 @@
 from pyspark.sql import functions as F
 
 from barworks.functions.schema import KEYS, VALUES
-from barworks.operators.positions import attach, neighbours, number_rows
-
-_MARKS = ("pr", "pv", "nr", "nv")
+from barworks.operators.positions import locate, located_runs
+from barworks.operators.rows import drop_incomplete
 
 
 def _interpolated(c, limit):
@@ -28,7 +27,7 @@ def _backward(c, limit):
 
 
 def _fill(df, columns, how, order):
-    rows = neighbours(number_rows(df, order), columns)
+    rows = locate(df, columns, order)
     return rows.select(*[how(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
@@ -49,38 +48,27 @@ def bfill(df, columns=VALUES, limit=None, order=("timestamp",)):
 
 def null_run_length(df, columns=VALUES, order=("timestamp",), keys=KEYS):
     """The longest run of consecutive NULLs per series and column."""
-    return _longest(neighbours(number_rows(df, order), columns), columns, keys)
-
-
-def _longest(rows, columns, keys, prefix="run_"):
-    def run(c):
-        length = F.coalesce(F.col(f"nr_{c}"), F.col("n")) - F.coalesce(F.col(f"pr_{c}"), F.lit(-1)) - 1
-        return F.max(F.when(F.col(c).isNull(), length).otherwise(F.lit(0))).alias(f"{prefix}{c}")
-    return rows.groupBy(*keys).agg(*[run(c) for c in columns])
+    return located_runs(df, columns, order, keys)
 
 
-def fill_gaps(df, columns=VALUES, max_gap=5, mode="documented", order=("timestamp",), keys=KEYS):
+def fill_gaps(df, columns=VALUES, max_gap=5, mode="documented", order=("timestamp",)):
     """W10. `documented`: a column whose longest run fits `max_gap` is interpolated, any other is carried
     forward then backward; `effective`: always interpolated (D8). Rows without any indicator go (P6).
     """
-    if mode == "effective":
-        filled = interpolate_linear(df, columns, max_gap, order)
-    else:
-        rows = neighbours(number_rows(df, order), columns)
-        rows = attach(rows, _longest(rows, columns, keys, "_run_"), keys, bucket=F.col("_b"))
+    def both(c):
+        back = F.when(F.col(f"nr_{c}") - F.col("rn") <= max_gap, F.col(f"nv_{c}"))
+        carried = F.coalesce(_forward(c, max_gap), back)
+        return F.when(F.col(f"run_{c}") <= max_gap, _interpolated(c, max_gap)).otherwise(carried)
 
-        def both(c):
-            forward = _forward(c, max_gap)
-            back = F.when(F.col(f"nr_{c}") - F.col("rn") <= max_gap, F.col(f"nv_{c}"))
-            return F.when(F.col(f"_run_{c}") <= max_gap, _interpolated(c, max_gap)).otherwise(F.coalesce(forward, back))
-        filled = rows.select(*[both(c).alias(c) if c in columns else F.col(c) for c in df.columns])
-    return drop_no_indicator(filled)
+    def straight(c):
+        return _interpolated(c, max_gap)
+    return drop_no_indicator(_fill(df, columns, straight if mode == "effective" else both, order))
 
 
 def fill_all(df, columns=VALUES, order=("timestamp",)):
     """Carry forward, then backward, then drop rows that still miss a value."""
     filled = _fill(df, columns, lambda c: F.coalesce(F.col(c), F.col(f"pv_{c}"), F.col(f"nv_{c}")), order)
-    return filled.na.drop("any")
+    return drop_incomplete(filled)
 
 
 def drop_no_indicator(df):
@@ -89,11 +77,10 @@ def drop_no_indicator(df):
     return df.na.drop("all", subset=names) if names else df
 
 
-def carried_close(numbered, limit=5):
+def carried_close(located, limit=5):
     """Add `_x`: the close interpolated `limit` rows into each gap, then carried on (used by W2 and W4)."""
-    rows = neighbours(numbered, ["close"])
     at = F.least(F.col("rn"), F.col("pr_close") + limit)
     slope = (F.col("nv_close") - F.col("pv_close")) / (F.col("nr_close") - F.col("pr_close"))
     x = (F.when(F.col("close").isNotNull(), F.col("close")).when(F.col("nr_close").isNull(), F.col("pv_close"))
          .otherwise(F.col("pv_close") + slope * (at - F.col("pr_close"))))
-    return rows.withColumn("_x", x).drop(*[f"{m}_close" for m in _MARKS])
+    return located.withColumn("_x", x).drop(*[f"{m}_close" for m in ("pr", "pv", "nr", "nv", "run")])

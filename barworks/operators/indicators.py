@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from barworks.functions.schema import KEYS, is_finite
 from barworks.operators.fills import carried_close
 from barworks.operators.positions import (
-    blocks, block_window, neighbours, number_bucket, number_rows, previous)
+    block_window, blocks, locate, number_bucket, number_rows, previous)
+from barworks.session import settle
 
 _DEPTH = math.log(1e18)
 _RANGE = 600  # e^600 is still a double
@@ -236,8 +237,10 @@ def indicators(df, config=None, validate=True, fill=True, flags=False):
     """
     chosen = resolve(config)
     plain = [i for i in chosen if not (fill and isinstance(i, Ema))]
-    numbered = with_first_null(number_rows(df, facts=series_facts()))
-    numbered = carried_close(numbered) if fill else numbered.withColumn("_x", F.col("close"))
+    if fill:
+        numbered = carried_close(with_first_null(locate(df, ["close"], facts=series_facts())))
+    else:
+        numbered = with_first_null(number_rows(df, facts=series_facts())).withColumn("_x", F.col("close"))
     out, _ = compute(numbered, plain)
     out = out.where("_own").drop("_blk", "_own", "_sub")
     for gap_aware in [i for i in chosen if i not in plain]:
@@ -282,9 +285,8 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
     Observed rows get positions of their own; tiles close whenever the accumulated decay passes the
     depth of a double, so factors stay in range however long the gaps are.
     """
-    keep = numbered.columns
-    seen = numbered.where(F.col("close").isNotNull()).drop("_b", "n", "_at")
-    rest = [c for c in keep if c not in ("_b", "n", "rn")]
+    rest = [c for c in numbered.columns if c not in ("_b", "n", "rn")]
+    seen = numbered.where(F.col("close").isNotNull()).drop("_b", "n")
     seen = number_rows(seen.withColumnRenamed("rn", "_at"), order=["_at"], bucket=number_bucket("_at"))
     a, r = 2 / (window + 1), 1 - 2 / (window + 1)
     if window <= 1:
@@ -315,10 +317,10 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
         scanned = rows.where("_own")
     blank = (numbered.where(F.col("close").isNull())
              .select(*rest, F.col("rn").alias("_at"), F.lit(None).cast("double").alias(alias)))
-    both = scanned.select(*rest, "_at", alias).unionByName(blank)
-    again = number_rows(both, order=["_at"], bucket=number_bucket("_at"))
-    out = neighbours(again, [alias]).withColumn(alias, F.col(f"pv_{alias}"))
-    return out.drop(*[f"{s}_{alias}" for s in ("pr", "pv", "nr", "nv")], "_at")
+    # every row was read several times to get here: later passes start from what is written
+    both = settle(scanned.select(*rest, "_at", alias).unionByName(blank))
+    out = locate(both, [alias], order=["_at"], bucket=number_bucket("_at")).withColumn(alias, F.col(f"pv_{alias}"))
+    return out.drop(*[f"{s}_{alias}" for s in ("pr", "pv", "nr", "nv", "run")], "_at")
 
 
 def indicator_check(df, config=None, keys=KEYS):

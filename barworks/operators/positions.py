@@ -89,42 +89,80 @@ def previous(df, values, order, bucket=None, keys=KEYS):
     return out.drop("_first", *[f"_end_{v}" for v in values])
 
 
-def neighbours(df, columns, keys=KEYS):
-    """For numbered rows, add the nearest non-null value at or before (`pv_`, `pr_` its position)
-    and at or after (`nv_`, `nr_`) each row, however far away it is.
+def locate(df, columns, order=("timestamp",), bucket=None, keys=KEYS, facts=None):
+    """`number_rows`, and per column the nearest non-null value at or before each row (`pv_`, at `pr_`),
+    at or after it (`nv_`, at `nr_`), however far away, and the longest NULL run of the series (`run_`).
+
+    Everything that crosses buckets goes through one table of buckets, read from one more pass.
     """
-    ends = df.groupBy(*keys, "_b").agg(*[e for c in columns for e in (
-        F.max(F.when(F.col(c).isNotNull(), F.col("rn"))).alias(f"_pr_{c}"),
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("rn"))).alias(f"_pv_{c}"),
-        F.min(F.when(F.col(c).isNotNull(), F.col("rn"))).alias(f"_nr_{c}"),
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.col("rn"))).alias(f"_nv_{c}"))])
-    up = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(*keys, "_b", *[
-        F.last(f"_{s}_{c}", ignorenulls=True).over(up if s[0] == "p" else down).alias(f"_{s}_{c}")
-        for c in columns for s in ("pr", "pv", "nr", "nv")])
+    facts = facts or {}
+    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     here = Window.partitionBy(*keys, "_b")
-    back = here.orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = here.orderBy(F.col("rn").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = df
-    for frame, r, v in ((back, "pr", "pv"), (ahead, "nr", "nv")):
+    rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
+    rows = rows.withColumn("_k", F.row_number().over(here.orderBy(*order)))
+    first_to_here = (Window.unboundedPreceding, Window.currentRow)
+    back = here.orderBy("_k").rowsBetween(*first_to_here)
+    ahead = here.orderBy(F.col("_k").desc()).rowsBetween(*first_to_here)
+    seen = {c: F.when(F.col(c).isNotNull(), F.col("_k")) for c in columns}
+    for frame, side in ((back, "p"), (ahead, "n")):
         rows = rows.select("*", *[e for c in columns for e in (
-            F.last(F.when(F.col(c).isNotNull(), F.col("rn")), ignorenulls=True).over(frame).alias(f"{r}_{c}"),
-            F.last(c, ignorenulls=True).over(frame).alias(f"{v}_{c}"))])
-    rows = rows.join(carry, [*keys, "_b"])
-    found = {f"{s}_{c}" for c in columns for s in ("pr", "pv", "nr", "nv")}
-    return rows.select(*[c for c in rows.columns if c not in found and c[1:] not in found],
-                       *[F.coalesce(f, f"_{f}").alias(f) for f in sorted(found)])
-
-
-def attach(df, facts, keys=KEYS, bucket=None, how="inner"):
+            F.last(seen[c], ignorenulls=True).over(frame).alias(f"_{side}k_{c}"),
+            F.last(c, ignorenulls=True).over(frame).alias(f"_{side}v_{c}"))])
+    sizes = rows.groupBy(*keys, "_b").agg(
+        F.count(F.lit(1)).alias("_m"), *[agg.alias(name) for name, (agg, _) in facts.items()],
+        *[e for c in columns for e in (
+            F.max(seen[c]).alias(f"_lk_{c}"), F.max_by(c, seen[c]).alias(f"_lv_{c}"),
+            F.min(seen[c]).alias(f"_fk_{c}"), F.min_by(c, seen[c]).alias(f"_fv_{c}"),
+            F.max(F.when(F.col(c).isNull(), F.col(f"_nk_{c}") - F.col(f"_pk_{c}") - 1)).alias(f"_in_{c}"))])
+    whole = Window.partitionBy(*keys)
+    up = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    down = whole.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    combine = {"sum": F.sum, "min": F.min, "max": F.max}
+    table = sizes.withColumn("_off", F.coalesce(F.sum("_m").over(up), F.lit(0).cast("bigint")))
+    table = table.select("*", F.sum("_m").over(whole).alias("n"), *[e for c in columns for e in (
+        F.last(F.col("_off") + F.col(f"_lk_{c}") - 1, ignorenulls=True).over(up).alias(f"_cpr_{c}"),
+        F.last(f"_lv_{c}", ignorenulls=True).over(up).alias(f"_cpv_{c}"),
+        F.last(F.col("_off") + F.col(f"_fk_{c}") - 1, ignorenulls=True).over(down).alias(f"_cnr_{c}"),
+        F.last(f"_fv_{c}", ignorenulls=True).over(down).alias(f"_cnv_{c}"))])
+
+    def longest(c):
+        opening = F.col("_off") + F.col(f"_fk_{c}") - 2 - F.coalesce(f"_cpr_{c}", F.lit(-1))
+        closing = F.col("n") - 1 - F.coalesce(F.col("_off") + F.col(f"_lk_{c}") - 1, F.col(f"_cpr_{c}"), F.lit(-1))
+        last_seen = F.col(f"_cnr_{c}").isNull()
+        return F.max(F.greatest(F.lit(0).cast("bigint"), F.col(f"_in_{c}"), opening, F.when(last_seen, closing))).over(whole)
+    carried = [f"_c{x}_{c}" for c in columns for x in ("pr", "pv", "nr", "nv")]
+    table = table.select(*keys, "_b", "_off", "n", *carried, *[longest(c).alias(f"run_{c}") for c in columns],
+                         *[combine[how](F.col(name)).over(whole).alias(name) for name, (_, how) in facts.items()])
+    out = rows.join(table, [*keys, "_b"]).withColumn("rn", F.col("_off") + F.col("_k") - 1)
+    near = [e for c in columns for e in (
+        F.coalesce(F.col("_off") + F.col(f"_pk_{c}") - 1, f"_cpr_{c}").alias(f"pr_{c}"),
+        F.coalesce(f"_pv_{c}", f"_cpv_{c}").alias(f"pv_{c}"),
+        F.coalesce(F.col("_off") + F.col(f"_nk_{c}") - 1, f"_cnr_{c}").alias(f"nr_{c}"),
+        F.coalesce(f"_nv_{c}", f"_cnv_{c}").alias(f"nv_{c}"))]
+    return out.select(*df.columns, "rn", "n", *near, *[f"run_{c}" for c in columns], *facts)
+
+
+def located_runs(df, columns, order=("timestamp",), keys=KEYS):
+    """The longest NULL run per series and column."""
+    rows = locate(df, columns, order, keys=keys)
+    return rows.groupBy(*keys).agg(*[F.max(f"run_{c}").alias(f"run_{c}") for c in columns])
+
+
+def buckets_of(df, keys=KEYS):
+    """The time buckets of each series; a cheap stand-in for those of anything derived from `df`."""
+    return df.select(*keys, time_bucket().alias("_s")).distinct()
+
+
+def attach(df, facts, keys=KEYS, bucket=None, how="inner", buckets=None):
     """Join one row of facts per series to all its rows without sending a series to one task.
 
     The facts first join the buckets of the series, then the rows join on (series, bucket).
     Spark broadcasts either join by itself when the measured side is below its size limit.
+    `buckets` names the buckets when they are cheaper to get than from `df` itself.
     """
     rows = df.withColumn("_s", bucket if bucket is not None else time_bucket())
-    spread = rows.select(*keys, "_s").distinct().join(facts, list(keys))
+    known = buckets if buckets is not None else rows.select(*keys, "_s").distinct()
+    spread = known.join(facts, list(keys))
     if how in ("left_semi", "left_anti"):
         spread = spread.select(*keys, "_s")
     return rows.join(spread, [*keys, "_s"], how).drop("_s")

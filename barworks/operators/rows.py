@@ -9,8 +9,8 @@ from barworks.functions.schema import KEYS, VALUES
 
 
 def drop_incomplete(df, columns=None):
-    """P5."""
-    return df.na.drop("any", subset=list(columns) if columns else None)
+    """P5. One condition per column: a single condition over many computed columns multiplies in the optimizer."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns or df.columns]))
 
 
 def union_all(first, *others):

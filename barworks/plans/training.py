@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from barworks.functions.schema import KEYS, VALUES, downcast_floats
 from barworks.operators.features import SEQUENCE_LENGTH, cut, long_enough, sequences, split_columns
-from barworks.operators.fills import fill_gaps
+from barworks.operators.fills import interpolate_linear
 from barworks.operators.indicators import (
     Sma, column_names, compute, indicators, resolve, series_facts, with_first_null)
-from barworks.operators.positions import attach, number_rows
+from barworks.operators.positions import attach, buckets_of, number_rows
 from barworks.operators.quality import quality_report
+from barworks.session import settle
 from barworks.sources.candles import bad_bar
 
 
@@ -54,7 +55,8 @@ def features(bars, config=None, gate=True, as_float=False):
     else:
         chosen = resolve(config)
         names = column_names(chosen)
-        ready = fill_gaps(indicators(bars, config, flags=True), columns=[*VALUES, *names], mode="effective")
+        # P6 is part of the filter below: a row without any valid indicator misses one
+        ready = interpolate_linear(indicators(bars, config, flags=True), columns=[*VALUES, *names])
         whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VALUES]
                        + [~F.col(f"_ok_{c}") | F.col(c).isNotNull() for c in names])
         out = ready.where(whole).select(*KEYS, "timestamp", *VALUES, *names)
@@ -67,7 +69,8 @@ def training_set(bars, config=None, length=SEQUENCE_LENGTH, gate=True, as_float=
     One shuffle numbers the bars, one places them in blocks; indicators and sequences share its sort.
     """
     if not gate:
-        out = sequences(features(bars, config, gate=False), length, whole_sets=True)
+        # dropped rows move all positions behind them: number again, from rows that are written
+        out = sequences(settle(features(bars, config, gate=False)), length, whole_sets=True)
     else:
         rows, scan, columns = _gated(bars, config, extra=length)
         kept, at = F.col("n") - F.col("_drop"), F.col("rn") - F.col("_drop")
@@ -84,5 +87,7 @@ def training_set(bars, config=None, length=SEQUENCE_LENGTH, gate=True, as_float=
 def process_series(bars, config=None, gate=True):
     """Processed rows of the series that pass the quality report (A4)."""
     ready = features(bars, config, gate)
+    if not gate:
+        ready = settle(ready)
     valid = quality_report(ready, outliers=False).where("valid").select(*KEYS)
-    return attach(ready, valid, how="left_semi")
+    return attach(ready, valid, how="left_semi", buckets=buckets_of(bars))
