@@ -1,5 +1,9 @@
 """Views over the given tables, as one SQL text for Spark and for the oracle."""
 
+from pyspark.sql import functions as F
+
+from barworks.operators.positions import number_rows
+
 SPARK = {"mn": "min_by", "mx": "max_by", "k1": "struct(ts, event_id)",
          "k2": "struct(l_orderkey, l_linenumber, l_extendedprice)", "str": "STRING"}
 ORACLE = {"mn": "arg_min", "mx": "arg_max", "k1": "(ts, event_id)",
@@ -76,18 +80,11 @@ def view(spark, sf_dir, name):
 
 
 def _bars_dirty(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from barworks.operators.positions import number_rows
-
     bars = view(spark, sf_dir, "bars_hour")
-    pairs = bars.select("pair").distinct()
-    # every series gets every hour that any series has: hours join the pairs seen per bucket of hours,
-    # through an equal join on one constant per pair list entry
-    hours = bars.select("timestamp").distinct()
-    listed = pairs.agg(F.sort_array(F.collect_set("pair")).alias("pairs"))
-    grid = (hours.withColumn("_one", F.lit(1)).join(listed.withColumn("_one", F.lit(1)), "_one")
-            .select(F.explode("pairs").alias("pair"), F.lit("1h").alias("timeframe"), "timestamp"))
+    # every series gets every hour that any series has; the list of pairs is one scalar
+    grid = spark.sql("""
+SELECT explode((SELECT sort_array(collect_set(pair)) FROM {bars})) AS pair, '1h' AS timeframe, timestamp
+FROM (SELECT DISTINCT timestamp FROM {bars})""", bars=bars)
     joined = grid.join(bars, ["pair", "timeframe", "timestamp"], "left")
     numbered = number_rows(joined).withColumn("rn", F.col("rn") + 1).drop("_b", "n")
     faults = spark.sql(DIRTY_FAULTS.format(j="{j}"), j=numbered)
@@ -108,4 +105,6 @@ def oracle(names, query):
                      else f"{name} AS ({VIEWS[name].format(**ORACLE)})")
     query = query.strip()
     head = "WITH RECURSIVE " + ",\n".join(parts)
-    return head + (",\n" + query[5:] if query.startswith("WITH ") else "\n" + query)
+    if not parts:
+        return "WITH RECURSIVE " + (query[5:] if query.startswith("WITH ") else query)
+    return head + (",\n" + query[5:].lstrip() if query.startswith("WITH ") else "\n" + query)
