@@ -11,8 +11,8 @@ from barworks.operators.positions import attach, block_window, blocks, number_ro
 SEQUENCE_LENGTH = 50
 
 
-def series_spread(df, columns, keys=KEYS, accuracy=10000):
-    """Exact `min_`, `max_` and `median_` per series and column, without sorting a series.
+def series_median(df, columns, keys=KEYS, accuracy=10000):
+    """Exact `median_<c>` per series and column, without sorting a series.
 
     A mergeable sketch brackets the middle ranks; a second pass counts what lies below the bracket and
     keeps only the distinct values inside it (a few in `accuracy`) with their counts for ranking.
@@ -21,28 +21,23 @@ def series_spread(df, columns, keys=KEYS, accuracy=10000):
     cells = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])).alias("cell"))
     cells = cells.select(*keys, "cell.column", "cell.v").where("v is not null")
-    sketch = cells.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("m"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy).alias("q"))
-    sketch = sketch.select(*by, "m", "min", "max", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    rows = attach(df.select(*keys, "timestamp", *columns),
-                  _wide(sketch, columns, keys, ("m", "min", "max", "lo", "hi")), keys)
+    sketch = cells.groupBy(*by).agg(F.count(F.lit(1)).alias("m"), F.percentile_approx(
+        "v", [0.5 - margin, 0.5 + margin], accuracy).alias("q"))
+    sketch = sketch.select(*by, "m", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    rows = attach(df.select(*keys, "timestamp", *columns), _wide(sketch, columns, keys, ("m", "lo", "hi")), keys)
     kept = rows.select(*keys, F.explode(F.filter(F.array(*[
         F.when(F.col(c) <= F.col(f"hi_{c}"), F.struct(
             F.lit(c).alias("column"), F.when(F.col(c) >= F.col(f"lo_{c}"), F.col(c)).alias("v"),
-            F.col(f"m_{c}").alias("m"), F.col(f"min_{c}").alias("min"), F.col(f"max_{c}").alias("max")))
-        for c in columns]), lambda s: s.isNotNull())).alias("cell")).select(*keys, "cell.*")
-    counted = kept.groupBy(*by, "v", "m", "min", "max").agg(F.count(F.lit(1)).alias("c"))
+            F.col(f"m_{c}").alias("m"))) for c in columns]), lambda s: s.isNotNull())).alias("cell"))
+    counted = kept.select(*keys, "cell.*").groupBy(*by, "v", "m").agg(F.count(F.lit(1)).alias("c"))
     # the NULL value stands for everything below the bracket and sorts first
     upto = Window.partitionBy(*by).orderBy(F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("rank", F.sum("c").over(upto))
     first, second = F.floor((F.col("m") + 1) / 2), F.floor(F.col("m") / 2) + 1
-    picked = ranked.groupBy(*by).agg(
-        F.max("min").alias("min"), F.max("max").alias("max"),
-        F.min(F.when(F.col("rank") >= first, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("rank") >= second, F.col("v"))).alias("b"))
-    return _wide(picked.withColumn("median", (F.col("a") + F.col("b")) / 2), columns, keys, ("min", "max", "median"))
+    picked = ranked.groupBy(*by).agg(F.min(F.when(F.col("rank") >= first, F.col("v"))).alias("a"),
+                                     F.min(F.when(F.col("rank") >= second, F.col("v"))).alias("b"))
+    return _wide(picked.withColumn("median", (F.col("a") + F.col("b")) / 2), columns, keys, ("median",))
 
 
 def _wide(long, columns, keys, names):
@@ -56,7 +51,13 @@ def minmax_scale(df, columns, keys=KEYS):
     A column that is all NULL in a series stays so. The median lies between min and max, so filling
     never moves them.
     """
-    rows = attach(df, series_spread(df, columns, keys), keys)
+    spread = df.groupBy(*keys).agg(
+        *[e for c in columns for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))],
+        reduce(lambda a, b: a | b, [F.count_if(F.col(c).isNull()) > 0 for c in columns]).alias("_gaps"))
+    # only series with a gap need a median, so only their rows are read for one
+    medians = series_median(attach(df.select(*keys, "timestamp", *columns), spread.where("_gaps").select(*keys), keys,
+                                   how="left_semi"), columns, keys)
+    rows = attach(df, spread.drop("_gaps").join(medians, list(keys), "left"), keys)
 
     def scaled(c):
         lo, hi = F.col(f"min_{c}"), F.col(f"max_{c}")

@@ -17,15 +17,15 @@ BLOCK = 65536
 _LAST = 9223372036854775807
 
 
-def time_bucket(slots=SLOTS, timestamp="timestamp", timeframe="timeframe"):
+def time_bucket(slots=None, timestamp="timestamp", timeframe="timeframe"):
     """Number of the time bucket of a bar; `slots` bar widths make one bucket. NULL times sort last."""
-    width = timeframe_seconds(timeframe) * F.lit(slots)
+    width = timeframe_seconds(timeframe) * F.lit(slots or SLOTS)
     return F.coalesce(F.floor(F.unix_seconds(F.col(timestamp)) / width), F.lit(_LAST))
 
 
-def number_bucket(column, size=SLOTS):
+def number_bucket(column, size=None):
     """Bucket of a dense integer order column."""
-    return F.coalesce(F.floor(F.col(column) / F.lit(size)), F.lit(_LAST))
+    return F.coalesce(F.floor(F.col(column) / F.lit(size or SLOTS)), F.lit(_LAST))
 
 
 def number_rows(df, order=("timestamp",), bucket=None, keys=KEYS, facts=None):

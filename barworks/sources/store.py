@@ -2,6 +2,9 @@
 
     <root>/version=<n>/pair=<p>/timeframe=<t>/*.parquet
 
+With very many series, partition by timeframe alone: files are sorted by series and time, so a key
+filter still skips row groups by their statistics.
+
 A version is complete once Spark's commit left its `_SUCCESS` marker; readers ignore any other.
 Raw bars and feature frames live under different roots.
 """
@@ -64,7 +67,7 @@ def merge_bars(stored, new, keys=KEYS):
     return keep_first(both, [F.col("_src"), *ties], (*keys, "timestamp")).drop("_src")
 
 
-def write_bars(df, root):
+def write_bars(df, root, partition_by=KEYS):
     """Merge with the newest version, write the next one, check it, drop versions past the newest three.
 
     Rows are spread by series and time bucket, so a long series is written by many tasks. Returns the
@@ -83,7 +86,7 @@ def write_bars(df, root):
                              F.max("timestamp").alias("last"))
     spread = (counted.withColumn("_b", time_bucket()).repartition(*KEYS, "_b").drop("_b")
               .sortWithinPartitions(*KEYS, "timestamp"))
-    spread.write.options(**WRITER).partitionBy(*KEYS).mode("overwrite").parquet(path)
+    spread.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
     expected = seen.get
     if not verify_write(spark, root, number, expected):
         raise IOError(f"version {number} under {root} does not hold what was written")
