@@ -287,7 +287,7 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
     """
     rest = [c for c in numbered.columns if c not in ("_b", "n", "rn")]
     seen = numbered.where(F.col("close").isNotNull()).drop("_b", "n")
-    seen = number_rows(seen.withColumnRenamed("rn", "_at"), order=["_at"], bucket=number_bucket("_at"))
+    seen = number_rows(seen.withColumnRenamed("rn", "_at"), order=["_at"], bucket=number_bucket("_at"), unique=True)
     a, r = 2 / (window + 1), 1 - 2 / (window + 1)
     if window <= 1:
         scanned = seen.withColumn(alias, F.col("close"))
@@ -319,7 +319,8 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
              .select(*rest, F.col("rn").alias("_at"), F.lit(None).cast("double").alias(alias)))
     # every row was read several times to get here: later passes start from what is written
     both = settle(scanned.select(*rest, "_at", alias).unionByName(blank))
-    out = locate(both, [alias], order=["_at"], bucket=number_bucket("_at")).withColumn(alias, F.col(f"pv_{alias}"))
+    out = locate(both, [alias], order=["_at"], bucket=number_bucket("_at"), unique=True)
+    out = out.withColumn(alias, F.col(f"pv_{alias}"))
     return out.drop(*[f"{s}_{alias}" for s in ("pr", "pv", "nr", "nv", "run")], "_at")
 
 

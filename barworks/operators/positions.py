@@ -5,6 +5,10 @@ Rows are bucketed by time (`SLOTS` bar widths per bucket), a small table with on
 carries counts and neighbouring values from bucket to bucket, and the rows join it on
 (series, bucket): the same partitioning their windows use. Frames that look back a known number
 of rows run on position blocks that repeat the last rows of the block before them.
+
+A bucket holds at most `SLOTS` bars when a series has one bar per time, which `keep_first` and
+`merge_bars` ensure without bringing copies together. Only the bucket table is ever ordered by
+series: one row per `SLOTS` bars.
 """
 
 from pyspark.sql import Window
@@ -28,14 +32,24 @@ def number_bucket(column, size=None):
     return F.coalesce(F.floor(F.col(column) / F.lit(size or SLOTS)), F.lit(_LAST))
 
 
-def number_rows(df, order=("timestamp",), bucket=None, keys=KEYS, facts=None):
+def _total(df, order, keys):
+    """The order as sort columns, with every other plain column behind it: a task that runs again after
+    an executor was lost must number rows of equal time as before. Equal rows are interchangeable.
+    """
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
+    rest = [c for c in plain if c not in keys and c not in order and not c.startswith("_")]
+    return [F.col(c).asc_nulls_last() for c in [*order, *rest]]
+
+
+def number_rows(df, order=("timestamp",), bucket=None, keys=KEYS, facts=None, unique=False):
     """Add `rn` (0-based position in the series), `n` (rows in the series) and series facts.
 
     `facts` maps a name to (aggregate over rows, 'sum' | 'min' | 'max' to combine buckets).
     The bucket table is one column-pruned, map-side combined aggregate; the rows shuffle once.
+    `unique` says that the order has no ties.
     """
     facts = facts or {}
-    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    order = [F.col(c) for c in order] if unique else _total(df, order, keys)
     rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
     sizes = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"),
                                           *[agg.alias(name) for name, (agg, _) in facts.items()])
@@ -89,14 +103,14 @@ def previous(df, values, order, bucket=None, keys=KEYS):
     return out.drop("_first", *[f"_end_{v}" for v in values])
 
 
-def locate(df, columns, order=("timestamp",), bucket=None, keys=KEYS, facts=None):
+def locate(df, columns, order=("timestamp",), bucket=None, keys=KEYS, facts=None, unique=False):
     """`number_rows`, and per column the nearest non-null value at or before each row (`pv_`, at `pr_`),
     at or after it (`nv_`, at `nr_`), however far away, and the longest NULL run of the series (`run_`).
 
     Everything that crosses buckets goes through one table of buckets, read from one more pass.
     """
     facts = facts or {}
-    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    order = [F.col(c) for c in order] if unique else _total(df, order, keys)
     here = Window.partitionBy(*keys, "_b")
     rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
     rows = rows.withColumn("_k", F.row_number().over(here.orderBy(*order)))

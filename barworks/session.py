@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # do not record a Python call site for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -88,15 +88,17 @@ def write_bars(df, root, partition_by=KEYS):
               .sortWithinPartitions(*KEYS, "timestamp"))
     spread.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
     expected = seen.get
-    if not verify_write(spark, root, number, expected):
+    if not verify_write(spark, root, number, {**expected, "types": dict(merged.dtypes)}):
         raise IOError(f"version {number} under {root} does not hold what was written")
     prune_versions(spark, root)
     return number
 
 
 def verify_write(spark, root, version, expected):
-    """Read back row count and time range and compare with what the write observed."""
+    """Read back types, row count and time range and compare with what the write observed."""
     df = read_bars(spark, root, version=version)
+    if dict(df.dtypes) != expected["types"]:
+        return False
     found = df.agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
                    F.max("timestamp").alias("last")).first().asDict()
     return found["rows"] > 0 and found == {k: expected[k] for k in found}

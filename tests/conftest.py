@@ -16,18 +16,18 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("4", "tests")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    # many small plans: compiling them costs more than running them
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 
 
-@pytest.fixture(params=["wide", "narrow"])
-def layout(request, monkeypatch):
-    """Run once with the usual buckets and once with so small ones that every series crosses many."""
-    if request.param == "narrow":
-        monkeypatch.setattr(positions, "SLOTS", 7)
-        monkeypatch.setattr(positions, "BLOCK", 16)
-    return request.param
+@pytest.fixture
+def layout(monkeypatch):
+    """Buckets and blocks so small that every series crosses many."""
+    monkeypatch.setattr(positions, "SLOTS", 7)
+    monkeypatch.setattr(positions, "BLOCK", 16)
 
 
 @pytest.fixture

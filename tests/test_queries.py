@@ -1,6 +1,12 @@
+from datetime import datetime
+
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from barworks.operators import fills, indicators
+from barworks.plans import training
+from barworks.sources import store
 
 
 def test_entry(spark):
@@ -14,7 +20,31 @@ def test_every_oracle_has_a_query():
     assert set(queries()) - set(oracle_sql()) == {"news_texts"}
 
 
-def test_no_task_holds_a_whole_series(spark):
-    """Rows move by series and bucket or block, never by series alone, and nothing multiplies rows."""
+def test_no_join_multiplies_rows(spark):
     plan = queries()["training_set"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan
+
+
+def test_one_series_spreads_over_tasks(spark, bars, layout):
+    """As on large data: no broadcast, no coalescing. No task may end up with most of the only series."""
+    usual = {"spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.shuffle.partitions": "2",
+             "spark.sql.autoBroadcastJoinThreshold": "10485760"}
+    for name, value in zip(usual, ("false", "6", "-1")):
+        spark.conf.set(name, value)
+    try:
+        df = bars(range(300))
+        plans = {"RSI_3": indicators.rsi(df, 3, fill=False), "close": fills.interpolate_linear(df),
+                 "target": training.training_set(df, {"RSI": {"period": 3}}, 5)}
+        for column, plan in plans.items():
+            rows = plan.groupBy(F.spark_partition_id()).agg(F.count(column).alias("m"), F.max(column)).collect()
+            assert len(rows) >= 3 and max(r.m for r in rows) < 200, column
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+
+
+def test_hot_copies_shrink_before_the_shuffle(bars):
+    one = bars([1.0] * 50, at=[datetime(2024, 1, 1)] * 50)
+    merged = store.merge_bars(one, one)
+    assert "WindowGroupLimit" in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 1
