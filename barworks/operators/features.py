@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from barworks.functions import messages as msg
 from barworks.functions.schema import KEYS, VALUES, feature_row
 from barworks.operators.positions import attach, block_window, blocks, number_rows
 
@@ -190,11 +191,11 @@ def sequence_check(seqs, minimum=50, by=("split",)):
     out = seqs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_sequences"), F.min(F.size("sequence")).cast("bigint").alias("min_length"),
         F.count_if(F.coalesce(nan, F.lit(False))).alias("n_nan"), F.count_if(F.coalesce(inf, F.lit(False))).alias("n_inf"))
-    message = (F.when(F.col("min_length") < minimum, F.lit("Sequence length too short"))
-               .when(F.col("n_nan") > 0, F.lit("Found NaN values in sequences or targets"))
-               .when(F.col("n_inf") > 0, F.lit("Found infinite values in sequences or targets"))
-               .otherwise(F.lit("Sequence validation passed")))
-    return out.withColumn("message", message).withColumn("valid", message == "Sequence validation passed")
+    message = (F.when(F.col("min_length") < minimum, F.lit(msg.SEQUENCES_SHORT))
+               .when(F.col("n_nan") > 0, F.lit(msg.SEQUENCES_NAN))
+               .when(F.col("n_inf") > 0, F.lit(msg.SEQUENCES_INF))
+               .otherwise(F.lit(msg.SEQUENCES_PASSED)))
+    return out.withColumn("message", message).withColumn("valid", message == msg.SEQUENCES_PASSED)
 
 
 def dims_check(seqs, length, width, by=("split",)):
@@ -229,12 +230,12 @@ def training_data_check(seqs, minimum=1000, spread=1e-6, by=("split",)):
         (F.count_if(infinite) + F.count_if(y_inf)).alias("n_inf"),
         F.count_if(F.abs("x") > 1).alias("n_x_out"), F.count_if(F.abs(target) > 1).alias("n_y_out"),
         F.stddev_pop("x").alias("std_x"), F.stddev_pop(target).alias("std_y"))
-    message = (F.when(F.col("n_nan") > 0, F.lit("Training data contains NaN values"))
-               .when(F.col("n_inf") > 0, F.lit("Training data contains infinite values"))
-               .when(F.col("n_x_out") > 0, F.lit("Input features not properly normalized"))
-               .when(F.col("n_y_out") > 0, F.lit("Target values not properly normalized"))
-               .when(F.col("n_samples") < minimum, F.lit("Insufficient training samples"))
-               .when(F.col("std_x") < F.lit(spread), F.lit("Input features have near-zero variance"))
-               .when(F.col("std_y") < F.lit(spread), F.lit("Target values have near-zero variance"))
-               .otherwise(F.lit("Training data validation passed")))
-    return out.withColumn("message", message).withColumn("valid", message == "Training data validation passed")
+    message = (F.when(F.col("n_nan") > 0, F.lit(msg.TRAINING_NAN))
+               .when(F.col("n_inf") > 0, F.lit(msg.TRAINING_INF))
+               .when(F.col("n_x_out") > 0, F.lit(msg.TRAINING_X_RANGE))
+               .when(F.col("n_y_out") > 0, F.lit(msg.TRAINING_Y_RANGE))
+               .when(F.col("n_samples") < minimum, F.lit(msg.TRAINING_FEW))
+               .when(F.col("std_x") < F.lit(spread), F.lit(msg.TRAINING_X_FLAT))
+               .when(F.col("std_y") < F.lit(spread), F.lit(msg.TRAINING_Y_FLAT))
+               .otherwise(F.lit(msg.TRAINING_PASSED)))
+    return out.withColumn("message", message).withColumn("valid", message == msg.TRAINING_PASSED)

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barworks.functions import messages as msg
 from barworks.functions.schema import KEYS, VALUES, timeframe_seconds
 from barworks.operators.positions import attach, number_bucket, previous
 from barworks.operators.rows import issue_flags
@@ -70,9 +71,9 @@ def quality_report(df, columns=None, null_columns=None, missing=0.15, variance=1
         _least([F.var_samp(c) for c in columns]).alias("min_variance"),
         *[F.count_if(hit).alias(f"n_{name}") for name, hit in issue_flags().items()])
     faults = reduce(lambda a, b: a + b, [F.col(f"n_{name}") for name in issue_flags()])
-    error = (F.when(F.col("max_null_ratio") > F.lit(missing), F.lit("Too many missing values"))
-             .when(F.col("min_variance") < F.lit(variance), F.lit("Low variance detected"))
-             .when(faults > 0, F.lit("Data consistency issues found")))
+    error = (F.when(F.col("max_null_ratio") > F.lit(missing), F.lit(msg.QUALITY_MISSING))
+             .when(F.col("min_variance") < F.lit(variance), F.lit(msg.QUALITY_VARIANCE))
+             .when(faults > 0, F.lit(msg.QUALITY_CONSISTENCY)))
     out = wide.withColumn("error", error).withColumn("valid", F.col("error").isNull())
     return out.join(outlier_counts(df, columns, z, keys, bucket), list(keys)) if outliers else out
 
@@ -110,15 +111,15 @@ def structure_check(df):
     types = dict(df.dtypes)
     missing = [c for c in ("timestamp", *VALUES) if c not in types]
     if missing:
-        return False, f"Missing required columns: {missing}"
+        return False, msg.STRUCTURE_MISSING.format(missing)
     if types["timestamp"] not in ("timestamp", "timestamp_ntz"):
-        return False, f"Invalid data type for timestamp: {types['timestamp']}"
+        return False, msg.STRUCTURE_TYPE.format("timestamp", types["timestamp"])
     for c in VALUES:
         if types[c] not in PRICE_TYPES:
-            return False, f"Invalid data type for {c}: {types[c]}"
+            return False, msg.STRUCTURE_TYPE.format(c, types[c])
     if df.isEmpty():
-        return False, "DataFrame is None or empty"
-    return True, "Data structure validation passed"
+        return False, msg.STRUCTURE_EMPTY
+    return True, msg.STRUCTURE_PASSED
 
 
 def _steps(df, keys=KEYS):
@@ -163,13 +164,13 @@ def timestamp_report(df, as_of, arrival="ingest_seq", factor=1.5, keys=KEYS):
         F.sum(F.when(F.col("timestamp") > F.lit(as_of).cast("timestamp"), F.col("_c")).otherwise(F.lit(0)))
         .alias("n_future"))
     out = monotonic_check(df, arrival, keys).drop("valid").join(wide, list(keys))
-    message = (F.when(F.col("n_backward") > 0, F.lit("Timestamps are not monotonically increasing"))
+    message = (F.when(F.col("n_backward") > 0, F.lit(msg.TIMES_BACKWARD))
                .when(F.col("n_duplicates") > 0,
-                     F.concat(F.lit("Found "), F.col("n_duplicates").cast("string"), F.lit(" duplicate timestamps")))
+                     F.format_string(msg.TIMES_DUPLICATE.format("%d"), "n_duplicates"))
                .when(F.col("n_future") > 0,
-                     F.concat(F.lit("Found "), F.col("n_future").cast("string"), F.lit(" timestamps in the future"))))
+                     F.format_string(msg.TIMES_FUTURE.format("%d"), "n_future")))
     return (out.withColumn("valid", message.isNull())
-            .withColumn("message", F.coalesce(message, F.lit("Timestamp validation passed"))))
+            .withColumn("message", F.coalesce(message, F.lit(msg.TIMES_PASSED))))
 
 
 def interval_check(df, tolerance=0.01, keys=KEYS):

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from barworks.functions import messages as msg
 from barworks.functions.schema import KEYS, VALUES
 
 
@@ -43,10 +44,10 @@ def clean_bars(df):
 
 # Issue name -> text of the message; the conditions follow in `issue_flags`.
 ISSUES = {
-    "high_below_low": "High < Low",
-    "high_not_highest": "High not highest",
-    "low_not_lowest": "Low not lowest",
-    "bad_volume": "Invalid volume",
+    "high_below_low": msg.HIGH_BELOW_LOW,
+    "high_not_highest": msg.HIGH_NOT_HIGHEST,
+    "low_not_lowest": msg.LOW_NOT_LOWEST,
+    "bad_volume": msg.BAD_VOLUME,
 }
 
 
@@ -90,4 +91,4 @@ def consistency_report(df, order=("timestamp",), keys=KEYS):
         F.sort_array(F.collect_list(F.struct("no", "line"))), lambda s: s["line"])).alias("message"))
     return (counts.join(messages, list(keys), "left")
             .withColumn("valid", F.col("message").isNull())
-            .withColumn("message", F.coalesce("message", F.lit("Data consistency validation passed"))))
+            .withColumn("message", F.coalesce("message", F.lit(msg.CONSISTENCY_PASSED))))

@@ -8,6 +8,7 @@ from barworks.operators import fills, indicators, quality, rows, sentiment, ttl
 from barworks.operators.positions import number_rows
 from barworks.plans import training
 from barworks.plans.fixtures import oracle, table, view
+from barworks.session import shared_folder
 from barworks.sources import candles, store, texts
 
 QUERIES, ORACLES = {}, {}
@@ -786,6 +787,16 @@ def _(spark, sf):
     return store.merge_bars(*halves(spark, sf))
 
 
+@register("write_read_bars", ["bars_hour"], f"""WITH {PAGE_SQL}
+SELECT pair, timeframe, timestamp, open, high, low, CASE WHEN rn % 2 = 0 OR rn % 10 = 1 THEN close ELSE close + 1 END AS close, volume
+FROM pos WHERE pair <> 'view'""")
+def _(spark, sf):
+    root = shared_folder(spark)
+    for part in halves(spark, sf):
+        store.write_bars(part, root)
+    return store.read_bars(spark, root).where("pair <> 'view'")
+
+
 @register("union_all", ["bars_hour"], f"""WITH {PAGE_SQL}
 SELECT {BARS} FROM pos WHERE rn % 2 = 0 OR rn % 10 = 1
 UNION ALL SELECT pair, timeframe, timestamp, open, high, low, close + 1, volume FROM pos WHERE rn % 2 = 1""")
@@ -825,10 +836,19 @@ def _(spark, sf):
     return out.withColumn("text_no", F.col("text_no").cast("bigint"))
 
 
-@register("news_texts")
+@register("news_texts", [], r"""
+b AS (SELECT page_id, regexp_extract(url, 'https?://([^/]+)', 1) AS source,
+        regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g') AS html FROM pages),
+s AS (SELECT page_id, source, regexp_split_to_array(html, '<(?:h1|h2|h3|p)(?:\s[^>]*)?>') AS parts FROM b),
+u AS (SELECT page_id, source, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM s),
+c AS (SELECT page_id, source, i, regexp_replace(regexp_replace(part, '(?s)(</(?:p|h1|h2|h3|article)>|<(?:article|div|footer|nav|ul)[ >]).*$', ''), '<[^>]*>', '', 'g') AS t
+      FROM u WHERE i > 0),
+x AS (SELECT page_id, source, i, trim(regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS text_no FROM x WHERE length(text) > 50)
+SELECT page_id, source, text_no, text FROM r WHERE text_no < 100""")
 def _(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "https?://([^/]+)", 1).alias("source"), "html")
-    return texts.news_texts(pages)
+    return texts.news_texts(pages).withColumn("text_no", F.col("text_no").cast("bigint"))
 
 
 WORDS_SQL = """

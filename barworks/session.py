@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,18 +34,23 @@ def local_session(cores="8", app="barworks"):
     return spark
 
 
-def settle(df):
-    """Cut lineage through the shared checkpoint folder named by the session.
-
-    Only a local session may fall back to a folder of its own.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and not _has_checkpoint_dir(spark):
-        if not spark.sparkContext.master.startswith("local"):
+def _checkpoint_root(spark):
+    """The shared checkpoint folder; only a local session may fall back to a folder of its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barworks-"))
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="barworks-"))
+    return context.getCheckpointDir()
+
+
+def settle(df):
+    """Cut lineage through the shared checkpoint folder."""
+    _checkpoint_root(df.sparkSession)
     return df.checkpoint()
 
 
-def _has_checkpoint_dir(spark):
-    return spark.sparkContext.getCheckpointDir() is not None
+def shared_folder(spark):
+    """A new folder name under the shared checkpoint folder."""
+    return f"{_checkpoint_root(spark)}/{uuid.uuid4().hex}"

@@ -15,6 +15,8 @@ OTHER_ELEMENTS = ("h1", "h2", "h3", "p")
 # HTML elements whose start ends an open paragraph.
 CLOSES_PARAGRAPH = ("address", "article", "aside", "blockquote", "div", "dl", "footer", "form", "h1", "h2", "h3", "h4",
                     "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul")
+# HTML elements without content.
+EMPTY_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
 def reddit_texts(payloads, payload="payload", limit=MAX_TEXTS, min_length=MIN_LENGTH):
@@ -39,28 +41,30 @@ class _Elements(HTMLParser):
 
     def __init__(self, wanted):
         super().__init__(convert_charrefs=True)
-        self.wanted, self.found, self.open, self.muted = set(wanted), [], [], 0
+        self.wanted, self.found, self.open = set(wanted), [], []
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.muted += 1
         if tag in CLOSES_PARAGRAPH:
             self._close("p")
-        if tag in self.wanted:
-            self.found.append([])
-            self.open.append((tag, self.found[-1]))
+        if tag in EMPTY_ELEMENTS:
+            return
+        text = [] if tag in self.wanted else None
+        if text is not None:
+            self.found.append(text)
+        self.open.append((tag, text))
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.muted = max(0, self.muted - 1)
         self._close(tag)
 
     def handle_data(self, data):
-        if not self.muted:
-            for _, parts in self.open:
-                parts.append(data)
+        if self.open and self.open[-1][0] in ("script", "style"):
+            return
+        for _, text in self.open:
+            if text is not None:
+                text.append(data)
 
     def _close(self, tag):
+        """Close the innermost open element of this name and all inside it; a stray end tag closes nothing."""
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 del self.open[at:]

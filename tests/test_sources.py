@@ -115,6 +115,8 @@ def test_page_texts():
     assert texts.page_texts(html, "other.example") == [f"{long}head", f"{long}one", f"{long}two"]
     nested = texts.page_texts(html, "cointelegraph.com")
     assert len(nested) == 2 and nested[1] == f"{long}head" and nested[0].startswith(f"{long}head{long}one")
+    unclosed = f"<article><p><b>{long}<br>{long}</article><footer>{long}</footer></p>"
+    assert texts.page_texts(unclosed, "other.example") == [(long + long).strip()]
     assert len(texts.page_texts(f"<p>{long}</p>" * 150, "other.example")) == 100
 
 
