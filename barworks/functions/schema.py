@@ -54,10 +54,11 @@ def from_epoch_ms(column):
     return F.timestamp_millis(F.col(column).cast("bigint") if isinstance(column, str) else column.cast("bigint"))
 
 
-def missing_to_null(column):
-    """NaN and infinities are not prices: both become NULL at the border."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.when(~is_finite(c), F.lit(None).cast("double")).otherwise(c)
+def missing_to_null(df, columns=None):
+    """NaN becomes NULL in the floating columns: the one marker of a missing value. Infinities stay for the checks."""
+    floating = [f.name for f in df.schema.fields if f.dataType in (T.DoubleType(), T.FloatType())
+                and (columns is None or f.name in columns)]
+    return df.select([F.when(~F.isnan(c), F.col(c)).alias(c) if c in floating else F.col(c) for c in df.columns])
 
 
 def is_finite(column):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from barworks.functions.schema import KEYS, timeframe_seconds
 
 SLOTS = 16384
-BLOCK = 65536
+BLOCK = 16384
 _LAST = 9223372036854775807
 
 

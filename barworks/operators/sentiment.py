@@ -6,7 +6,12 @@ from barworks.functions.schema import day_key
 from barworks.operators.ttl import ttl_get, ttl_row
 
 MEASURES = ("sentiment_mean", "sentiment_std", "subjectivity_mean", "text_count")
-_SALTS = 16
+_WORD_SALTS = 16
+_DAY_SALTS = 256
+
+
+def _salts(n):
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
 
 
 def text_sentiment(texts, lexicon, by=("currency", "date", "doc_id")):
@@ -16,8 +21,8 @@ def text_sentiment(texts, lexicon, by=("currency", "date", "doc_id")):
     Spark to broadcast; the tokens of a text combine in the task that read it.
     """
     words = texts.select(*by, F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
-    words = words.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(_SALTS)))
-    entries = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))))
+    words = words.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(_WORD_SALTS).cast("bigint")))
+    entries = lexicon.withColumn("_salt", F.explode(_salts(_WORD_SALTS)))
     scored = words.join(entries, ["word", "_salt"], "left").groupBy(*by).agg(
         F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"))
     return scored.select(*by, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("polarity", "subjectivity")])
@@ -66,6 +71,9 @@ def sentiment_features(texts, lexicon, cache, currencies, start, end, as_of):
     wanted = calendar(currencies, start, end)
     served = cached_days(cache, as_of).join(wanted, ["currency", "date"], "left_semi")
     todo = wanted.join(served, ["currency", "date"], "left_anti")
-    fresh = texts.join(todo, ["currency", "date"], "left_semi")
+    # one day may hold a large share of all texts: spread it over many join keys
+    spread = todo.withColumn("_salt", F.explode(_salts(_DAY_SALTS)))
+    fresh = (texts.withColumn("_salt", F.pmod(F.xxhash64(*texts.columns), F.lit(_DAY_SALTS).cast("bigint")))
+             .join(spread, ["currency", "date", "_salt"], "left_semi").drop("_salt"))
     computed = daily_sentiment(text_sentiment(fresh, lexicon))
     return date_spine(served.unionByName(computed), currencies, start, end)

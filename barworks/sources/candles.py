@@ -23,9 +23,10 @@ def read_candles(pages, payload="candles"):
     """`[[ms, o, h, l, c, v], ...]` JSON per page to typed bars; other columns stay."""
     parsed = pages.withColumn("_c", F.from_json(payload, CANDLES)).drop(payload)
     rows = parsed.select(*parsed.drop("_c").columns, F.posexplode("_c").alias("pos", "_r"))
-    return rows.select(*[c for c in rows.columns if c not in ("_r", "pos")], F.col("pos").cast("bigint").alias("pos"),
-                       from_epoch_ms(F.col("_r")[0]).alias("timestamp"),
-                       *[missing_to_null(F.col("_r")[i]).alias(c) for i, c in enumerate(VALUES, 1)])
+    out = rows.select(*[c for c in rows.columns if c not in ("_r", "pos")], F.col("pos").cast("bigint").alias("pos"),
+                      from_epoch_ms(F.col("_r")[0]).alias("timestamp"),
+                      *[F.col("_r")[i].alias(c) for i, c in enumerate(VALUES, 1)])
+    return missing_to_null(out, VALUES)
 
 
 def ordered_pages(pages, payload="candles"):

@@ -15,7 +15,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barworks.functions.schema import KEYS
+from barworks.functions.schema import KEYS, missing_to_null
 from barworks.operators.positions import attach, time_bucket
 from barworks.operators.rows import keep_first
 
@@ -57,7 +57,7 @@ def read_bars(spark, root, pair=None, timeframe=None, version=None):
         df = df.where(F.col("pair") == pair)
     if timeframe is not None:
         df = df.where(F.col("timeframe") == timeframe)
-    return df.select(*KEYS, *[c for c in df.columns if c not in KEYS])
+    return missing_to_null(df.select(*KEYS, *[c for c in df.columns if c not in KEYS]))
 
 
 def merge_bars(stored, new, keys=KEYS):
@@ -124,10 +124,12 @@ def retained_versions(catalogue, keep=KEEP_VERSIONS, keys=KEYS):
 
 def storage_stats(spark, root):
     """Files and bytes of the newest version and of the older ones, from file listings alone."""
+    known = versions(spark, root)
+    if not known:
+        return spark.sql("SELECT 0L AS file_count, 0L AS total_bytes, 0L AS backup_count, 0L AS backup_bytes")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(root).select("path", "length"))
-    newest = versions(spark, root)[-1]
-    current = F.col("path").contains(f"/version={newest}/")
+    current = F.col("path").contains(f"/version={known[-1]}/")
     return files.agg(F.count_if(current).alias("file_count"),
                      F.coalesce(F.sum(F.when(current, F.col("length"))), F.lit(0)).alias("total_bytes"),
                      F.count_if(~current).alias("backup_count"),
@@ -146,9 +148,10 @@ def read_legacy_files(spark, path):
     stamp = F.col("timestamp")
     if dict(df.dtypes)["timestamp"] == "bigint":
         stamp = F.timestamp_micros(F.floor(F.col("timestamp") / F.lit(1000)))
-    return df.select(F.regexp_replace(F.regexp_extract(name, pattern, 1), "_([^_]+)$", "/$1").alias("pair"),
+    bars = df.select(F.regexp_replace(F.regexp_extract(name, pattern, 1), "_([^_]+)$", "/$1").alias("pair"),
                      F.regexp_extract(name, pattern, 2).alias("timeframe"), stamp.cast("timestamp").alias("timestamp"),
                      *[c for c in df.columns if c != "timestamp"])
+    return missing_to_null(bars)
 
 
 def missing_series(requested, stored, keys=KEYS):

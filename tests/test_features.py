@@ -122,3 +122,14 @@ def test_process_series_drops_a_failing_series(bars):
 def test_float_output(bars):
     got = training.training_set(bars(wave(130)), CONFIG, 5, as_float=True)
     assert dict(got.dtypes)["sequence"] == "array<array<float>>"
+
+
+def test_no_indicators_at_all(bars, layout):
+    got = training.training_set(bars(wave(130)), {}, 5).collect()
+    assert {len(r.sequence[0]) for r in got} == {5} and len(got) == 130 - 15
+
+
+def test_two_means_drop_the_longer_warmup(bars):
+    config = {"SMA": {"window": 4}, "EMA": {"window": 3}}
+    assert training.features(bars(wave(20)), config).count() == 17
+    assert training.features(bars(wave(3)), config).count() == 3

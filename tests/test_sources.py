@@ -29,6 +29,13 @@ def test_store_round_trip(bars, spark, tmp_path):
     assert stats.file_count > 0 and stats.backup_count > stats.file_count and stats.backup_bytes > stats.total_bytes
 
 
+def test_nan_is_read_as_null(bars, spark, tmp_path):
+    root = str(tmp_path / "raw")
+    assert store.storage_stats(spark, root).first().file_count == 0
+    store.write_bars(bars([1, float("nan"), float("inf")]), root)
+    assert column(store.read_bars(spark, root), "close") == [1.0, None, float("inf")]
+
+
 def test_key_filters_prune_partitions(bars, spark, tmp_path):
     store.write_bars(bars([1, 2]), str(tmp_path / "raw"))
     plan = store.read_bars(spark, str(tmp_path / "raw"), pair="A/B")._jdf.queryExecution().executedPlan().toString()
