@@ -82,11 +82,12 @@ def write_bars(df, root, partition_by=KEYS):
     number = known[-1] + 1 if known else 1
     path = f"{root}/version={number}"
     seen = Observation()
-    counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
+    spread = (merged.withColumn("_b", time_bucket()).repartition(*KEYS, "_b").drop("_b")
+              .sortWithinPartitions(*partition_by, *[k for k in KEYS if k not in partition_by], "timestamp"))
+    # observed in the writing stage itself: a task that runs again there is still counted once
+    counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
                              F.max("timestamp").alias("last"))
-    spread = (counted.withColumn("_b", time_bucket()).repartition(*KEYS, "_b").drop("_b")
-              .sortWithinPartitions(*KEYS, "timestamp"))
-    spread.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
+    counted.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
     expected = seen.get
     if not verify_write(spark, root, number, {**expected, "types": dict(merged.dtypes)}):
         raise IOError(f"version {number} under {root} does not hold what was written")

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import column
+from pyspark.sql import functions as F
 
 from barworks.functions.schema import downcast
 from barworks.operators import sentiment, ttl
@@ -29,6 +30,16 @@ def test_store_round_trip(bars, spark, tmp_path):
     assert stats.file_count > 0 and stats.backup_count > stats.file_count and stats.backup_bytes > stats.total_bytes
 
 
+def test_files_stay_sorted_when_partitioned_by_timeframe(bars, spark, tmp_path):
+    root = str(tmp_path / "raw")
+    df = bars(range(5), "B/x").unionByName(bars(range(5), "A/x")).unionByName(bars(range(5), "C/x"))
+    store.write_bars(df.orderBy(F.rand(1)), root, partition_by=["timeframe"])
+    for path in (tmp_path / "raw").rglob("*.parquet"):
+        rows = pq.read_table(path, columns=["pair", "timestamp"], partitioning=None).to_pylist()
+        assert rows == sorted(rows, key=lambda r: (r["pair"], r["timestamp"]))
+    assert store.read_bars(spark, root).count() == 15
+
+
 def test_nan_is_read_as_null(bars, spark, tmp_path):
     root = str(tmp_path / "raw")
     assert store.storage_stats(spark, root).first().file_count == 0
