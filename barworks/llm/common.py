@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from barworks.session import settle
+from barworks.session import settle, shared_folder
 
 
 def table(spark, sf_dir, name):
@@ -20,6 +20,13 @@ def numbered(df, name="_row"):
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def stored(df):
+    """Cut lineage through a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def block_keys(fp, max_diff, n_blocks):
     """Pigeonhole keys of a 64-bit fingerprint column, as an array of longs.
 
@@ -81,9 +88,9 @@ def near_groups(items, max_diff, n_blocks, verify=None):
     """
     verify = verify or (lambda pairs: pairs)
     close = hamming(F.col("fp"), F.col("fp2")) <= max_diff
-    keyed = items.select("id", "fp", "n", F.explode(block_keys(F.col("fp"), max_diff, n_blocks)).alias("key"))
+    keyed = items.select("id", F.explode(block_keys(F.col("fp"), max_diff, n_blocks)).alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    keyed = settle(keyed.join(several, "key"))
+    keyed = stored(keyed.join(several, "key").join(items.select("id", "fp", "n"), "id"))
     first = (keyed.groupBy("key").agg(F.max(F.struct("n", "id", "fp")).alias("f"))
              .select("key", F.col("f.id").alias("id2"), F.col("f.fp").alias("fp2")))
     stars = (keyed.join(first, "key").where((F.col("id") != F.col("id2")) & close)
@@ -96,7 +103,7 @@ def near_groups(items, max_diff, n_blocks, verify=None):
     sizes = grouped.groupBy("key", "g").agg(F.count("*").alias("m"))
     open_keys = (sizes.groupBy("key").agg(F.max(F.struct("m", "g")).alias("top"), F.count("*").alias("groups"))
                  .where("groups > 1").select("key", F.col("top.g").alias("top")))
-    grouped = settle(grouped.join(open_keys, "key").select("key", "id", "fp", "g", "top"))
+    grouped = stored(grouped.join(open_keys, "key").select("key", "id", "fp", "g", "top"))
     left = grouped.where("g <> top").select("key", "id", "fp", "g")
     right = grouped.select("key", F.col("id").alias("id2"), F.col("fp").alias("fp2"), F.col("g").alias("g2"))
     pairs = (left.join(right, (left["key"] == right["key"]) & (F.col("g") != F.col("g2")) & close)
