@@ -132,7 +132,7 @@ def fit(docs, may_learn, per_language=PER_LANGUAGE, max_languages=MAX_LANGUAGES)
               .where(F.col("_n") <= per_language))
     rows = sample.select("lang", "text").mapInArrow(_featured, "lang string, x binary").collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.x)))
-    x = np.array([np.frombuffer(r.x, "<f4") for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r.x, "<f4") for r in rows], dtype=np.float64).reshape(len(rows), FEATURES)
     return Model(x, [r.lang for r in rows])
 
 
