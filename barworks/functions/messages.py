@@ -16,11 +16,15 @@ QUALITY_MISSING = "Too many missing values"
 QUALITY_VARIANCE = "Low variance detected"
 QUALITY_CONSISTENCY = "Data consistency issues found"
 
+TIMEFRAME_UNKNOWN = "Invalid timeframe: "
+
 TIMES_PASSED = "Timestamp validation passed"
 TIMES_BACKWARD = "Timestamps are not monotonically increasing"
 TIMES_DUPLICATE = "Found {} duplicate timestamps"
 TIMES_FUTURE = "Found {} timestamps in the future"
 
+DATASET_MISSING = "Missing required keys: {}"
+
 SEQUENCES_PASSED = "Sequence validation passed"
 SEQUENCES_SHORT = "Sequence length too short"
 SEQUENCES_NAN = "Found NaN values in sequences or targets"

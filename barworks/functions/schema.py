@@ -38,8 +38,8 @@ def _lookup(column, table, otherwise):
                   F.when(column == list(table)[0], F.lit(list(table.values())[0]))).otherwise(otherwise)
 
 
-def timeframe_seconds(timeframe="timeframe", strict=True):
-    """Width of a bar in seconds (P10); an unknown name is an error, or NULL when not strict."""
+def timeframe_seconds(timeframe="timeframe", strict=False):
+    """Width of a bar in seconds (P10); an unknown name has none (NULL), or is an error when strict."""
     column = F.col(timeframe) if isinstance(timeframe, str) else timeframe
     unknown = F.raise_error(F.concat(F.lit("unknown timeframe: "), column)) if strict else F.lit(None)
     return _lookup(column, TIMEFRAME_SECONDS, unknown.cast("bigint")).cast("bigint")

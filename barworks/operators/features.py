@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barworks.functions import messages as msg
 from barworks.functions.schema import KEYS, VALUES, feature_row
-from barworks.operators.positions import attach, block_window, blocks, number_rows
+from barworks.operators.positions import attach, block_window, blocks, number_rows, with_facts
 
 SEQUENCE_LENGTH = 50
 
@@ -52,13 +52,13 @@ def minmax_scale(df, columns, keys=KEYS):
     A column that is all NULL in a series stays so. The median lies between min and max, so filling
     never moves them.
     """
-    spread = df.groupBy(*keys).agg(
-        *[e for c in columns for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))],
-        reduce(lambda a, b: a | b, [F.count_if(F.col(c).isNull()) > 0 for c in columns]).alias("_gaps"))
+    hole = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    gaps = {"_gaps": (F.count_if(hole), "sum")}
     # only series with a gap need a median, so only their rows are read for one
-    medians = series_median(attach(df.select(*keys, "timestamp", *columns), spread.where("_gaps").select(*keys), keys,
-                                   how="left_semi"), columns, keys)
-    rows = attach(df, spread.drop("_gaps").join(medians, list(keys), "left"), keys)
+    holed = with_facts(df.select(*keys, "timestamp", *columns), gaps, keys).where("_gaps > 0").drop("_gaps")
+    spread = df.groupBy(*keys).agg(
+        *[e for c in columns for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))])
+    rows = attach(df, spread.join(series_median(holed, columns, keys), list(keys), "left"), keys)
 
     def scaled(c):
         lo, hi = F.col(f"min_{c}"), F.col(f"max_{c}")
@@ -209,7 +209,7 @@ def dataset_check(seqs, by=("split",), optional=("pair_idx", "timeframe_idx", "w
     """The needed columns exist, no split is empty, and every column has a value per sequence."""
     missing = [c for c in ("sequence", "target") if c not in seqs.columns]
     if missing:
-        raise ValueError(f"Missing required keys: {missing}")
+        raise ValueError(msg.DATASET_MISSING.format(missing))
     present = [c for c in ("sequence", "target", *optional) if c in seqs.columns]
     short = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in present])
     return (seqs.groupBy(*by).agg(F.count(F.lit(1)).alias("n_sequences"), F.count_if(short).alias("n_missing"))
@@ -218,18 +218,33 @@ def dataset_check(seqs, by=("split",), optional=("pair_idx", "timeframe_idx", "w
 
 def training_data_check(seqs, minimum=1000, spread=1e-6, by=("split",)):
     """NaN, infinity, range [-1, 1], sample count, spread of all cells and of targets, in this order."""
-    cells = seqs.select(*by, "target", F.posexplode(_cells()).alias("_i", "x"))
-    target = F.when(F.col("_i") == 0, F.col("target"))
-    odd = F.isnan("x") | F.col("x").isNull()
-    infinite = F.col("x").isin(float("inf"), float("-inf"))
-    y_nan = (F.col("_i") == 0) & (F.col("target").isNull() | F.isnan("target"))
-    y_inf = (F.col("_i") == 0) & F.col("target").isin(float("inf"), float("-inf"))
-    out = cells.groupBy(*by).agg(
-        F.count_if(F.col("_i") == 0).alias("n_samples"),
-        (F.count_if(odd) + F.count_if(y_nan)).alias("n_nan"),
-        (F.count_if(infinite) + F.count_if(y_inf)).alias("n_inf"),
-        F.count_if(F.abs("x") > 1).alias("n_x_out"), F.count_if(F.abs(target) > 1).alias("n_y_out"),
-        F.stddev_pop("x").alias("std_x"), F.stddev_pop(target).alias("std_y"))
+    def infinite(x):
+        return F.coalesce(x.isin(float("inf"), float("-inf")), F.lit(False))
+
+    def missing(x):
+        return x.isNull() | F.isnan(x)
+    # cells are counted and summed inside their row: no row is made of a cell
+    kept = F.filter("_x", lambda x: ~missing(x) & ~infinite(x))
+    target = F.col("target")
+    rows = seqs.select(*by, "target", _cells().alias("_x"))
+    rows = rows.select(
+        *by, target, F.size(F.filter("_x", missing)).alias("_nan"), F.size(F.filter("_x", infinite)).alias("_inf"),
+        F.size(F.filter("_x", lambda x: F.abs(x) > 1)).alias("_out"), kept.alias("_x"))
+    rows = rows.withColumn("_m", F.size("_x")).withColumn("_s", F.aggregate("_x", F.lit(0.0), lambda a, x: a + x))
+    mean = F.when(F.col("_m") > 0, F.col("_s") / F.col("_m"))
+    # squares around the mean of each row, and of the rows' means around the mean of all
+    rows = rows.withColumn("_q", F.aggregate(F.transform("_x", lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x))
+    spreads = rows.withColumn("_mean", mean).drop("_x")
+    out = spreads.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_samples"), (F.sum("_nan") + F.count_if(missing(target))).alias("n_nan"),
+        (F.sum("_inf") + F.count_if(infinite(target))).alias("n_inf"),
+        F.sum("_out").alias("n_x_out"), F.count_if(F.abs(target) > 1).alias("n_y_out"),
+        F.sum("_m").alias("_cells"), F.sum("_s").alias("_sum"), F.sum("_q").alias("_inner"),
+        F.sum(F.col("_m") * F.col("_mean") * F.col("_mean")).alias("_outer"), F.stddev_pop(target).alias("std_y"))
+    overall = F.col("_sum") / F.col("_cells")
+    variance = (F.col("_inner") + F.greatest(F.col("_outer") - F.col("_cells") * overall * overall, F.lit(0.0))) / F.col("_cells")
+    out = out.withColumn("std_x", F.when(F.col("_cells") > 0, F.sqrt(variance))).select(
+        *by, "n_samples", "n_nan", "n_inf", "n_x_out", "n_y_out", "std_x", "std_y")
     message = (F.when(F.col("n_nan") > 0, F.lit(msg.TRAINING_NAN))
                .when(F.col("n_inf") > 0, F.lit(msg.TRAINING_INF))
                .when(F.col("n_x_out") > 0, F.lit(msg.TRAINING_X_RANGE))

@@ -1,7 +1,8 @@
 """Technical indicators (W1-W6, A15, A16): RSI, SMA, EMA, MACD on numbered position blocks.
 
-An exponential mean forgets: after `reach(span)` rows the weight of older rows is below 1e-18,
-so a block that repeats that many rows before it yields the same doubles as the whole series.
+An exponential mean forgets: after `reach(span)` rows, a tile, the weight of older rows is below 1e-18. A value sees its
+own tile and the `_TILES` before it, and a block repeats as many rows before it: what is left out weighs less than 1e-72, so
+it does not show in a double unless older prices are more than 1e50 times as large.
 """
 
 import math
@@ -16,6 +17,7 @@ from barworks.operators.positions import (
 from barworks.session import settle
 
 _DEPTH = math.log(1e18)
+_TILES = 3
 _RANGE = 600  # e^600 is still a double
 _TILE = 512
 
@@ -27,10 +29,15 @@ DEFAULT_INDICATORS = {
 
 
 def reach(span):
-    """Rows after which an exponential mean of this span no longer sees a value."""
+    """Rows of a tile: after them an exponential mean of this span holds 1e-18 of a value."""
     return 1 if span <= 1 else math.ceil(_DEPTH / -math.log(1 - 2 / (span + 1)))
 
 
+def memory(span):
+    """Rows before a row that its exponential mean is made of."""
+    return (_TILES + 1) * reach(span)
+
+
 def price_change(df, value="close"):
     """`close` minus the previous close."""
     return previous(df, [value], "timestamp").withColumn(
@@ -54,7 +61,8 @@ class Scan:
     def ema(self, df, named):
         """Add the exponential mean of each `name: (column, span)`.
 
-        Inside a tile the recurrence is r^k * running sum of u * r^-k; the tile before adds its last value.
+        Inside a tile the recurrence is r^k * running sum of u * r^-k; the tile before adds its last value, which holds
+        that of the one before it, and so on.
         A span too short for the common tile (r^-k would overflow) gets tiles of its own and one more sort.
         """
         live = {name: (c, s) for name, (c, s) in named.items() if s > 1}
@@ -84,11 +92,15 @@ class Scan:
 
         out = df.select("*", *[local(name).alias(f"_p_{name}") for name in live])
         end = at % F.lit(tile) == tile - 1
-        out = out.select("*", *[F.last(F.when(end, F.col(f"_p_{name}")), ignorenulls=True).over(before)
-                                .alias(f"_e_{name}") for name in live])
-        done = [(F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1) * F.coalesce(f"_e_{name}", F.lit(0.0)))
-                .alias(name) for name in live]
-        out = out.select("*", *done).drop(*[f"_{x}_{name}" for x in "pe" for name in live])
+        out = out.select("*", *[F.col(f"_p_{name}").alias(f"_v_{name}") for name in live])
+        for _ in range(_TILES):
+            out = out.select("*", *[F.last(F.when(end, F.col(f"_v_{name}")), ignorenulls=True).over(before)
+                                    .alias(f"_e_{name}") for name in live])
+            out = out.withColumns({f"_v_{name}": F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1)
+                                   * F.coalesce(f"_e_{name}", F.lit(0.0)) for name in live})
+            out = out.drop(*[f"_e_{name}" for name in live])
+        out = out.select("*", *[F.col(f"_v_{name}").alias(name) for name in live]).drop(
+            *[f"_{x}_{name}" for x in "pv" for name in live])
         return out if sub == "_sub" else out.drop(sub)
 
 
@@ -117,10 +129,12 @@ class Rsi(Indicator):
         change = F.col("_x") - F.lag("_x").over(scan.block)
         df = df.withColumn("_d", change)
         frame = scan.last(self.period)
-        gain = F.sum(F.greatest(F.col("_d"), F.lit(0.0))).over(frame)
-        loss = F.sum(F.greatest(-F.col("_d"), F.lit(0.0))).over(frame)
+        # a change that is no number is none; an infinite one is missing on its side
+        gain, loss = (F.avg(F.when(F.coalesce(F.isnan("_d"), F.lit(True)), F.lit(0.0)).when(side != float("inf"), F.greatest(
+            side, F.lit(0.0)))).over(frame) for side in (F.col("_d"), -F.col("_d")))
         df = df.select("*", gain.alias("_g"), loss.alias("_l"))
-        rsi = (F.when((F.col("_l") == 0) & (F.col("_g") == 0), F.lit(50.0)).when(F.col("_l") == 0, F.lit(100.0))
+        rsi = (F.when(F.col("_g").isNull() | F.col("_l").isNull(), F.lit(50.0))
+               .when((F.col("_l") == 0) & (F.col("_g") == 0), F.lit(50.0)).when(F.col("_l") == 0, F.lit(100.0))
                .otherwise(100.0 - 100.0 / (1.0 + F.try_divide("_g", "_l"))))
         return df.withColumn(self.columns[0], rsi).drop("_d", "_g", "_l")
 
@@ -136,7 +150,7 @@ class Macd(Indicator):
         self.fast, self.slow, self.signal = fast_period, slow_period, signal_period
         tag = f"{fast_period}_{slow_period}_{signal_period}"
         self.columns = [f"MACD_{tag}", f"MACD_Signal_{tag}"]
-        self.lookback = max(reach(fast_period), reach(slow_period)) + reach(signal_period)
+        self.lookback = max(memory(fast_period), memory(slow_period)) + memory(signal_period)
 
     def spans(self):
         return [self.fast, self.slow, self.signal]
@@ -164,7 +178,8 @@ class Sma(Indicator):
 
     def add(self, df, scan):
         frame = scan.last(self.window)
-        mean = F.when(F.count("close").over(frame) == self.window, F.avg("close").over(frame))
+        close = F.when(is_finite(F.col("close")), F.col("close"))  # an infinite close counts as missing
+        mean = F.when(F.count(close).over(frame) == self.window, F.avg(close).over(frame))
         return df.withColumn(self.columns[0], mean)
 
     def check(self, c):
@@ -176,7 +191,7 @@ class Sma(Indicator):
 class Ema(Indicator):
     def __init__(self, window=None, period=None):
         self.window = window or period or 20
-        self.columns, self.lookback = [f"EMA_{self.window}"], reach(self.window)
+        self.columns, self.lookback = [f"EMA_{self.window}"], memory(self.window)
 
     def spans(self):
         return [self.window]
@@ -233,7 +248,8 @@ def indicators(df, config=None, validate=True, fill=True, flags=False):
     """The configured indicator columns for all series.
 
     With `validate`, a set that fails its check is NULL for that series (A16, D2). `fill=False` skips
-    the gap filling of the close for input that is known to hold no NULL. `flags` adds `_ok_<column>`.
+    the gap filling of the close for input that should hold no NULL: a series that holds one all the same has no
+    indicator but the SMA. `flags` adds `_ok_<column>`.
     """
     chosen = resolve(config)
     plain = [i for i in chosen if not (fill and isinstance(i, Ema))]
@@ -245,10 +261,16 @@ def indicators(df, config=None, validate=True, fill=True, flags=False):
     out = out.where("_own").drop("_blk", "_own", "_sub")
     for gap_aware in [i for i in chosen if i not in plain]:
         out = ema_gaps(out, gap_aware.window, alias=gap_aware.columns[0])
+
+    def holds(i):
+        return i.needs() if fill or isinstance(i, Sma) else i.needs() & (F.col("n_null") == 0)
     if validate:
         out = out.select(*[c for c in out.columns if c not in column_names(chosen)], *[
-            F.when(i.needs(), F.col(c)).alias(c) for i in chosen for c in i.columns])
-    marks = [i.needs().alias(f"_ok_{c}") for i in chosen for c in i.columns] if flags else []
+            F.when(holds(i), F.col(c)).alias(c) for i in chosen for c in i.columns])
+    elif not fill:
+        whole = [c for i in chosen if not isinstance(i, Sma) for c in i.columns]
+        out = out.select(*[F.when(F.col("n_null") == 0, F.col(c)).alias(c) if c in whole else F.col(c) for c in out.columns])
+    marks = [holds(i).alias(f"_ok_{c}") for i in chosen for c in i.columns] if flags else []
     return out.select(*df.columns, *column_names(chosen), *marks)
 
 
@@ -271,8 +293,8 @@ def macd(df, fast=12, slow=26, signal=9, fill=True):
     return indicators(df, {"MACD": {"fast_period": fast, "slow_period": slow, "signal_period": signal}}, fill=fill)
 
 
-def ema(df, window=20, gaps=False):
-    """Exponential mean of `close` (W3). `gaps=True` handles NULL closes; use it only when there may be any."""
+def ema(df, window=20, gaps=True):
+    """Exponential mean of `close` (W3). `gaps=False` is for series without a NULL close; one that holds any has none."""
     if not gaps:
         return indicators(df, {"EMA": {"window": window}}, validate=False, fill=False)
     numbered = number_rows(df)
@@ -292,7 +314,7 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
     if window <= 1:
         scanned = seen.withColumn(alias, F.col("close"))
     else:
-        rows = blocks(seen, reach(window) + 1)
+        rows = blocks(seen, memory(window) + 1)
         w = block_window()
         gap = (F.col("_at") - F.lag("_at").over(w)).cast("double")
         weight = F.pow(F.lit(r), gap)
@@ -311,9 +333,11 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
         rows = rows.withColumn("_p", F.exp(-F.col("_lp")) * F.sum(F.col("_u") * F.exp("_lp")).over(run))
         block = Window.partitionBy(*keys, "_blk").orderBy("_sub", "rn")
         opens = F.col("_sub") != F.lag("_sub").over(block)
-        rows = rows.withColumn("_c", F.when(opens, F.lag("_p").over(block)))
         carry = F.last("_c", ignorenulls=True).over(block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        rows = rows.withColumn(alias, F.col("_p") + F.exp(-F.col("_lp")) * F.coalesce(carry, F.lit(0.0)))
+        rows = rows.withColumn("_open", opens).withColumn(alias, F.col("_p"))
+        for _ in range(_TILES):
+            rows = rows.withColumn("_c", F.when(F.col("_open"), F.lag(alias).over(block)))
+            rows = rows.withColumn(alias, F.col("_p") + F.exp(-F.col("_lp")) * F.coalesce(carry, F.lit(0.0)))
         scanned = rows.where("_own")
     blank = (numbered.where(F.col("close").isNull())
              .select(*rest, F.col("rn").alias("_at"), F.lit(None).cast("double").alias(alias)))

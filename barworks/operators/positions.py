@@ -21,10 +21,30 @@ BLOCK = 16384
 _LAST = 9223372036854775807
 
 
-def time_bucket(slots=None, timestamp="timestamp", timeframe="timeframe"):
-    """Number of the time bucket of a bar; `slots` bar widths make one bucket. NULL times sort last."""
-    width = timeframe_seconds(timeframe) * F.lit(slots or SLOTS)
-    return F.coalesce(F.floor(F.unix_seconds(F.col(timestamp)) / width), F.lit(_LAST))
+# A bar of unknown width is bucketed like a daily one; checks report such a series.
+DEFAULT_SECONDS = 86400
+_TIMELESS = 4096  # buckets for bars without a time, which all sort last
+
+
+def time_bucket(slots=None, timestamp="timestamp", timeframe="timeframe", spread=()):
+    """Number of the time bucket of a bar; `slots` bar widths make one bucket. NULL times sort last.
+
+    Bars without a time have no order among themselves: `spread` names columns that deal them to many buckets.
+    """
+    width = F.coalesce(timeframe_seconds(timeframe), F.lit(DEFAULT_SECONDS)) * F.lit(slots or SLOTS)
+    last = F.lit(_LAST)
+    if spread:
+        last = last - F.pmod(F.xxhash64(*spread), F.lit(_TIMELESS).cast("bigint"))
+    return F.coalesce(F.floor(F.unix_seconds(F.col(timestamp)) / width), last)
+
+
+def _plain(df, besides):
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
+    return [c for c in plain if c not in besides and not c.startswith("_")]
+
+
+def _time_bucket(df, keys=KEYS):
+    return time_bucket(spread=_plain(df, (*keys, "timestamp")))
 
 
 def number_bucket(column, size=None):
@@ -36,9 +56,7 @@ def _total(df, order, keys):
     """The order as sort columns, with every other plain column behind it: a task that runs again after
     an executor was lost must number rows of equal time as before. Equal rows are interchangeable.
     """
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
-    rest = [c for c in plain if c not in keys and c not in order and not c.startswith("_")]
-    return [F.col(c).asc_nulls_last() for c in [*order, *rest]]
+    return [F.col(c).asc_nulls_last() for c in [*order, *_plain(df, (*keys, *order))]]
 
 
 def number_rows(df, order=("timestamp",), bucket=None, keys=KEYS, facts=None, unique=False):
@@ -50,7 +68,7 @@ def number_rows(df, order=("timestamp",), bucket=None, keys=KEYS, facts=None, un
     """
     facts = facts or {}
     order = [F.col(c) for c in order] if unique else _total(df, order, keys)
-    rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
+    rows = df.withColumn("_b", bucket if bucket is not None else _time_bucket(df, keys))
     sizes = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"),
                                           *[agg.alias(name) for name, (agg, _) in facts.items()])
     whole = Window.partitionBy(*keys)
@@ -87,13 +105,17 @@ def block_window(position="rn", keys=KEYS):
 def previous(df, values, order, bucket=None, keys=KEYS):
     """Add `prev_<v>` for each value: the value of the row before, in the order of one column.
 
-    Inside a bucket this is `lag`; the first row of a bucket takes the last row of the bucket before.
+    Inside a bucket this is `lag`; the first row of a bucket takes the last row of the bucket before. Equal rows are
+    ordered by the other columns, alike in both.
     """
-    rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
-    ends = rows.groupBy(*keys, "_b").agg(*[F.max_by(v, order).alias(f"_end_{v}") for v in values])
+    rows = df.withColumn("_b", bucket if bucket is not None else _time_bucket(df, keys))
+    rest = _plain(df, (*keys, order))
+    # NULL sorts last among rows, so it counts as largest here too
+    largest = F.struct(*[e for c in (order, *rest) for e in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))])
+    ends = rows.groupBy(*keys, "_b").agg(*[F.max_by(v, largest).alias(f"_end_{v}") for v in values])
     step = Window.partitionBy(*keys).orderBy("_b")
     ends = ends.select(*keys, "_b", *[F.lag(f"_end_{v}").over(step).alias(f"_end_{v}") for v in values])
-    w = Window.partitionBy(*keys, "_b").orderBy(order)
+    w = Window.partitionBy(*keys, "_b").orderBy(*_total(df, [order], keys))
     first = F.row_number().over(w) == 1
     out = rows.join(ends, [*keys, "_b"]).select(
         *df.columns, first.alias("_first"), *[F.lag(v).over(w).alias(f"prev_{v}") for v in values],
@@ -112,7 +134,7 @@ def locate(df, columns, order=("timestamp",), bucket=None, keys=KEYS, facts=None
     facts = facts or {}
     order = [F.col(c) for c in order] if unique else _total(df, order, keys)
     here = Window.partitionBy(*keys, "_b")
-    rows = df.withColumn("_b", bucket if bucket is not None else time_bucket())
+    rows = df.withColumn("_b", bucket if bucket is not None else _time_bucket(df, keys))
     rows = rows.withColumn("_k", F.row_number().over(here.orderBy(*order)))
     first_to_here = (Window.unboundedPreceding, Window.currentRow)
     back = here.orderBy("_k").rowsBetween(*first_to_here)
@@ -167,6 +189,20 @@ def buckets_of(df, keys=KEYS):
     return df.select(*keys, time_bucket().alias("_s")).distinct()
 
 
+def with_facts(df, facts, keys=KEYS, bucket=None):
+    """Add facts of its series to every row: a name maps to (aggregate over rows, 'sum' | 'min' | 'max').
+
+    One column-pruned, map-side combined pass makes the bucket table, whose windows combine the buckets; the rows join
+    it on (series, bucket), so a series of any length stays spread.
+    """
+    rows = df.withColumn("_s", bucket if bucket is not None else _time_bucket(df, keys))
+    combine = {"sum": F.sum, "min": F.min, "max": F.max}
+    whole = Window.partitionBy(*keys)
+    parts = rows.groupBy(*keys, "_s").agg(*[agg.alias(name) for name, (agg, _) in facts.items()])
+    table = parts.select(*keys, "_s", *[combine[how](F.col(name)).over(whole).alias(name) for name, (_, how) in facts.items()])
+    return rows.join(table, [*keys, "_s"]).drop("_s")
+
+
 def attach(df, facts, keys=KEYS, bucket=None, how="inner", buckets=None):
     """Join one row of facts per series to all its rows without sending a series to one task.
 
@@ -174,7 +210,8 @@ def attach(df, facts, keys=KEYS, bucket=None, how="inner", buckets=None):
     Spark broadcasts either join by itself when the measured side is below its size limit.
     `buckets` names the buckets when they are cheaper to get than from `df` itself.
     """
-    rows = df.withColumn("_s", bucket if bucket is not None else time_bucket())
+    here = time_bucket() if buckets is not None else _time_bucket(df, keys)
+    rows = df.withColumn("_s", bucket if bucket is not None else here)
     known = buckets if buckets is not None else rows.select(*keys, "_s").distinct()
     spread = known.join(facts, list(keys))
     if how in ("left_semi", "left_anti"):

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from barworks.functions import messages as msg
 from barworks.functions.schema import KEYS, VALUES, timeframe_seconds
-from barworks.operators.positions import attach, number_bucket, previous
+from barworks.operators import positions
+from barworks.operators.positions import attach, previous, with_facts
 from barworks.operators.rows import issue_flags
 
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
@@ -62,13 +63,19 @@ def _far(c, z):
 
 
 def quality_report(df, columns=None, null_columns=None, missing=0.15, variance=1e-6, z=3.0, keys=KEYS, bucket=None,
-                   outliers=True):
-    """A4: missing values, then variance, then price consistency; the first failure names the error."""
+                   outliers=True, usable=None):
+    """A4: missing values, then variance, then price consistency; the first failure names the error.
+
+    `usable` maps a column to a flag column: where the flag is false the series lacks the column, and it is not judged.
+    """
+    usable = usable or {}
     columns = columns or numeric_columns(df, keys)
     null_columns = null_columns or [c for c in df.columns if c not in keys]
     wide = df.groupBy(*keys).agg(
-        _worst([_ratio(c) for c in null_columns]).alias("max_null_ratio"),
-        _least([F.var_samp(c) for c in columns]).alias("min_variance"),
+        _worst([F.when(F.bool_and(usable[c]), _ratio(c)).otherwise(F.lit(0.0)) if c in usable else _ratio(c)
+                for c in null_columns]).alias("max_null_ratio"),
+        _least([F.when(F.bool_and(usable[c]), F.var_samp(c)) if c in usable else F.var_samp(c) for c in columns])
+        .alias("min_variance"),
         *[F.count_if(hit).alias(f"n_{name}") for name, hit in issue_flags().items()])
     faults = reduce(lambda a, b: a + b, [F.col(f"n_{name}") for name in issue_flags()])
     error = (F.when(F.col("max_null_ratio") > F.lit(missing), F.lit(msg.QUALITY_MISSING))
@@ -129,9 +136,22 @@ def _steps(df, keys=KEYS):
     return rows.withColumn("step", micros / F.lit(1e6)).withColumn("tf", timeframe_seconds())
 
 
+def _arrival_buckets(df, arrival, keys):
+    """Add `_a`: equal shares of the range of a series' arrival numbers, as many as its rows fill buckets.
+
+    Arrival numbers may be far apart (a counter of the whole table, microseconds), so their values do not tell how many
+    rows lie between them.
+    """
+    facts = {"_lo": (F.min(arrival), "min"), "_hi": (F.max(arrival), "max"), "_m": (F.count(F.lit(1)), "sum")}
+    rows = with_facts(df.withColumn("_a", F.col(arrival).cast("double")), facts, keys)
+    shares = F.ceil(F.col("_m") / F.lit(positions.SLOTS))
+    width = (F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1) / shares
+    return rows.withColumn("_a", F.coalesce(F.floor((F.col("_a") - F.col("_lo")) / width), shares)).drop("_lo", "_hi", "_m")
+
+
 def monotonic_check(df, arrival="ingest_seq", keys=KEYS):
     """Are timestamps non-decreasing in the order the bars arrived."""
-    rows = previous(df, ["timestamp"], arrival, number_bucket(arrival), keys)
+    rows = previous(_arrival_buckets(df, arrival, keys), ["timestamp"], arrival, F.col("_a"), keys)
     back = F.col("timestamp") < F.col("prev_timestamp")
     return rows.groupBy(*keys).agg(F.count_if(back).alias("n_backward")).withColumn("valid", F.col("n_backward") == 0)
 
@@ -173,8 +193,11 @@ def timestamp_report(df, as_of, arrival="ingest_seq", factor=1.5, keys=KEYS):
             .withColumn("message", F.coalesce(message, F.lit(msg.TIMES_PASSED))))
 
 
-def interval_check(df, tolerance=0.01, keys=KEYS):
-    """Every step within 1 % of the bar width; a series' first bar is exempt."""
+def interval_check(df, tolerance=0.01, keys=KEYS, timeframe="timeframe"):
+    """Every step within 1 % of the bar width; a series' first bar is exempt. An unknown width is a failure."""
     off = F.abs(F.col("step") - F.col("tf")) > F.lit(tolerance) * F.col("tf")
-    return (_steps(df, keys).groupBy(*keys).agg(F.count_if(off).alias("n_invalid"))
-            .withColumn("valid", F.col("n_invalid") == 0))
+    out = _steps(df, keys).groupBy(*keys).agg(F.count_if(off).alias("n_invalid"), F.max("tf").alias("_tf"),
+                                              F.max(timeframe).alias("_name"))
+    unknown = F.when(F.col("_tf").isNull(), F.concat(F.lit(msg.TIMEFRAME_UNKNOWN), F.col("_name")))
+    return out.select(*keys, "n_invalid", (F.col("_tf").isNotNull() & (F.col("n_invalid") == 0)).alias("valid"),
+                      F.coalesce(unknown, F.lit("")).alias("message"))

@@ -6,8 +6,9 @@ from barworks.functions.schema import day_key
 from barworks.operators.ttl import ttl_get, ttl_row
 
 MEASURES = ("sentiment_mean", "sentiment_std", "subjectivity_mean", "text_count")
-_WORD_SALTS = 16
 _DAY_SALTS = 256
+# what stands between words: anything but letters, their marks and apostrophes
+_BETWEEN = r"[^\p{L}\p{M}']+"
 
 
 def _salts(n):
@@ -17,15 +18,16 @@ def _salts(n):
 def text_sentiment(texts, lexicon, by=("currency", "date", "doc_id")):
     """mean polarity and subjectivity of the lexicon words of a text, 0 when it has none.
 
-    Words are salted, so one frequent word spreads over tasks should the lexicon be too large for
-    Spark to broadcast; the tokens of a text combine in the task that read it.
+    A word meets the lexicon once per text, with its count, and words without an entry go no further. Spark broadcasts
+    a small lexicon; with a large one its skew handling splits a word that most texts hold.
     """
-    words = texts.select(*by, F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
-    words = words.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(_WORD_SALTS).cast("bigint")))
-    entries = lexicon.withColumn("_salt", F.explode(_salts(_WORD_SALTS)))
-    scored = words.join(entries, ["word", "_salt"], "left").groupBy(*by).agg(
-        F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"))
-    return scored.select(*by, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("polarity", "subjectivity")])
+    words = texts.select(*by, F.explode(F.split(F.lower("text"), _BETWEEN)).alias("word"))
+    counted = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("_c"))
+    found = counted.join(lexicon, "word").groupBy(*by).agg(F.sum("_c").alias("_n"), *[
+        F.sum(F.col("_c") * F.col(c)).alias(c) for c in ("polarity", "subjectivity")])
+    means = found.select(*by, *[(F.col(c) / F.col("_n")).alias(c) for c in ("polarity", "subjectivity")])
+    return (texts.select(*by).distinct().join(means, list(by), "left")
+            .select(*by, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("polarity", "subjectivity")]))
 
 
 def daily_sentiment(scored):

@@ -30,12 +30,13 @@ SELECT lang AS currency, cast(date_add(date '2024-01-01', cast(doc_id % 30 AS IN
 FROM documents""",
     "lexicon": """
 SELECT word, cast(polarity AS DOUBLE) AS polarity, cast(subjectivity AS DOUBLE) AS subjectivity
-FROM (VALUES ('the', 0.5, 0.25), ('and', -0.25, 0.5), ('of', 0.125, 1.0), ('la', -0.5, 0.75), ('le', 0.75, 0.5))
+FROM (VALUES ('the', 0.5, 0.25), ('and', -0.25, 0.5), ('of', 0.125, 1.0), ('la', -0.5, 0.75), ('le', 0.75, 0.5),
+             ('è', 0.25, 0.125), ('ó', -0.125, 0.375), ('für', 0.0625, 0.25))
   AS t(word, polarity, subjectivity)""",
 }
 
-# A dense hourly grid with planted faults. The Spark plan numbers the rows with the library's own
-# positions and builds the grid from the hours seen, so its SQL differs from the oracle's.
+# A dense hourly grid with planted faults. The Spark plan numbers the rows with the library's own positions, so its SQL
+# differs from the oracle's.
 DIRTY_FAULTS = """
 SELECT pair, '1h' AS timeframe, timestamp, rn, open,
        CASE WHEN rn % 97 = 0 THEN low - 1 ELSE high END AS high,
@@ -45,9 +46,9 @@ SELECT pair, '1h' AS timeframe, timestamp, rn, open,
 FROM {j}"""
 
 ORACLE_DIRTY = """
-grid AS (
-  SELECT p.pair, h.timestamp, row_number() OVER (PARTITION BY p.pair ORDER BY h.timestamp) AS rn
-  FROM (SELECT DISTINCT pair FROM bars_hour) p CROSS JOIN (SELECT DISTINCT timestamp FROM bars_hour) h),
+hours AS (SELECT pair, unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp
+          FROM bars_hour GROUP BY pair),
+grid AS (SELECT pair, timestamp, row_number() OVER (PARTITION BY pair ORDER BY timestamp) AS rn FROM hours),
 j AS (
   SELECT g.pair, g.timestamp, g.rn, b.open, b.high, b.low, b.close, b.volume
   FROM grid g LEFT JOIN bars_hour b ON b.pair = g.pair AND b.timestamp = g.timestamp),
@@ -81,10 +82,10 @@ def view(spark, sf_dir, name):
 
 def _bars_dirty(spark, sf_dir):
     bars = view(spark, sf_dir, "bars_hour")
-    # every series gets every hour that any series has; the list of pairs is one scalar
+    # every series gets every hour from its first to its last
     grid = spark.sql("""
-SELECT explode((SELECT sort_array(collect_set(pair)) FROM {bars})) AS pair, '1h' AS timeframe, timestamp
-FROM (SELECT DISTINCT timestamp FROM {bars})""", bars=bars)
+SELECT pair, '1h' AS timeframe, explode(sequence(min(timestamp), max(timestamp), interval 1 hour)) AS timestamp
+FROM {bars} GROUP BY pair""", bars=bars)
     joined = grid.join(bars, ["pair", "timeframe", "timestamp"], "left")
     numbered = number_rows(joined).withColumn("rn", F.col("rn") + 1).drop("_b", "n")
     faults = spark.sql(DIRTY_FAULTS.format(j="{j}"), j=numbered)

@@ -43,23 +43,26 @@ def _gated(bars, config, extra=0):
     return rows, scan, [*VALUES, *column_names(chosen)]
 
 
-def features(bars, config=None, gate=True, as_float=False):
+def features(bars, config=None, gate=True, as_float=False, flags=False):
     """W-process: indicators, gap filling and complete rows for every series.
 
     `gate` applies S4, as ingest does, and needs no filling. Without it NULL prices are interpolated
-    and rows that still miss a price or a valid indicator are dropped.
+    and rows that still miss a price or a valid indicator are dropped. `flags` adds `_ok_<column>`: is the indicator
+    valid in this series.
     """
+    chosen = resolve(config)
+    marks = [F.col(f"_ok_{c}") for c in column_names(chosen)] if flags else []
     if gate:
         rows, _, columns = _gated(bars, config)
-        out = rows.where("_own").select(*KEYS, "timestamp", *columns)
+        rows = rows.withColumns({f"_ok_{c}": i.needs() for i in chosen for c in i.columns}) if flags and chosen else rows
+        out = rows.where("_own").select(*KEYS, "timestamp", *columns, *marks)
     else:
-        chosen = resolve(config)
         names = column_names(chosen)
         # P6 is part of the filter below: a row without any valid indicator misses one
         ready = interpolate_linear(indicators(bars, config, flags=True), columns=[*VALUES, *names])
         whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VALUES]
                        + [~F.col(f"_ok_{c}") | F.col(c).isNotNull() for c in names])
-        out = ready.where(whole).select(*KEYS, "timestamp", *VALUES, *names)
+        out = ready.where(whole).select(*KEYS, "timestamp", *VALUES, *names, *marks)
     return downcast_floats(out) if as_float else out
 
 
@@ -85,9 +88,11 @@ def training_set(bars, config=None, length=SEQUENCE_LENGTH, gate=True, as_float=
 
 
 def process_series(bars, config=None, gate=True):
-    """Processed rows of the series that pass the quality report (A4)."""
-    ready = features(bars, config, gate)
+    """Processed rows of the series that pass the quality report (A4); an indicator that a series cannot have is no gap."""
+    ready = features(bars, config, gate, flags=True)
     if not gate:
         ready = settle(ready)
-    valid = quality_report(ready, outliers=False).where("valid").select(*KEYS)
-    return attach(ready, valid, how="left_semi", buckets=buckets_of(bars))
+    names = column_names(resolve(config))
+    columns = [c for c in ready.columns if c not in (*KEYS, *[f"_ok_{n}" for n in names])]
+    valid = quality_report(ready, null_columns=columns, usable={n: f"_ok_{n}" for n in names}, outliers=False)
+    return attach(ready.select(*KEYS, *columns), valid.where("valid").select(*KEYS), how="left_semi", buckets=buckets_of(bars))

@@ -1,6 +1,7 @@
 """Spark sessions for tests and the bench; a cluster brings its own session."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # bars of one file per series may come with nanoseconds
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # checkpoint files go with the table that they hold
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,11 +40,11 @@ def local_session(cores="8", app="barworks"):
 
 
 def _checkpoint_root(spark):
-    """The shared checkpoint folder; only a local session may fall back to a folder of its own."""
+    """The shared checkpoint folder; only a session of one process may fall back to a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
+        if folder is None and not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="barworks-"))
     return context.getCheckpointDir()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks.functions.schema import (
     DEFAULT_TIMEFRAMES, KEYS, VALUES, bars_per_year, from_epoch_ms, missing_to_null, timeframe_seconds)
-from barworks.operators.positions import attach
+from barworks.operators.positions import with_facts
 
 CANDLES = "array<array<double>>"
 # Candles per request, by pair; every other pair takes the default.
@@ -35,6 +35,15 @@ def ordered_pages(pages, payload="candles"):
     return pages.where(times == F.array_sort(times))
 
 
+def refused_pages(pages, payload="candles"):
+    """Pages that give no bars, and why: missing, not readable, or times that step back."""
+    parsed = F.from_json(payload, CANDLES)
+    times = F.transform(parsed, lambda c: c[0])
+    reason = (F.when(F.col(payload).isNull(), F.lit("missing")).when(parsed.isNull(), F.lit("not readable"))
+              .when(~F.coalesce(times == F.array_sort(times), F.lit(False)), F.lit("out of order")))
+    return pages.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop(payload)
+
+
 def combine_pages(pages, payload="candles"):
     """S3: all bars of all accepted pages, in no promised order and without dedup."""
     return read_candles(ordered_pages(pages, payload), payload)
@@ -42,7 +51,16 @@ def combine_pages(pages, payload="candles"):
 
 def reject_series(df, keys=KEYS):
     """Only series without any NULL cell and without a bar whose high is below its low."""
-    return attach(df, sound_series(df, keys), keys, how="left_semi")
+    faults = {"_bad": (F.count_if(bad_bar(df, keys)), "sum")}
+    return with_facts(df, faults, keys).where("_bad = 0").drop("_bad")
+
+
+def refused_series(df, keys=KEYS):
+    """The series that `reject_series` drops, with the bars that are incomplete and those that are crossed."""
+    cells = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in df.columns if c not in keys])
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(cells).alias("n_incomplete"),
+                                F.count_if(F.col("high") < F.col("low")).alias("n_crossed"))
+    return out.where("n_incomplete > 0 or n_crossed > 0")
 
 
 def bad_bar(df, keys=KEYS):
@@ -50,19 +68,17 @@ def bad_bar(df, keys=KEYS):
     return reduce(lambda a, b: a | b, cells) | F.coalesce(F.col("high") < F.col("low"), F.lit(True))
 
 
-def sound_series(df, keys=KEYS):
-    return df.groupBy(*keys).agg(F.bool_or(bad_bar(df, keys)).alias("_bad")).where("not _bad").select(*keys)
-
-
 def pick_source(candidates, exchanges, keys=KEYS):
     """Bars of the enabled exchange with the best priority among those that answered for the series.
 
     An answer that S4 rejects later does not make way for the next exchange.
     """
-    offers = candidates.groupBy(*keys, "exchange").agg(F.count(F.lit(1)).alias("_m"))
-    offers = offers.join(exchanges.where("enabled"), "exchange")
-    best = offers.groupBy(*keys).agg(F.min_by("exchange", F.struct("priority", "exchange")).alias("_best"))
-    return attach(candidates, best, keys).where(F.col("exchange") == F.col("_best")).drop("_best")
+    # exchanges are a short list; bars of any other, or of a disabled one, are no offers
+    known = exchanges.where("enabled").select("exchange", "priority")
+    offers = candidates.join(known, "exchange")
+    best = {"_best": (F.min(F.struct("priority", "exchange")), "min")}
+    chosen = with_facts(offers, best, keys).where(F.col("exchange") == F.col("_best.exchange"))
+    return chosen.select(*candidates.columns)
 
 
 def plan_chunks(requests):
@@ -72,7 +88,7 @@ def plan_chunks(requests):
     """
     limit = reduce(lambda acc, kv: acc.when(F.col("pair") == kv[0], F.lit(kv[1])), PAGE_LIMITS.items(), F)
     rows = requests.withColumn("_l", limit.otherwise(F.lit(PAGE_LIMIT)).cast("bigint"))
-    rows = rows.withColumn("_w", timeframe_seconds()).withColumn("_s", F.unix_seconds("start"))
+    rows = rows.withColumn("_w", timeframe_seconds(strict=True)).withColumn("_s", F.unix_seconds("start"))
     rows = rows.withColumn("_e", F.unix_seconds("end")).where(F.col("_e") > F.col("_s"))
     chunks = F.ceil((F.col("_e") - F.col("_s")) / (F.col("_l") * F.col("_w")))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk_no"))

@@ -1,14 +1,17 @@
-"""The bar store: versioned Parquet, partitioned by series.
+"""The bar store: Parquet that is written by partition, and versions that say which write holds each partition.
 
-    <root>/version=<n>/pair=<p>/timeframe=<t>/*.parquet
+    <root>/writes/write=<n>/pair=<p>/timeframe=<t>/*.parquet   what write n changed
+    <root>/version=<n>/*.parquet                               one row per partition: its keys and the write that holds it
 
-With very many series, partition by timeframe alone: files are sorted by series and time, so a key
-filter still skips row groups by their statistics.
+A write merges and rewrites only the partitions that it touches; its version refers to earlier writes for all others, so
+versions share their data. With very many series, partition by timeframe alone: files are sorted by series and time,
+so a key filter still skips row groups by their statistics.
 
-A version is complete once Spark's commit left its `_SUCCESS` marker; readers ignore any other.
-Raw bars and feature frames live under different roots.
+A version is complete once Spark's commit left its `_SUCCESS` marker; readers ignore any other. Raw bars and feature
+frames live under different roots.
 """
 
+import json
 import re
 
 from pyspark.sql import Observation
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barworks.functions.schema import KEYS, missing_to_null
-from barworks.operators.positions import attach, time_bucket
+from barworks.operators.positions import attach
 from barworks.operators.rows import keep_first
 
 KEEP_VERSIONS = 3
@@ -24,7 +27,10 @@ WRITER = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "3",
     "parquet.page.size": "8192",
+    # about 100,000 bars a row group
+    "parquet.block.size": str(8 << 20),
 }
+_NO_STORE = "SELECT 0L AS file_count, 0L AS total_bytes, 0L AS backup_count, 0L AS backup_bytes"
 
 
 def _fs(spark, path):
@@ -43,62 +49,107 @@ def versions(spark, root):
     return sorted(n for n in numbers if fs.exists(path(f"{root}/version={n}/_SUCCESS")))
 
 
+def manifest(spark, root, version):
+    """The partitions of a version: their keys, `write`, and `schema`, the columns of all bars as JSON."""
+    return spark.read.parquet(f"{root}/version={version}")
+
+
+def _written(spark, root, schema):
+    """All bars of all writes; partition values stay text: a pair named 007 is not the number 7."""
+    fields = [T.StructField("write", T.LongType()), *[T.StructField(c, T.StringType()) for c in KEYS],
+              *[f for f in schema.fields if f.name not in KEYS]]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{root}/writes")
+
+
+def _of(spark, root, parts, schema):
+    """Bars of the partitions in `parts`: the join prunes the partitions that are read."""
+    by = [c for c in parts.columns if c != "schema"]
+    # the condition on `write` holds for all; Spark prunes partitions by a join only if the other side is filtered
+    df = _written(spark, root, schema).join(parts.select(*by).where("write > 0"), by, "left_semi")
+    return missing_to_null(df.select(*KEYS, *[f.name for f in schema.fields if f.name not in KEYS]))
+
+
+def _schema(parts):
+    return T.StructType.fromJson(json.loads(parts.select("schema").first().schema))
+
+
 def read_bars(spark, root, pair=None, timeframe=None, version=None):
     """The newest (or given) version, or None when nothing is stored. Key filters prune partitions."""
     known = versions(spark, root)
     if not known:
         return None
-    path = f"{root}/version={version or known[-1]}"
-    # partition values must stay text: a pair named 007 is not the number 7
-    found = spark.read.parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in KEYS else f for f in found.fields])
-    df = spark.read.schema(schema).parquet(path)
+    parts = manifest(spark, root, version or known[-1])
+    df = _of(spark, root, parts, _schema(parts))
     if pair is not None:
         df = df.where(F.col("pair") == pair)
     if timeframe is not None:
         df = df.where(F.col("timeframe") == timeframe)
-    return missing_to_null(df.select(*KEYS, *[c for c in df.columns if c not in KEYS]))
+    return df
 
 
 def merge_bars(stored, new, keys=KEYS):
-    """Stored rows and new rows, one per timestamp; what is stored wins."""
-    both = stored.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
-    ties = [F.col(c) for c in new.columns if c not in (*keys, "timestamp")]
+    """Stored rows and new rows, one per timestamp; what is stored wins. A column that one side lacks is NULL there."""
+    both = stored.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)), allowMissingColumns=True)
+    ties = [F.col(c) for c in both.columns if c not in (*keys, "timestamp", "_src")]
     return keep_first(both, [F.col("_src"), *ties], (*keys, "timestamp")).drop("_src")
 
 
+def _joined(old, new):
+    """The columns of both schemas; a column that both have must have one type."""
+    types = {f.name: f.dataType for f in old.fields}
+    for f in new.fields:
+        if types.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is stored as {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    order = [*KEYS, *[f.name for f in old.fields if f.name not in KEYS], *[f.name for f in new.fields if f.name not in KEYS]]
+    return T.StructType([T.StructField(c, types[c]) for c in dict.fromkeys(order)])
+
+
 def write_bars(df, root, partition_by=KEYS):
-    """Merge with the newest version, write the next one, check it, drop versions past the newest three.
+    """Merge into the touched partitions, write those, check them, name the new version, drop old ones.
 
-    Rows are spread by series and time bucket, so a long series is written by many tasks. Returns the
-    version written, or None for an empty frame.
+    Files are filled to Spark's advised size: small partitions share tasks and a large one is split over many. Returns
+    the version written, or None for an empty frame.
     """
     spark = df.sparkSession
     if df.isEmpty():
         return None
-    known = versions(spark, root)
-    stored = read_bars(spark, root)
-    merged = df if stored is None else merge_bars(stored.select(*df.columns), df)
+    partition_by, known = list(partition_by), versions(spark, root)
     number = known[-1] + 1 if known else 1
-    path = f"{root}/version={number}"
-    seen = Observation()
-    spread = (merged.withColumn("_b", time_bucket()).repartition(*KEYS, "_b").drop("_b")
-              .sortWithinPartitions(*partition_by, *[k for k in KEYS if k not in partition_by], "timestamp"))
+    touched = df.select(*partition_by).distinct()
+    if known:
+        before = manifest(spark, root, known[-1])
+        if set(before.columns) - {"write", "schema"} != set(partition_by):
+            raise ValueError(f"{root} is partitioned by {sorted(set(before.columns) - {'write', 'schema'})}")
+        schema = _joined(_schema(before), df.schema)
+        stored = _of(spark, root, before.join(touched, partition_by, "left_semi"), _schema(before))
+        others = before.join(touched, partition_by, "left_anti").select(*partition_by, "write")
+        merged = merge_bars(stored, df)
+    else:
+        schema, others = _joined(T.StructType([]), df.schema), None
+        merged = keep_first(df, [F.col(c) for c in df.columns if c not in (*KEYS, "timestamp")])
+    path, seen = f"{root}/writes/write={number}", Observation()
+    rest = [k for k in KEYS if k not in partition_by]
+    spread = (merged.select(*schema.fieldNames()).hint("rebalance", *KEYS)
+              .sortWithinPartitions(*partition_by, *rest, "timestamp"))
     # observed in the writing stage itself: a task that runs again there is still counted once
     counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
                              F.max("timestamp").alias("last"))
     counted.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
-    expected = seen.get
-    if not verify_write(spark, root, number, {**expected, "types": dict(merged.dtypes)}):
-        raise IOError(f"version {number} under {root} does not hold what was written")
+    if not verify_write(spark, root, number, {**seen.get, "schema": schema}):
+        raise IOError(f"write {number} under {root} does not hold what was written")
+    parts = touched.withColumn("write", F.lit(number).cast("bigint"))
+    parts = parts if others is None else parts.unionByName(others)
+    parts.withColumn("schema", F.lit(schema.json())).write.mode("overwrite").parquet(f"{root}/version={number}")
     prune_versions(spark, root)
     return number
 
 
-def verify_write(spark, root, version, expected):
-    """Read back types, row count and time range and compare with what the write observed."""
-    df = read_bars(spark, root, version=version)
-    if dict(df.dtypes) != expected["types"]:
+def verify_write(spark, root, write, expected):
+    """Read a write back and compare types, row count and time range with what was observed."""
+    schema = expected["schema"]
+    df = _written(spark, root, schema).where(F.col("write") == write)
+    if {f.name: f.dataType for f in spark.read.parquet(f"{root}/writes/write={write}").schema.fields
+            if f.name not in KEYS} != {f.name: f.dataType for f in schema.fields if f.name not in KEYS}:
         return False
     found = df.agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
                    F.max("timestamp").alias("last")).first().asDict()
@@ -106,43 +157,50 @@ def verify_write(spark, root, version, expected):
 
 
 def prune_versions(spark, root, keep=KEEP_VERSIONS):
-    """Keep the newest version and `keep` older ones as backups."""
-    for number in versions(spark, root)[: -(keep + 1)]:
-        fs, target, _ = _fs(spark, f"{root}/version={number}")
-        fs.delete(target, True)
-
-
-def retained_versions(catalogue, keep=KEEP_VERSIONS, keys=KEYS):
-    """S13 on a table of versions: the newest `keep` per series.
-
-    `keep_first`-style ranking: the limit reaches the map side, so a hot series stays small.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(F.col("version").desc())
-    return catalogue.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= keep).drop("_r")
+    """Keep the newest version and `keep` older ones as backups; writes that none of them refers to go too."""
+    known = versions(spark, root)
+    old, kept = known[: -(keep + 1)], known[-(keep + 1):]
+    if not old:
+        return
+    used = {r.write for n in kept for r in manifest(spark, root, n).select("write").distinct().collect()}
+    fs, _, path = _fs(spark, root)
+    for n in old:
+        fs.delete(path(f"{root}/version={n}"), True)
+    for status in fs.listStatus(path(f"{root}/writes")):
+        found = re.fullmatch(r"write=(\d+)", status.getPath().getName())
+        if found and int(found.group(1)) not in used and int(found.group(1)) <= kept[-1]:
+            fs.delete(status.getPath(), True)
 
 
 def storage_stats(spark, root):
-    """Files and bytes of the newest version and of the older ones, from file listings alone."""
+    """Files and bytes of the newest version, and of what only older versions refer to."""
     known = versions(spark, root)
     if not known:
-        return spark.sql("SELECT 0L AS file_count, 0L AS total_bytes, 0L AS backup_count, 0L AS backup_bytes")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(root).select("path", "length"))
-    current = F.col("path").contains(f"/version={known[-1]}/")
-    return files.agg(F.count_if(current).alias("file_count"),
-                     F.coalesce(F.sum(F.when(current, F.col("length"))), F.lit(0)).alias("total_bytes"),
-                     F.count_if(~current).alias("backup_count"),
-                     F.coalesce(F.sum(F.when(~current, F.col("length"))), F.lit(0)).alias("backup_bytes"))
+        return spark.sql(_NO_STORE)
+    newest = manifest(spark, root, known[-1])
+    by = [c for c in newest.columns if c != "schema"]
+    older = [manifest(spark, root, n).select(*by) for n in known[:-1]]
+    files = _written(spark, root, _schema(newest)).select(
+        *by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    current = files.join(newest.select(*by), by, "left_semi").withColumn("now", F.lit(True))
+    backup = None
+    for parts in older:
+        backup = parts if backup is None else backup.unionByName(parts)
+    if backup is not None:
+        held = backup.distinct().join(newest.select(*by), by, "left_anti")
+        current = current.unionByName(files.join(held, by, "left_semi").withColumn("now", F.lit(False)))
+    return current.agg(
+        F.count_if("now").alias("file_count"), F.coalesce(F.sum(F.when(F.col("now"), F.col("size"))), F.lit(0)).alias("total_bytes"),
+        F.count_if(~F.col("now")).alias("backup_count"),
+        F.coalesce(F.sum(F.when(~F.col("now"), F.col("size"))), F.lit(0)).alias("backup_bytes"))
 
 
 def read_legacy_files(spark, path):
     """One file per series, `{BASE}_{QUOTE}_{timeframe}.parquet`, keys only in the name.
 
-    Nanosecond timestamps are read as integers, for which the session setting below is needed.
+    Nanosecond timestamps are read as integers. Where the files hold them, the session must have the setting
+    spark.sql.legacy.parquet.nanosAsLong; it is the caller's session, so it is not changed here.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(path)
     name = F.col("_metadata.file_name")
     pattern = r"^(.+)_([^_]+)\.parquet$"

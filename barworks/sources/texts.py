@@ -6,8 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 MIN_LENGTH = 50
-MAX_TEXTS = 100
-POSTS = "struct<data:struct<children:array<struct<data:struct<title:string,selftext:string>>>>>"
+POSTS = "struct<data:struct<children:array<struct<data:struct<title:string,selftext:string>>>>,_corrupt_record:string>"
 
 # Elements that hold text, by news source.
 SOURCE_ELEMENTS = {"cointelegraph.com": ("h1", "h2", "article")}
@@ -19,8 +18,8 @@ CLOSES_PARAGRAPH = ("address", "article", "aside", "blockquote", "div", "dl", "f
 EMPTY_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
-def reddit_texts(payloads, payload="payload", limit=MAX_TEXTS, min_length=MIN_LENGTH):
-    """Title, then body, of each post, if longer than `min_length`; stops after the post that reaches `limit`.
+def reddit_texts(payloads, payload="payload", limit=None, min_length=MIN_LENGTH):
+    """Title, then body, of each post, if longer than `min_length`. A given `limit` stops after the post that reaches it.
 
     All of it happens inside the row of one payload, so no text is shuffled.
     """
@@ -28,14 +27,24 @@ def reddit_texts(payloads, payload="payload", limit=MAX_TEXTS, min_length=MIN_LE
     rows = payloads.withColumn("_posts", F.transform(posts, lambda p: F.filter(
         F.array(F.coalesce(p["data"]["title"], F.lit("")), F.coalesce(p["data"]["selftext"], F.lit(""))),
         lambda t: F.length(t) > min_length))).drop(payload)
-    # posts to read: count on until the kept texts reach the limit
-    start = F.struct(F.lit(0).alias("texts"), F.lit(0).alias("posts"))
-    progress = F.aggregate("_posts", start, lambda acc, p: F.when(acc["texts"] >= limit, acc).otherwise(
-        F.struct((acc["texts"] + F.size(p)).alias("texts"), (acc["posts"] + 1).alias("posts"))))
-    rows = rows.withColumn("_texts", F.flatten(F.slice("_posts", 1, progress["posts"]))).drop("_posts")
+    if limit is not None:
+        # posts to read: count on until the kept texts reach the limit
+        start = F.struct(F.lit(0).alias("texts"), F.lit(0).alias("posts"))
+        progress = F.aggregate("_posts", start, lambda acc, p: F.when(acc["texts"] >= limit, acc).otherwise(
+            F.struct((acc["texts"] + F.size(p)).alias("texts"), (acc["posts"] + 1).alias("posts"))))
+        rows = rows.withColumn("_posts", F.slice("_posts", 1, progress["posts"]))
+    rows = rows.withColumn("_texts", F.flatten("_posts")).drop("_posts")
     return rows.select(*rows.drop("_texts").columns, F.posexplode("_texts").alias("text_no", "text"))
 
 
+def refused_payloads(payloads, payload="payload"):
+    """Payloads without a readable list of posts, and why."""
+    posts = F.from_json(payload, POSTS)
+    reason = (F.when(F.col(payload).isNull(), F.lit("missing")).when(posts.isNull() | posts["_corrupt_record"].isNotNull(), F.lit("not readable"))
+              .when(posts["data"]["children"].isNull(), F.lit("no posts")))
+    return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop(payload)
+
+
 class _Elements(HTMLParser):
     """Text of the wanted elements of one page, in the order in which they start."""
 
@@ -71,8 +80,8 @@ class _Elements(HTMLParser):
                 return
 
 
-def page_texts(html, source, limit=MAX_TEXTS, min_length=MIN_LENGTH):
-    """Texts of one page: stripped, longer than `min_length`, the first `limit` in document order."""
+def page_texts(html, source, limit=None, min_length=MIN_LENGTH):
+    """Texts of one page: stripped, longer than `min_length`, in document order; the first `limit`, if given."""
     parser = _Elements(SOURCE_ELEMENTS.get(source, OTHER_ELEMENTS))
     parser.feed(html or "")
     parser.close()
@@ -80,7 +89,7 @@ def page_texts(html, source, limit=MAX_TEXTS, min_length=MIN_LENGTH):
     return [t for t in texts if len(t) > min_length][:limit]
 
 
-def news_texts(pages, html="html", source="source", limit=MAX_TEXTS, min_length=MIN_LENGTH):
+def news_texts(pages, html="html", source="source", limit=None, min_length=MIN_LENGTH):
     """One row per text of each page; pages are parsed in Arrow batches, in place."""
 
     @F.pandas_udf("array<string>")

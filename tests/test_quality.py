@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from barworks.operators import quality, rows
+from barworks.sources import candles
 
 T0 = datetime(2024, 1, 1)
 
@@ -33,9 +34,14 @@ def test_timestamp_report_order_of_failures(bars, layout):
     assert one(quality.timestamp_report(late, "2025-01-01"))["valid"]
 
 
-def test_unknown_timeframe_is_rejected(bars):
+def test_unknown_timeframe_is_reported(bars, spark):
+    df = bars([1, 2], timeframe="7h").unionByName(bars([1, 2]))
+    found = {r.timeframe: (r.valid, r.message) for r in quality.interval_check(df).collect()}
+    assert found == {"7h": (False, "Invalid timeframe: 7h"), "1h": (True, "")}
+    assert quality.gaps(df).count() == 0 and quality.timestamp_report(df.selectExpr("*", "1 AS ingest_seq"), "2025-01-01").count() == 2
     with pytest.raises(Exception, match="unknown timeframe"):
-        quality.gaps(bars([1, 2], timeframe="7h")).collect()
+        candles.plan_chunks(spark.createDataFrame([("A/B", "7h", T0, T0 + timedelta(days=1))],
+                                                  "pair string, timeframe string, start timestamp, end timestamp")).collect()
 
 
 def test_consistency_names_first_five(bars):

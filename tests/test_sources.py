@@ -34,7 +34,7 @@ def test_files_stay_sorted_when_partitioned_by_timeframe(bars, spark, tmp_path):
     root = str(tmp_path / "raw")
     df = bars(range(5), "B/x").unionByName(bars(range(5), "A/x")).unionByName(bars(range(5), "C/x"))
     store.write_bars(df.orderBy(F.rand(1)), root, partition_by=["timeframe"])
-    for path in (tmp_path / "raw").rglob("*.parquet"):
+    for path in (tmp_path / "raw" / "writes").rglob("*.parquet"):
         rows = pq.read_table(path, columns=["pair", "timestamp"], partitioning=None).to_pylist()
         assert rows == sorted(rows, key=lambda r: (r["pair"], r["timestamp"]))
     assert store.read_bars(spark, root).count() == 15
@@ -71,7 +71,6 @@ def test_legacy_files(spark, tmp_path):
                       **{c: [1.0, 2.0] for c in ("open", "high", "low", "close", "volume")}})
     pq.write_table(frame, tmp_path / "BTC_USDT_1h.parquet")
     got = store.read_legacy_files(spark, str(tmp_path)).orderBy("timestamp").collect()
-    spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
     assert [(r.pair, r.timeframe, r.timestamp) for r in got] == [("BTC/USDT", "1h", T0), ("BTC/USDT", "1h", T0 + timedelta(hours=1))]
 
 
@@ -121,7 +120,8 @@ def payload(spark, children):
 def test_reddit_stops_after_the_post_that_reaches_the_limit(spark):
     long = "x" * 51
     children = [post(long)] + [post(long, long)] * 60
-    assert texts.reddit_texts(payload(spark, children)).count() == 101
+    assert texts.reddit_texts(payload(spark, children), limit=100).count() == 101
+    assert texts.reddit_texts(payload(spark, children)).count() == 121
     assert texts.reddit_texts(payload(spark, [post("y" * 50, long), post("", "z" * 49)])).count() == 1
     empty = spark.createDataFrame([("r", "{}"), ("r", None)], "sub string, payload string")
     assert texts.reddit_texts(empty).count() == 0
@@ -135,7 +135,8 @@ def test_page_texts():
     assert len(nested) == 2 and nested[1] == f"{long}head" and nested[0].startswith(f"{long}head{long}one")
     unclosed = f"<article><p><b>{long}<br>{long}</article><footer>{long}</footer></p>"
     assert texts.page_texts(unclosed, "other.example") == [(long + long).strip()]
-    assert len(texts.page_texts(f"<p>{long}</p>" * 150, "other.example")) == 100
+    assert len(texts.page_texts(f"<p>{long}</p>" * 150, "other.example")) == 150
+    assert len(texts.page_texts(f"<p>{long}</p>" * 150, "other.example", 100)) == 100
 
 
 def test_text_sentiment(spark):
