@@ -3,7 +3,6 @@
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -14,19 +13,17 @@ from barworks.operators import fills, indicators, quality  # noqa: E402
 from barworks.plans import training  # noqa: E402
 from barworks.plans.catalog import QUERIES  # noqa: E402
 from barworks.plans.fixtures import view  # noqa: E402
-from barworks.session import local_session  # noqa: E402
-from barworks.sources import store  # noqa: E402
+from barworks.session import local_session, shared_folder  # noqa: E402
+from barworks.sources import candles, store  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-
-
-STORE = tempfile.mkdtemp(prefix="barworks-bench-")
+STORE = []  # the folder of the stored bars, once a session is there to name it
 
 
 def on_suppliers(operator):
     """Run an operator on the stored bars of all suppliers (1,000 daily series at sf0.1)."""
-    return lambda spark, sf: operator(store.read_bars(spark, STORE))
+    return lambda spark, sf: operator(store.read_bars(spark, STORE[0]))
 
 
 HEADLINE = {
@@ -40,6 +37,8 @@ HEADLINE = {
     "minmax_supplier": on_suppliers(lambda b: ft.minmax_scale(b, ["close", "volume"])),
     "quality_supplier": on_suppliers(quality.quality_report),
     "training_set_supplier": on_suppliers(training.training_set),
+    "training_set_ungated_supplier": on_suppliers(lambda b: training.training_set(b, gate=False)),
+    "reject_series_supplier": on_suppliers(candles.reject_series),
     **{name: QUERIES[name] for name in (
         "training_set", "process_series", "sequences_50", "fill_gaps", "timestamp_report", "merge_bars", "reddit_texts",
         "news_texts", "sentiment_features", "ttl_get")},
@@ -51,8 +50,15 @@ def main():
     view(spark, SF_DIR, "bars_day").write.format("noop").mode("overwrite").save()  # start the JVM's engines
     seconds = {}
     start = time.time()
-    store.write_bars(view(spark, SF_DIR, "bars_supplier"), STORE, partition_by=["timeframe"])
+    STORE.append(shared_folder(spark))
+    store.write_bars(view(spark, SF_DIR, "bars_supplier"), STORE[0], partition_by=["timeframe"])
     seconds["write_bars_supplier"] = round(time.time() - start, 3)
+    # many series, then a second write that touches one of them
+    small = shared_folder(spark)
+    store.write_bars(view(spark, SF_DIR, "bars_day"), small)
+    start = time.time()
+    store.write_bars(view(spark, SF_DIR, "bars_day").where("pair = 'A/F'"), small)
+    seconds["write_one_series"] = round(time.time() - start, 3)
     for name, query in HEADLINE.items():
         start = time.time()
         query(spark, SF_DIR).write.format("noop").mode("overwrite").save()

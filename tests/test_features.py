@@ -119,6 +119,12 @@ def test_process_series_drops_a_failing_series(bars):
     assert set(column(training.process_series(df), "pair")) == {"a/x"}
 
 
+def test_a_series_without_an_indicator_is_judged_by_the_rest(bars):
+    df = bars([*wave(60)], "a/x", volume=[float(i) + 1 for i in range(60)]).unionByName(
+        bars(wave(14), "b/x", volume=[float(i) + 1 for i in range(14)]))
+    assert set(column(training.process_series(df), "pair")) == {"a/x", "b/x"}
+
+
 def test_float_output(bars):
     got = training.training_set(bars(wave(130)), CONFIG, 5, as_float=True)
     assert dict(got.dtypes)["sequence"] == "array<array<float>>"

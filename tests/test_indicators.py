@@ -59,6 +59,32 @@ def test_ema_with_gaps(bars, layout, nulls):
     close_to(column(ind.ema(bars(x), 4, gaps=True), "EMA_4"), want)
 
 
+def test_infinite_close_counts_as_missing_change(bars, layout):
+    x = prices(60, 8)
+    x[20], x[33], x[34] = float("inf"), float("-inf"), float("inf")
+    got = column(ind.rsi(bars(x), 5), "RSI_5")
+    close_to(got, pandas_rsi(pd.Series(x), 5))
+    sma = pd.Series(x).replace([np.inf, -np.inf], np.nan).rolling(4).mean()
+    close_to(column(ind.sma(bars(x), 4), "SMA_4"), sma)
+
+
+def test_a_missing_close_leaves_no_mean_without_filling(bars, layout):
+    x = prices(40, 9)
+    x[17] = None
+    df = ind.indicators(bars(x), {"MACD": {}, "EMA": {"window": 5}, "RSI": {"period": 5}}, fill=False, flags=True)
+    for c in ("MACD_12_26_9", "MACD_Signal_12_26_9", "EMA_5", "RSI_5"):
+        assert set(column(df, c)) == {None} and set(column(df, f"_ok_{c}")) == {False}
+    close_to(column(ind.ema(bars(x), 5), "EMA_5"), pd.Series(x, dtype=float).ewm(span=5, adjust=False).mean())
+    assert set(column(ind.ema(bars(x), 5, gaps=False), "EMA_5")) == {None}
+
+
+def test_a_huge_price_leaves_no_edge(bars):
+    x = prices(1500, 10)
+    x[414] = 1e15
+    got, want = column(ind.ema(bars(x), 20, gaps=False), "EMA_20"), pd.Series(x).ewm(span=20, adjust=False).mean()
+    assert np.allclose(got, want, rtol=1e-12)
+
+
 def test_rsi_edges(bars):
     assert set(column(ind.rsi(bars([5.0] * 20)), "RSI_14")) == {50.0}
     assert column(ind.rsi(bars(range(20))), "RSI_14") == [50.0] + [100.0] * 19

@@ -4,7 +4,9 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from barworks.operators import fills, indicators
+from barworks.functions.schema import KEYS
+from barworks.operators import fills, indicators, quality
+from barworks.operators.positions import number_rows
 from barworks.plans import training
 from barworks.plans.catalog import ORACLES, QUERIES
 from barworks.sources import store
@@ -44,6 +46,19 @@ def test_one_series_spreads_over_tasks(spark, bars, layout):
             spark.conf.set(name, value)
 
 
+def test_bars_without_a_time_spread_over_buckets(spark, bars, layout):
+    df = number_rows(bars([float(i) for i in range(500)], at=[None] * 500))
+    found = df.groupBy("_b").count().collect()
+    assert len(found) > 100 and max(r["count"] for r in found) < 20
+    assert sorted(r.rn for r in df.collect()) == list(range(500))
+
+
+def test_far_apart_arrival_numbers_fill_buckets(spark, bars, layout):
+    df = bars(range(70)).selectExpr("*", "cast(close * 1000000007 AS bigint) AS ingest_seq")
+    assert quality._arrival_buckets(df, "ingest_seq", KEYS).select("_a").distinct().count() == 10
+    assert quality.monotonic_check(df).first().n_backward == 0
+
+
 def test_hot_copies_shrink_before_the_shuffle(bars):
     one = bars([1.0] * 50, at=[datetime(2024, 1, 1)] * 50)
     merged = store.merge_bars(one, one)

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
@@ -30,6 +31,43 @@ def test_store_round_trip(bars, spark, tmp_path):
     assert stats.file_count > 0 and stats.backup_count > stats.file_count and stats.backup_bytes > stats.total_bytes
 
 
+def test_a_write_leaves_other_partitions_alone(bars, spark, tmp_path):
+    root = str(tmp_path / "raw")
+    store.write_bars(bars([1, 2], "A/x").unionByName(bars([3, 4], "B/x")).unionByName(bars([5], "C/x")), root)
+    store.write_bars(bars([9, 9, 7], "B/x"), root)
+    assert [p.name for p in (tmp_path / "raw/writes/write=2").glob("pair=*")] == ["pair=B%2Fx"]
+    assert column(store.read_bars(spark, root), "close") == [1.0, 2.0, 3.0, 4.0, 7.0, 5.0]
+    assert column(store.read_bars(spark, root, version=1), "close") == [1.0, 2.0, 3.0, 4.0, 5.0]
+
+
+def test_first_write_keeps_one_bar_per_time(bars, spark, tmp_path):
+    root = str(tmp_path / "raw")
+    store.write_bars(bars([1, 2]).unionByName(bars([1, 2])), root)
+    assert store.read_bars(spark, root).count() == 2
+
+
+def test_columns_of_both_writes_stay(bars, spark, tmp_path):
+    root = str(tmp_path / "raw")
+    store.write_bars(bars([1, 2]).withColumn("RSI_14", F.lit(40.0)), root)
+    store.write_bars(bars([8, 8, 3]), root)
+    got = store.read_bars(spark, root).orderBy("timestamp").collect()
+    assert [(r.close, r.RSI_14) for r in got] == [(1.0, 40.0), (2.0, 40.0), (3.0, None)]
+    with pytest.raises(ValueError, match="RSI_14"):
+        store.write_bars(bars([1]).withColumn("RSI_14", F.lit("x")), root)
+    with pytest.raises(ValueError, match="partitioned"):
+        store.write_bars(bars([1]), root, partition_by=["timeframe"])
+
+
+def test_refused_inputs_are_named(spark, bars):
+    pages = spark.createDataFrame([(0, page(1, 2)), (1, page(2, 1)), (2, "[[1"), (3, None)], "page_no int, candles string")
+    assert {r.page_no: r.reason for r in candles.refused_pages(pages).collect()} == {1: "out of order", 2: "not readable", 3: "missing"}
+    posts = spark.createDataFrame([(0, '{"data": {"children": []}}'), (1, "{}"), (2, '{"data": {"chil'), (3, None)], "n int, payload string")
+    assert {r.n: r.reason for r in texts.refused_payloads(posts).collect()} == {1: "no posts", 2: "not readable", 3: "missing"}
+    df = bars([1, 2], "a/x").unionByName(bars([1, None], "b/x")).unionByName(bars([1, 2], "c/x", high=[-9.0, 9.0]))
+    assert {r.pair: (r.n_rows, r.n_incomplete, r.n_crossed) for r in candles.refused_series(df).collect()} == {"b/x": (2, 1, 0), "c/x": (2, 0, 1)}
+    assert set(column(candles.reject_series(df), "pair")) == {"a/x"}
+
+
 def test_files_stay_sorted_when_partitioned_by_timeframe(bars, spark, tmp_path):
     root = str(tmp_path / "raw")
     df = bars(range(5), "B/x").unionByName(bars(range(5), "A/x")).unionByName(bars(range(5), "C/x"))
@@ -145,6 +183,10 @@ def test_text_sentiment(spark):
                                  "currency string, date date, doc_id bigint, text string")
     got = {r.doc_id: (r.polarity, r.subjectivity) for r in sentiment.text_sentiment(docs, lexicon).collect()}
     assert got[1] == (0.0, (0.25 + 0.25 + 0.75) / 3) and got[2] == got[3] == (0.0, 0.0)
+    accents = spark.createDataFrame([("très", 0.5, 0.25), ("don't", -1.0, 0.75)], "word string, polarity double, subjectivity double")
+    texts_ = spark.createDataFrame([("fr", T0.date(), 1, "TRÈS, très; don't"), ("fr", T0.date(), 2, None)], docs.schema)
+    got = {r.doc_id: r.polarity for r in sentiment.text_sentiment(texts_, accents).collect()}
+    assert got == {1: 0.0, 2: 0.0}
 
 
 def test_ttl(spark):
