@@ -1,21 +1,29 @@
 """Token counts: pieces are counted once per distinct pre-token and joined to the pre-token counts of documents."""
 
+import json
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
+from barworks.llm.bpe import bytes_of_signs
 from barworks.llm.common import numbered, table
 
 LIMIT = 2048
 BLOCK_BYTES = 32 << 20  # text of a block of documents
 BLOCK_CHUNKS = 600_000  # different chunks of a block
-CACHED = 400_000  # chunks whose pre-tokens a worker remembers
+BLOCK_ROWS = 1 << 15
 SPECIAL = " "  # stands for a special string among pre-tokens, which hold no space
+MOST = (1 << 15) - 1  # largest count of one entry
+HELD = 1 << 20  # documents a task sums up before it sends the sums
 
 _SPACES = str.maketrans("\n\t", "  ")
+#: Below this sign normal forms are the signs themselves and letters are the same in every Unicode version.
+_PLAIN_END = "\u0250"
 
 
 @lru_cache(maxsize=2)
@@ -33,98 +41,140 @@ def _special(path):
 
 
 @lru_cache(maxsize=2)
-def _known(path):
-    return {}
+def _cutter(path):
+    """Pre-tokens of a text without spaces: normal forms and pre-tokens never reach across a space.
 
-
-def pre_tokens(chunk, path):
-    """Pre-tokens of a text without spaces; pre-tokens and normal forms never reach across a space."""
-    known = _known(path)
-    found = known.get(chunk)
-    if found is None:
-        tok = _tokenizer(path)
+    Where the file lower-cases composed text and cuts it by one pattern into byte-level words, and a chunk is plain Latin, the
+    pattern is applied here; everything else goes through the library's own normaliser and cutter.
+    """
+    tok = _tokenizer(path)
+    spec = json.loads(tok.to_str())
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    known = (steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+             and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and "Regex" in cuts[0]["pattern"]
+             and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"])
+    find = regex.compile(cuts[0]["pattern"]["Regex"]).findall if known else None
+    signs = {b: s for s, b in bytes_of_signs().items()}
+
+    def cut(chunk):
+        if known and chunk and max(chunk) < _PLAIN_END and chunk.isprintable():
+            words = find(chunk.lower())
+            return words if chunk.isascii() else [w.encode().decode("latin-1").translate(signs) for w in words]
         normal = tok.normalizer.normalize_str(chunk) if tok.normalizer else chunk
-        found = tuple(w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal))
-        if len(known) >= CACHED:
-            known.clear()
-        known[chunk] = found
-    return found
+        return [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)]
+
+    return cut
 
 
 def n_pieces(word, path):
     return 1 if word == SPECIAL else len(_tokenizer(path).model.tokenize(word))
 
 
-class _Block:
-    """Documents of a task: what each holds, by number of chunk."""
+def _chunks(text, special):
+    """Pieces between spaces, and the number of special strings."""
+    parts = special.split(text) if special else [text]
+    if len(parts) == 1:
+        return text.translate(_SPACES).split(" "), 0
+    return [c for part in parts for c in part.translate(_SPACES).split(" ")], len(parts) - 1
+
+
+class _Names:
+    """Different pre-tokens of the documents a task reads, block by block."""
 
     def __init__(self, path):
-        self.path, self.codes, self.rows, self.docs, self.specials, self.size = path, {}, [], [], [], 0
+        self.path, self.chunks, self.specials, self.size = path, set(), 0, 0
 
     def add(self, row, text):
-        special = _special(self.path)
-        parts = special.split(text) if special else [text]
-        codes, number = self.codes, len(self.rows)
-        ids = [codes.setdefault(c, len(codes)) for part in parts for c in part.translate(_SPACES).split(" ")]
-        self.docs.append(np.array(ids, np.int64) << 32 | number)
-        self.specials.append(len(parts) - 1)
-        self.rows.append(row)
+        chunks, specials = _chunks(text, _special(self.path))
+        self.chunks.update(chunks)
+        self.specials += specials
         self.size += len(text)
 
     def full(self):
-        return self.size >= BLOCK_BYTES or len(self.codes) >= BLOCK_CHUNKS or self.rows[-1] - self.rows[0] >= 1 << 30
-
-    def words(self):
-        """Different pre-tokens, and the numbers of those of each chunk with the chunk's place."""
-        numbers, chunk, word = {}, [], []
-        for i, c in enumerate(self.codes):
-            for w in pre_tokens(c, self.path):
-                chunk.append(i)
-                word.append(numbers.setdefault(w, len(numbers)))
-        return list(numbers), np.array(chunk, np.int64), np.array(word, np.int64)
-
-    def names(self):
-        names = self.words()[0] + [SPECIAL] * any(self.specials)
+        return self.size >= BLOCK_BYTES or len(self.chunks) >= BLOCK_CHUNKS
+
+    def batches(self):
+        cut = _cutter(self.path)
+        names = {w for c in self.chunks for w in cut(c)} | ({SPECIAL} if self.specials else set())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["word"])
 
-    def postings(self):
-        """For each pre-token the documents that hold it, as steps from the block's first row, and how often."""
-        names, chunk, word = self.words()
-        pairs, n = np.unique(np.concatenate(self.docs), return_counts=True)
+
+class _Postings:
+    """For each pre-token of a block the documents that hold it, and how often.
+
+    An entry is the document's step from the block's first row; a negative number before it says how often, if not once.
+    """
+
+    def __init__(self, path):
+        self.path, self.codes, self.rows, self.docs, self.specials, self.size = path, defaultdict(), [], [], [], 0
+        self.codes.default_factory = self.codes.__len__
+
+    def add(self, row, text):
+        chunks, specials = _chunks(text, _special(self.path))
+        self.rows.append(row)
+        self.docs.append(np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks)) << 16 | (row - self.rows[0]))
+        self.specials.append(specials)
+        self.size += len(text)
+
+    def full(self):
+        return (self.size >= BLOCK_BYTES or len(self.codes) >= BLOCK_CHUNKS or len(self.rows) >= BLOCK_ROWS
+                or self.rows[-1] - self.rows[0] >= BLOCK_ROWS - 1)
+
+    def batches(self):
+        cut, names = _cutter(self.path), defaultdict()
+        names.default_factory = names.__len__
+        cuts = [cut(c) for c in self.codes]
+        chunk = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
+        word = np.fromiter((names[w] for c in cuts for w in c), np.int64, len(chunk))
+        pairs = np.concatenate(self.docs)
         self.docs = []
-        at = np.searchsorted(pairs >> 32, np.arange(len(self.codes) + 1))  # pairs of each chunk
+        pairs.sort()
+        new = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+        pairs, n = pairs[new], np.diff(np.append(new, len(pairs)))
+        at = np.searchsorted(pairs >> 16, np.arange(len(cuts) + 1))  # pairs of each chunk
         sizes = (at[1:] - at[:-1])[chunk]
         place = np.arange(sizes.sum()) + np.repeat(at[:-1][chunk] - (np.cumsum(sizes) - sizes), sizes)
-        keys, counts = np.repeat(word, sizes) << 32 | pairs[place] & 0xFFFFFFFF, n[place]
+        keys, counts = np.repeat(word, sizes) << 16 | pairs[place] & 0xFFFF, n[place]
         marked = np.flatnonzero(self.specials)
-        keys = np.append(keys, len(names) << 32 | marked)
-        counts = np.append(counts, np.array(self.specials, np.int64)[marked])
-        keys, where = np.unique(keys, return_inverse=True)
-        counts = np.bincount(where, counts, len(keys)).astype(np.int32)
-        names = names + [SPECIAL] * bool(len(marked))
-        offsets = pa.array(np.searchsorted(keys >> 32, np.arange(len(names) + 1)), pa.int32())
-        rows = np.array(self.rows)
-        docs = (rows - rows[0]).astype(np.int32)[keys & 0xFFFFFFFF]
-        batch = pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(names), rows[0])), pa.array(names, pa.string()),
-            pa.ListArray.from_arrays(offsets, pa.array(docs)), pa.ListArray.from_arrays(offsets, pa.array(counts))],
-            ["block", "word", "docs", "counts"])
+        if len(marked):
+            keys = np.append(keys, names[SPECIAL] << 16 | (np.array(self.rows)[marked] - self.rows[0]))
+            counts = np.append(counts, np.array(self.specials)[marked])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[:len(keys)])
+        counts = np.add.reduceat(counts, new) if len(new) else counts
+        keys = keys[new]
+        often = -(-counts // MOST)  # a count too large for one entry takes several
+        last = np.cumsum(often) - 1
+        keys, single = np.repeat(keys, often), np.full(int(often.sum()), MOST)
+        single[last] = counts - (often - 1) * MOST
+        width = 1 + (single > 1)
+        ends = np.cumsum(width)
+        entries = np.empty(int(ends[-1]) if len(ends) else 0, "<i2")
+        entries[ends - 1] = keys & 0xFFFF
+        entries[(ends - 2)[single > 1]] = -single[single > 1]
+        offsets = np.concatenate(([0], 2 * ends))[np.searchsorted(keys >> 16, np.arange(len(names) + 1))].astype("<i4")
+        data = pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(offsets), pa.py_buffer(entries)])
+        batch = pa.RecordBatch.from_arrays([pa.array(np.full(len(names), self.rows[0])), pa.array(list(names), pa.string()), data],
+                                           ["block", "word", "docs"])
         for start in range(0, len(names), 1 << 15):
             yield batch.slice(start, 1 << 15)
 
 
-def _blocks(path, made):
-    """`made` of each block of the documents that a task reads."""
+def _blocks(path, kind):
+    """A `kind` of block of all documents that a task reads, one after the other."""
     def run(batches):
-        block = _Block(path)
+        block, some = kind(path), False
         for batch in batches:
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(row, text.as_py() or "")
+                some = True
                 if block.full():
-                    yield from made(block)
-                    block = _Block(path)
-        if block.rows:
-            yield from made(block)
+                    yield from block.batches()
+                    block, some = kind(path), False
+        if some:
+            yield from block.batches()
     return run
 
 
@@ -138,29 +188,53 @@ def _count(path):
 
 
 def _sums(batches):
-    """Sum pieces times counts per document, before the shuffle."""
-    rows, totals, held = [], [], 0
+    """Pieces times counts, summed per document of each block before the shuffle: one row per block and task."""
+    held, size = {}, 0
 
     def flush():
-        found, at = np.unique(np.concatenate(rows), return_inverse=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found), pa.array(np.bincount(at, np.concatenate(totals)).astype(np.int64))], ["_row", "n"])
+        sums = [held[b] for b in held]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([s.tobytes() for s in sums], pa.binary())],
+                                          ["block", "sums"])
 
     for batch in batches:
-        docs, counts = batch.column(1), batch.column(2)
-        sizes = np.diff(docs.offsets.to_numpy())
-        base, pieces = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 3))
-        found, at = np.unique(base + docs.flatten().to_numpy(), return_inverse=True)
-        rows.append(found)
-        totals.append(np.bincount(at, counts.flatten().to_numpy().astype(np.float64) * pieces))
-        held += len(found)
-        if held > 1 << 20:
+        blocks, offsets = batch.column(0).to_numpy(), np.frombuffer(batch.column(1).buffers()[1], "<i4")
+        at = batch.column(1).offset
+        offsets = offsets[at:at + batch.num_rows + 1] // 2
+        entries = np.frombuffer(batch.column(1).buffers()[2], "<i2", int(offsets[-1])) if batch.num_rows else np.zeros(0, "<i2")
+        entries = entries[offsets[0]:].astype(np.int64) if batch.num_rows else entries
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        step = np.flatnonzero(entries >= 0)
+        counts = np.where((step > 0) & (entries[step - 1] < 0), -entries[step - 1], 1)
+        weights = counts * batch.column(2).to_numpy()[owner[step]]
+        own, where = np.unique(blocks, return_inverse=True)
+        where = where[owner[step]]
+        order = np.argsort(where, kind="stable")
+        cuts = np.searchsorted(where[order], np.arange(len(own) + 1))
+        for b, i, j in zip(own.tolist(), cuts, cuts[1:]):
+            found = np.bincount(entries[step][order[i:j]], weights[order[i:j]]).astype("<i8")
+            old = held.get(b, found[:0])
+            if len(old) < len(found):
+                size += len(found) - len(old)
+                old = np.concatenate((old, np.zeros(len(found) - len(old), "<i8")))
+            old[:len(found)] += found
+            held[b] = old
+        if size > HELD:
             yield flush()
-            rows, totals, held = [], [], 0
-    if rows:
+            held, size = {}, 0
+    if held:
         yield flush()
 
 
+def _totals(rows):
+    """The sums of a block's documents over all tasks."""
+    parts = [np.frombuffer(s, "<i8") for s in rows["sums"].to_pylist()]
+    total = np.zeros(max(map(len, parts)), np.int64)
+    for part in parts:
+        total[:len(part)] += part
+    steps = np.flatnonzero(total)
+    return pa.table([pa.array(rows["block"][0].as_py() + steps), pa.array(total[steps])], ["_row", "n_tokens"])
+
+
 def token_counts(docs, path, limit=LIMIT):
     """One row per document: doc_id, n_bytes, n_tokens, over_limit, as the tokenizer file at `path` gives them.
 
@@ -174,11 +248,11 @@ def token_counts(docs, path, limit=LIMIT):
     """
     rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     texts = rows.select("_row", "text")
-    postings = texts.mapInArrow(_blocks(path, _Block.postings), "block long, word string, docs array<int>, counts array<int>")
-    words = texts.mapInArrow(_blocks(path, _Block.names), "word string").distinct()
+    postings = texts.mapInArrow(_blocks(path, _Postings), "block long, word string, docs binary")
+    words = texts.mapInArrow(_blocks(path, _Names), "word string").distinct()
     pieces = words.mapInArrow(_count(path), "word string, pieces int")
-    joined = postings.join(pieces, "word").select("block", "docs", "counts", "pieces")
-    sums = joined.mapInArrow(_sums, "_row long, n long").groupBy("_row").agg(F.sum("n").alias("n_tokens"))
+    joined = postings.join(pieces, "word").select("block", "docs", "pieces")
+    sums = joined.mapInArrow(_sums, "block long, sums binary").groupBy("block").applyInArrow(_totals, "_row long, n_tokens long")
     sizes = rows.select("_row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return (sizes.join(sums, "_row", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("long")))
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

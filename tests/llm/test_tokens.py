@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.conftest import ODD
 from tokenizers import Tokenizer
@@ -27,14 +28,28 @@ def test_counts_are_the_librarys(spark, docs, monkeypatch):
     assert sorted(tuple(r) for r in token_counts.token_counts(df, WORDS, 30).collect()) == expected
 
 
-def test_blocks_of_documents_add_up(spark, docs, prose):
-    path, rows = WORDS, [(i, prose(50, i)) for i in range(20)]
-    whole = token_counts._Block(path)
+def test_postings_hold_every_count(spark, docs, prose):
+    rows = [*[(i, prose(50, i)) for i in range(20)], (20, "word " * 100000), (21, "<|endoftext|>" * 3)]
+    block, names = token_counts._Postings(WORDS), token_counts._Names(WORDS)
     for i, t in rows:
-        whole.add(i, t)
-    words = [w for b in whole.postings() for w in b.column(1).to_pylist()]
-    assert len(words) == len(set(words)) == sum(b.num_rows for b in whole.names())
-    assert token_counts.token_counts(docs([]), path).count() == 0
+        block.add(i, t)
+        names.add(i, t)
+    made = list(block.batches())
+    words = [w for b in made for w in b.column(1).to_pylist()]
+    assert sorted(words) == sorted(w for b in names.batches() for w in b.column(0).to_pylist())
+    ones = [b.append_column("pieces", pa.array([1] * b.num_rows)).select(["block", "docs", "pieces"]) for b in made]
+    total = np.frombuffer(next(token_counts._sums(iter(ones))).column(1)[0].as_py(), "<i8")
+    assert total.tolist() == [50] * 20 + [100000, 3]
+    assert token_counts.token_counts(docs([]), WORDS).count() == 0
+
+
+def test_plain_cuts_are_the_librarys():
+    tok, cut = token_counts._tokenizer(WORDS), token_counts._cutter(WORDS)
+    rng = random.Random(9)
+    for _ in range(3000):
+        chunk = "".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(33, 0x260), 39])) for _ in range(rng.randint(1, 9)))
+        normal = tok.normalizer.normalize_str(chunk)
+        assert list(cut(chunk)) == [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)]
 
 
 def test_ids_are_the_librarys():
