@@ -4,6 +4,8 @@ import codecs
 import hashlib
 import json
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,11 +20,11 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L
 _CUT = regex.compile(r"\S(?= [^\s])")  # a pre-token always ends before a space between two signs
 SLICE = 1 << 18  # characters of a text that are cut into pre-tokens at a time
 STEP = 4096  # bytes of one pre-token between two looks for tokens that are stable
-CACHED = 300_000  # short pre-tokens a worker remembers
+CACHED = 600_000  # short pre-tokens a worker remembers
 _NEVER = 1 << 60
 
 
-def _bytes_of_signs():
+def bytes_of_signs():
     """The byte each printable sign of a byte-level vocabulary stands for: printable Latin-1 signs stand for themselves,
     the other bytes, in order, for the signs from 256 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -35,7 +37,7 @@ class MergeList:
 
     def __init__(self, path):
         spec = json.load(open(path, encoding="utf-8"))
-        signs, vocab = _bytes_of_signs(), spec["model"]["vocab"]
+        signs, vocab = bytes_of_signs(), spec["model"]["vocab"]
         self.text = {i: bytes(map(signs.__getitem__, t)) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text.update({i: t.encode() for t, i in self.special.items()})
@@ -48,13 +50,15 @@ class MergeList:
             if whole not in self.birth:
                 self.birth[whole], self.split[whole] = rank, parts
         self._spines, self._joins, self._joins_back = {}, {}, {}
-        self.tokens, self.suffixes, self.lookahead = {}, set(), 1
+        self.tokens, self.lookahead = {}, 1
         for t, i in sorted(vocab.items(), key=lambda x: self.birth.get(x[1], -1)):
             b = self.text[i]
             if self._whole(i):
                 self.tokens[b] = i
-                self.suffixes.update(b[j:] for j in range(len(b)))
                 self.lookahead = max(self.lookahead, len(b))
+        # every end of a token, with the token it is itself, if any
+        self.endings = {b[j:]: None for b in self.tokens for j in range(len(b))} | self.tokens
+        self.table = [self.text.get(i, b"") for i in range(max(self.text) + 1)]
         pattern = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.special_pattern = re.compile(f"({pattern})") if pattern else None
         self.packed = {}
@@ -124,26 +128,28 @@ class Transducer:
         self.merges, self.bytes, self.last, self.before = merges, b"", [], None
 
     def feed(self, data):
-        m = self.merges
-        tokens, suffixes, stays, last = m.tokens, m.suffixes, m.stays, self.last
+        m, last, before = self.merges, self.last, self.before
+        endings, joins, stays = m.endings, m._joins, m.stays
         at, held = len(last), self.bytes + data
         self.bytes = held
         for end in range(at + 1, len(held) + 1):
             fit = []
             for start in range(end - 1, -1, -1):
-                part = held[start:end]
-                if part not in suffixes:
-                    break
-                token = tokens.get(part)
+                token = endings.get(held[start:end], -1)
                 if token is not None:
+                    if token < 0:
+                        break
                     fit.append((start, token))
             for start, token in reversed(fit):
-                previous = last[start - 1][1] if start else self.before
-                if previous is None or stays(previous, token):
-                    last.append((start, token))
+                previous = last[start - 1][1] if start else before
+                if previous is None:
+                    break
+                fits = joins.get(previous << 32 | token)
+                if fits or fits is None and stays(previous, token):
                     break
             else:
                 raise ValueError("bytes that the vocabulary lacks")
+            last.append((start, token))
 
     def _path(self, end):
         out = []
@@ -197,7 +203,10 @@ def encode_stream(text, merges):
     known = merges.packed
 
     def ids(word):
-        packed = np.array(encode_pre_token(word.encode("utf-8", "replace"), merges), "<u4").tobytes()
+        made = array("I", encode_pre_token(word.encode("utf-8", "replace"), merges))
+        if made.itemsize != 4 or sys.byteorder != "little":
+            made = np.array(made, "<u4")
+        packed = made.tobytes()
         if len(word) <= 64:
             if len(known) >= CACHED:
                 known.clear()
@@ -210,14 +219,21 @@ def encode_stream(text, merges):
             yield np.uint32(merges.special[part]).tobytes()
             continue
         for piece in _slices(part):
-            yield b"".join([get(w) or ids(w) for w in PRE_TOKEN.findall(piece)])
+            words = PRE_TOKEN.findall(piece)
+            packed = list(map(get, words))
+            if None in packed:
+                packed = [p or get(w) or ids(w) for p, w in zip(packed, words)]
+            yield b"".join(packed)
 
 
 def decode_stream(blocks, merges):
     """Text of a stream of id blocks: bytes go through a UTF-8 state machine that keeps what is not yet a whole sign."""
-    machine, text = codecs.getincrementaldecoder("utf-8")("replace"), merges.text
+    machine, known = codecs.getincrementaldecoder("utf-8")("replace"), len(merges.table)
     for block in blocks:
-        yield machine.decode(b"".join([text.get(i, b"") for i in np.frombuffer(block, "<u4").tolist()]))
+        ids = np.frombuffer(block, "<u4")
+        if len(ids) and ids.max() >= known:
+            ids = ids[ids < known]
+        yield machine.decode(b"".join(map(merges.table.__getitem__, ids.tolist())))
     yield machine.decode(b"", True)
 
 
