@@ -2,10 +2,17 @@
 
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from barworks.llm.sharing import PACKED, among, packed, shared, short, unpacked
+from barworks.llm.words import mixed
 from barworks.session import settle, shared_folder
 
+ITEMS_PER_BLOCK = 1 << 16
+KEYS_PER_BUCKET = 1 << 21
+
 
 def table(spark, sf_dir, name):
     """One table of a folder, through Spark's reader alone."""
@@ -27,20 +34,46 @@ def stored(df):
     return df.sparkSession.read.parquet(path)
 
 
-def block_keys(fp, max_diff, n_blocks):
-    """Pigeonhole keys of a 64-bit fingerprint column, as an array of longs.
+def block_masks(max_diff, n_blocks):
+    """Pigeonhole masks of a 64-bit fingerprint: the bits are cut into `n_blocks` blocks.
 
-    The bits are cut into `n_blocks` blocks. Two fingerprints with at most `max_diff` differing bits agree in at least
-    `n_blocks - max_diff` blocks, so they share the key of some choice of that many blocks.
+    Two fingerprints with at most `max_diff` differing bits agree in at least `n_blocks - max_diff` blocks, so they agree
+    under the mask of some choice of that many blocks.
     """
     cuts = [64 * i // n_blocks for i in range(n_blocks + 1)]
-    masks = [sum(1 << b for b in range(cuts[i], cuts[i + 1])) for i in range(n_blocks)]
-    keys = []
-    for i, chosen in enumerate(combinations(masks, n_blocks - max_diff)):
-        mask = sum(chosen)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        keys.append(F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(mask).cast("long"))))
-    return F.array(*keys)
+    blocks = [sum(1 << b for b in range(cuts[i], cuts[i + 1])) for i in range(n_blocks)]
+    return [sum(chosen) for chosen in combinations(blocks, n_blocks - max_diff)]
+
+
+def _keys(prints, masks):
+    """Key of each mask and fingerprint, a row per mask."""
+    prints = np.asarray(prints, np.int64).view(np.uint64)
+    return np.stack([mixed((prints & np.uint64(m)) ^ mixed(np.full(1, i + 1, np.uint64))) for i, m in enumerate(masks)])
+
+
+def _members(items, masks):
+    """Items under each key that several items have: (key, id, fp, n).
+
+    Keys travel packed, a few bytes each, and only those that recur come back to their items.
+    """
+    count = items.count()
+    blocks = max(1, -(-count // ITEMS_PER_BLOCK))
+    n_buckets = max(1, -(-count * len(masks) // KEYS_PER_BUCKET))
+    items = items.select("id", "fp", "n", F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long")).alias("block"))
+
+    def send(rows):
+        keys, counts = np.unique(_keys(rows["fp"].to_numpy(), masks), return_counts=True)
+        return pa.table(packed(rows["block"][0].as_py(), np.concatenate((keys, keys[counts > 1])), n_buckets), ["bucket", "block", "keys"])
+
+    def pick(rows, recurring):
+        keys = _keys(rows["fp"].to_numpy(), masks)
+        mask, item = np.nonzero(among(short(keys, n_buckets), unpacked(recurring)))
+        return pa.table([pa.array(keys[mask, item].view(np.int64)), *[rows[c].take(pa.array(item)) for c in ("id", "fp", "n")]],
+                        ["key", "id", "fp", "n"])
+
+    recurring = items.groupBy("block").applyInArrow(send, PACKED).groupBy("bucket").applyInArrow(shared, PACKED)
+    return (items.groupBy("block").cogroup(recurring.groupBy("block"))
+            .applyInArrow(pick, "key long, id long, fp long, n long"))
 
 
 def hamming(a, b):
@@ -88,9 +121,7 @@ def near_groups(items, max_diff, n_blocks, verify=None):
     """
     verify = verify or (lambda pairs: pairs)
     close = hamming(F.col("fp"), F.col("fp2")) <= max_diff
-    keyed = items.select("id", F.explode(block_keys(F.col("fp"), max_diff, n_blocks)).alias("key"))
-    several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    keyed = stored(keyed.join(several, "key").join(items.select("id", "fp", "n"), "id"))
+    keyed = stored(_members(items, block_masks(max_diff, n_blocks)))
     first = (keyed.groupBy("key").agg(F.max(F.struct("n", "id", "fp")).alias("f"))
              .select("key", F.col("f.id").alias("id2"), F.col("f.fp").alias("fp2")))
     stars = (keyed.join(first, "key").where((F.col("id") != F.col("id2")) & close)

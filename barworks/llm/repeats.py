@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from barworks.llm.common import numbered, table
+from barworks.llm.sharing import PACKED, among, by_bucket, packed, shared, short, unpacked
 from barworks.llm.words import _SIGN, mixed, powers
 
 LENGTH = 50  # bytes of a judged string
@@ -92,14 +93,6 @@ def _ids(column):
     return np.array([_NO_ID if d is None else d for d in column.to_pylist()], np.int64)
 
 
-def _by_bucket(keys, n_buckets):
-    """Order of keys by bucket, and where each bucket that occurs starts."""
-    bucket = ((keys >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    found, starts = np.unique(bucket[order], return_index=True)
-    return order, found, np.append(starts, len(order))
-
-
 def _triggers(n_buckets):
     """Per block and bucket one row: the triggers' lower halves, twice those that more than one document of the block has."""
     def send(block, keys, ids):
@@ -113,13 +106,8 @@ def _triggers(n_buckets):
         runs = np.cumsum(new) - 1
         several = np.zeros(runs[-1] + 1, bool)
         several[runs[other]] = True
-        keys = keys[new]
-        keys = np.concatenate((keys, keys[several]))
-        order, found, starts = _by_bucket(keys, n_buckets)
-        low = (keys[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-        yield pa.RecordBatch.from_arrays([
-            pa.array(found.astype(np.int32)), pa.array(np.full(len(found), block)),
-            pa.array([low[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], ["bucket", "block", "keys"])
+        keys = np.concatenate((keys[new], keys[new][several]))
+        yield pa.RecordBatch.from_arrays(packed(block, keys, n_buckets), ["bucket", "block", "keys"])
 
     def run(batches):
         block, keys, ids = None, [], []
@@ -139,40 +127,20 @@ def _triggers(n_buckets):
     return run
 
 
-def _shared(rows):
-    """Of the triggers of a bucket those that occur more than once, back to each block that has them."""
-    lots = [np.frombuffer(k, "<u4") for k in rows["keys"].to_pylist()]
-    values, counts = np.unique(np.concatenate(lots), return_counts=True)
-    values = values[counts > 1]
-    blocks, out = [], []
-    for block, lot in zip(rows["block"].to_pylist(), lots):
-        own = np.unique(lot)
-        own = own[np.isin(own, values, assume_unique=True)]
-        if len(own):
-            blocks.append(block)
-            out.append(own.tobytes())
-    return pa.table([rows["bucket"].slice(0, 1).take(pa.array([0] * len(blocks), pa.int64())), pa.array(blocks, pa.int64()),
-                     pa.array(out, pa.binary())], ["bucket", "block", "keys"])
-
-
 def _phrases(n_buckets):
     """Per block and bucket one row: distinct phrases of shared triggers, each with the least id that has it in the block."""
-    def run(texts, shared):
+    def run(texts, recurring):
         empty = pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())],
                          ["bucket", "block", "ids", "sizes", "phrases"])
-        if not (texts.num_rows and shared.num_rows):
+        if not (texts.num_rows and recurring.num_rows):
             return empty
-        wanted = np.sort(np.concatenate([
-            np.uint64(b) << np.uint64(32) | np.frombuffer(k, "<u4").astype(np.uint64)
-            for b, k in zip(shared["bucket"].to_pylist(), shared["keys"].to_pylist())]))
+        wanted = unpacked(recurring)
         own = _ids(texts["doc_id"])
         keys, phrase_keys, ids, sizes, data = [], [], [], [], []
         for numbers, bounds, _, parse in _parsed(_bytes(texts["text"])):
             if not len(parse.first):
                 continue
-            short = (parse.keys >> np.uint64(32)) % np.uint64(n_buckets) << np.uint64(32) | parse.keys & np.uint64(0xFFFFFFFF)
-            place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
-            at = np.flatnonzero(wanted[place] == short)
+            at = np.flatnonzero(among(short(parse.keys, n_buckets), wanted))
             first, ends = parse.first[at], parse.last[at] + LENGTH
             text = np.array(numbers)[np.searchsorted(bounds, first, "right") - 1]
             keys.append(parse.keys[at])
@@ -187,7 +155,7 @@ def _phrases(n_buckets):
         order = np.lexsort((ids, phrase_keys))
         order = order[np.concatenate(([True], phrase_keys[order][1:] != phrase_keys[order][:-1]))]
         keys, ids, sizes = keys[order], ids[order], sizes[order].astype(np.uint8)
-        inner, found, starts = _by_bucket(keys, n_buckets)
+        inner, found, starts = by_bucket(keys, n_buckets)
         ids, sizes, order = ids[inner], sizes[inner], order[inner].tolist()
         cuts = list(zip(starts, starts[1:]))
         return pa.table([
@@ -295,9 +263,9 @@ def _judged(docs, finish, schema):
     rows = max(1, BLOCK_BYTES * size.n // max(size.b, 1))  # rows that hold about a block's bytes
     n_buckets = max(1, -(-size.b // BUCKET_BYTES))
     texts = texts.select("_row", "doc_id", "text", F.shiftright("_row", rows.bit_length() - 1).alias("block"))
-    shared = (texts.select("block", "doc_id", "text").mapInArrow(_triggers(n_buckets), "bucket int, block long, keys binary")
-              .groupBy("bucket").applyInArrow(_shared, "bucket int, block long, keys binary"))
-    phrases = (texts.groupBy("block").cogroup(shared.groupBy("block"))
+    recurring = (texts.select("block", "doc_id", "text").mapInArrow(_triggers(n_buckets), PACKED)
+                 .groupBy("bucket").applyInArrow(shared, PACKED))
+    phrases = (texts.groupBy("block").cogroup(recurring.groupBy("block"))
                .applyInArrow(_phrases(n_buckets), "bucket int, block long, ids binary, sizes binary, phrases binary"))
     verdicts = phrases.groupBy("bucket").applyInArrow(_judge, "block long, keys binary, bits binary")
     return texts.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(finish, schema)

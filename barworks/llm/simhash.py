@@ -10,7 +10,7 @@ from barworks.session import settle
 
 SHINGLE = 4
 MAX_DIFF = 4
-N_BLOCKS = 6
+N_BLOCKS = 7
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _STEP = 1 << 18  # shingles hashed before their bits are added up
 

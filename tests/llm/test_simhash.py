@@ -58,7 +58,7 @@ def test_hot_group_of_near_copies(spark):
     prints += [p ^ 1 << rng.randrange(64) for p in prints[-100:]]
     signed = [p - (1 << 64) if p >= 1 << 63 else p for p in set(prints)]
     items = common.stored(spark.createDataFrame([(p, p, 1) for p in signed], "id long, fp long, n long"))
-    found = {r.node: r.component for r in common.near_groups(items, 4, 6).collect()}
+    found = {r.node: r.component for r in common.near_groups(items, 4, 7).collect()}
     expected = slow_groups([(i, p % (1 << 64)) for i, p in enumerate(signed)])
     ours, theirs = {}, {}
     for i, _, g in expected:
