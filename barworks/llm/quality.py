@@ -20,18 +20,18 @@ STATISTICS = ("n_chars", "n_words", "word_length", "letters", "capitals", "digit
 
 def statistics(docs, keep=("doc_id",)):
     """Columns of `keep` and figures of each whole text; a null text counts as empty, whose shares are all 0."""
-    # the sign behind every word keeps a text without words from having an empty first word
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(*keep, text.alias("_t")).select(
-        "*", F.length("_t").alias("n_chars"), F.filter(F.split("_t", r"\s+"), lambda w: w != "").alias("_w"))
-    less = lambda signs: F.col("n_chars") - F.length(F.translate("_t", signs, ""))
+    trimmed = F.btrim("_t", F.lit(" \t\n\x0b\f\r"))
+    base = docs.select(*keep, text.alias("_t")).select("*", F.length("_t").alias("n_chars"), trimmed.alias("_trim"))
+    base = base.select("*", F.when(F.col("_trim") == "", F.array().cast("array<string>")).otherwise(F.split("_trim", r"\s+")).alias("_w"))
+    counts = lambda signs: F.regexp_count("_t", F.lit(signs))
+    less = lambda sign: F.col("n_chars") - F.length(F.replace("_t", F.lit(sign), F.lit("")))
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-    latin = "abcdefghijklmnopqrstuvwxyz"
     counted = base.select(
         *keep, "n_chars", F.size("_w").alias("n_words"), F.size(F.array_distinct("_w")).alias("_different"),
-        F.regexp_count("_t", F.lit(r"\p{L}")).alias("_letters"), less(latin.upper() + "ÀÂÄÇÈÉÊËÎÏÔÖÙÛÜÁÍÑÓÚ").alias("_capitals"),
-        less("0123456789").alias("_digits"), less("!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~").alias("_signs"), less("|").alias("_bars"),
-        less("!?").alias("_marks"), less(".,").alias("_stops"), (less("\n") + 1).alias("lines"))
+        (F.col("n_chars") - counts(r"\P{L}")).alias("_letters"), counts("[A-ZÀ-ÖØ-Þ]").alias("_capitals"), counts("[0-9]").alias("_digits"),
+        counts(r"[!-+\-/:-@\[-`{-~]").alias("_signs"), less("|").alias("_bars"), (less("!") + less("?")).alias("_marks"),
+        (less(".") + less(",")).alias("_stops"), (less("\n") + 1).alias("lines"))
     words, chars = F.col("n_words"), F.col("n_chars")
     return counted.select(
         *keep, F.log1p(chars).alias("n_chars"), F.log1p(words).alias("n_words"), share(chars, words).alias("word_length"),
