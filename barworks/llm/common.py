@@ -22,7 +22,8 @@ def table(spark, sf_dir, name):
 def numbered(df, name="_row"):
     """Number the rows of a stored table; repeated rows and ids get numbers of their own.
 
-    The number follows from file and place in it, so a task that runs again gives the same one.
+    The number follows from file and place in it, so a task that runs again gives the same one. Another scan may not: how
+    Spark packs files into tasks follows the cores registered at that moment. Who reads the numbers twice has them `stored`.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 

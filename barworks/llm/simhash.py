@@ -5,7 +5,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barworks.llm.common import near_groups, numbered, table
+from barworks.llm.common import near_groups, numbered, stored, table
 from barworks.session import settle
 
 SHINGLE = 4
@@ -67,7 +67,10 @@ def keep_one(docs, max_diff=MAX_DIFF, n_blocks=N_BLOCKS):
     Of repeated rows with that id the first one stored stays; if a group has no id at all, its first row. All columns
     of `docs` are kept; texts are compared as in `near_duplicates`.
     """
-    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # no column of the documents can clash
+    at = {c.lower(): n for c, n in zip(docs.columns, names)}
+    own = stored(numbered(docs.toDF(*names)))
+    rows = own.select("_row", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["text"]).cast("string").alias("text"))
     prints = settle(rows.select("_row", "doc_id", "text").mapInArrow(_row_fingerprints, "_row long, doc_id long, fp long"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("best")
     distinct = settle(prints.groupBy("fp").agg(best, F.count("*").alias("n")))
@@ -75,7 +78,7 @@ def keep_one(docs, max_diff=MAX_DIFF, n_blocks=N_BLOCKS):
     kept = (distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
             .groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
             .select(F.col("best._row").alias("_row")))
-    return numbered(docs).join(kept, "_row", "left_semi").drop("_row")
+    return own.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 def _row_fingerprints(batches):

@@ -6,6 +6,7 @@ from conftest import SMALL
 from llm.conftest import ODD
 
 from barworks.llm import common, simhash
+from barworks.session import shared_folder
 
 
 def slow_fingerprint(text):
@@ -81,6 +82,22 @@ def test_keep_one_keeps_a_row_of_each_group(docs, prose):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 3), (False, 7), (True, 0)]
 
 
+def test_keep_one_holds_when_files_are_packed_anew(spark, docs, prose, monkeypatch):
+    path, key, near_groups = shared_folder(spark), "spark.sql.files.maxPartitionBytes", simhash.near_groups
+    docs([(i, prose(60, i // 2)) for i in range(40)]).repartition(10, "doc_id").write.parquet(path)
+    before = spark.conf.get(key)
+
+    def repack(*given):
+        spark.conf.set(key, "1024")  # from here on files are cut and packed as on another number of cores
+        return near_groups(*given)
+    monkeypatch.setattr(simhash, "near_groups", repack)
+    try:
+        spark.conf.set(key, "1g")
+        assert sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(path)).collect()) == list(range(0, 40, 2))
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_no_plan_multiplies_rows(spark):
     plan = simhash.op1_simhash(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
