@@ -52,22 +52,22 @@ def _keys(prints, masks):
     return np.stack([mixed((prints & np.uint64(m)) ^ mixed(np.full(1, i + 1, np.uint64))) for i, m in enumerate(masks)])
 
 
-def _members(items, masks):
-    """Items under each key that several items have: (key, id, fp, n).
+def _members(items, n_keys, keys_of):
+    """Items under each key that several items have: (key, id, fp, n). `keys_of` gives a row of keys per kind of key.
 
     Keys travel packed, a few bytes each, and only those that recur come back to their items.
     """
     count = items.count()
     blocks = max(1, -(-count // ITEMS_PER_BLOCK))
-    n_buckets = max(1, -(-count * len(masks) // KEYS_PER_BUCKET))
-    items = items.select("id", "fp", "n", F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long")).alias("block"))
+    n_buckets = max(1, -(-count * n_keys // KEYS_PER_BUCKET))
+    items = items.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long")).alias("block"))
 
     def send(rows):
-        keys, counts = np.unique(_keys(rows["fp"].to_numpy(), masks), return_counts=True)
+        keys, counts = np.unique(keys_of(rows), return_counts=True)
         return pa.table(packed(rows["block"][0].as_py(), np.concatenate((keys, keys[counts > 1])), n_buckets), ["bucket", "block", "keys"])
 
     def pick(rows, recurring):
-        keys = _keys(rows["fp"].to_numpy(), masks)
+        keys = keys_of(rows)
         mask, item = np.nonzero(among(short(keys, n_buckets), unpacked(recurring)))
         return pa.table([pa.array(keys[mask, item].view(np.int64)), *[rows[c].take(pa.array(item)) for c in ("id", "fp", "n")]],
                         ["key", "id", "fp", "n"])
@@ -114,6 +114,16 @@ def near_groups(items, max_diff, n_blocks, verify=None):
 
     `items` has id (long, distinct), fp (long) and n (how many rows it stands for), and is settled. `verify` takes pairs
     (a, b) of ids and keeps those that are links; without it the bits decide.
+    """
+    masks = block_masks(max_diff, n_blocks)
+    close = hamming(F.col("fp"), F.col("fp2")) <= max_diff
+    return keyed_groups(items, len(masks), lambda rows: _keys(rows["fp"].to_numpy(), masks), close, verify)
+
+
+def keyed_groups(items, n_keys, keys_of, close, verify=None):
+    """Connected groups of items that share a key, are `close` (a Column of fp and fp2) and that `verify` keeps.
+
+    `keys_of` gives `n_keys` rows of 64-bit keys of a table of items, whose other columns it may read. As `near_groups` else.
 
     No pair inside a group is needed once the group is known to be connected. So first every member of a key is compared
     with the member that stands for most rows. Then, in keys that still hold several groups, the members outside the
@@ -121,8 +131,7 @@ def near_groups(items, max_diff, n_blocks, verify=None):
     out the pairs within the largest, which is what a hot group of copies consists of.
     """
     verify = verify or (lambda pairs: pairs)
-    close = hamming(F.col("fp"), F.col("fp2")) <= max_diff
-    keyed = stored(_members(items, block_masks(max_diff, n_blocks)))
+    keyed = stored(_members(items, n_keys, keys_of))
     first = (keyed.groupBy("key").agg(F.max(F.struct("n", "id", "fp")).alias("f"))
              .select("key", F.col("f.id").alias("id2"), F.col("f.fp").alias("fp2")))
     stars = (keyed.join(first, "key").where((F.col("id") != F.col("id2")) & close)
