@@ -5,13 +5,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barworks.llm.common import near_groups, numbered, stored, table
+from barworks.llm.common import keyed_groups, near_groups, numbered, stored, table
+from barworks.llm.words import mixed
 from barworks.session import settle
 
 SHINGLE = 4
 MAX_DIFF = 4
 N_BLOCKS = 7
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+KEEP_SHINGLE = 5  # words, for `keep_one`
+SIMILARITY = 0.8  # share of common shingles, for `keep_one`
+SKETCH = 64  # least hashes of a text
+PAIRS_PER_COPY = 256
+_LONGS = [f"s{i}" for i in range(SKETCH // 8)]
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# texts that share four fifths of their shingles have about 51 of 64 least hashes in common, so 8 of them under nearly any 40 choices
+_CHOICES = [np.random.default_rng(i).choice(SKETCH, 8, replace=False) for i in range(40)]
 _STEP = 1 << 18  # shingles hashed before their bits are added up
 
 
@@ -61,31 +70,97 @@ def near_duplicates(docs, max_diff=MAX_DIFF, n_blocks=N_BLOCKS):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs, max_diff=MAX_DIFF, n_blocks=N_BLOCKS):
+def shingles(text, words_per_shingle):
+    """Hashes of the different runs of words of a text, in order; none for a text without words."""
+    words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(words) - words_per_shingle + 1)
+    digest = xxhash.xxh64_intdigest
+    single = np.fromiter((digest(w, 42) for w in words), np.uint64, len(words))
+    out = single[:n].copy()
+    for i in range(1, min(words_per_shingle, len(words))):
+        out = mixed(out * np.uint64(0x100000001B3) + single[i:i + n])
+    return np.unique(mixed(out))
+
+
+def _sketched(words_per_shingle):
+    """Row, doc_id, hash of the shingles, and least hashes of them, a byte each."""
+    def run(batches):
+        for batch in batches:
+            out = np.zeros((batch.num_rows, SKETCH), np.uint8)
+            ids = np.zeros(batch.num_rows, np.int64)
+            for i, text in enumerate(batch.column(2)):
+                found = shingles(text.as_py(), words_per_shingle)
+                if len(found):
+                    ids[i] = xxhash.xxh64_intdigest(found.astype("<u8").tobytes()) - (1 << 63)
+                    out[i] = mixed(np.concatenate([(found * f).min(keepdims=True) for f in _FACTORS])) & np.uint64(255)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids), *map(pa.array, out.view("<i8").T)],
+                                             ["_row", "doc_id", "id", *_LONGS])
+    return run
+
+
+def _sketch_keys(rows):
+    sketch = np.stack([rows[c].to_numpy() for c in _LONGS], axis=1).astype("<i8").view(np.uint8)
+    return np.stack([mixed(np.ascontiguousarray(sketch[:, chosen]).view("<u8").ravel() ^ mixed(np.full(1, i + 1, np.uint64)))
+                     for i, chosen in enumerate(_CHOICES)])
+
+
+def _alike(words_per_shingle, similarity):
+    """Keeps the pairs whose texts have a share of common shingles of at least `similarity`."""
+    def run(batches):
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = shingles(x, words_per_shingle), shingles(y, words_per_shingle)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+    return run
+
+
+def _with_texts(pairs, texts):
+    """Pairs (a, b) with both texts; a text that many pairs ask for stands once per PAIRS_PER_COPY of them."""
+    for c in "ab":
+        asked = pairs.groupBy(c).agg(F.ceil(F.count("*") / F.lit(PAIRS_PER_COPY)).cast("int").alias("_copies"))
+        copies = (asked.join(texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")), c)
+                  .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
+        dealt = pairs.join(asked, c).withColumn("_copy", F.pmod(F.xxhash64("a", "b"), F.col("_copies")).cast("int")).drop("_copies")
+        pairs = dealt.join(copies, [c, "_copy"]).drop("_copy")
+    return pairs
+
+
+def keep_one(docs, words_per_shingle=KEEP_SHINGLE, similarity=SIMILARITY):
     """The documents without their near duplicates: of each group the row of the smallest doc_id stays.
 
-    Of repeated rows with that id the first one stored stays; if a group has no id at all, its first row. All columns
-    of `docs` are kept; texts are compared as in `near_duplicates`.
+    Texts link when the share of common shingles of `words_per_shingle` words (Jaccard, of different ones) reaches
+    `similarity`: pairs that agree in one of the choices of least hashes are compared by their shingles. Texts without
+    words link with each other. Words are split at blanks, ASCII letters in lower case. Of repeated rows with that id the
+    first one stored stays; if a group has no id at all, its first row. All columns of `docs` are kept.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]  # no column of the documents can clash
     at = {c.lower(): n for c, n in zip(docs.columns, names)}
     own = stored(numbered(docs.toDF(*names)))
     rows = own.select("_row", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["text"]).cast("string").alias("text"))
-    prints = settle(rows.select("_row", "doc_id", "text").mapInArrow(_row_fingerprints, "_row long, doc_id long, fp long"))
+    schema = ", ".join(f"{c} long" for c in ("_row", "doc_id", "id", *_LONGS))
+    prints = rows.mapInArrow(_sketched(words_per_shingle), schema)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("best")
-    distinct = settle(prints.groupBy("fp").agg(best, F.count("*").alias("n")))
-    groups = near_groups(distinct.select(F.col("fp").alias("id"), "fp", "n"), max_diff, n_blocks)
-    kept = (distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-            .groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
+    distinct = settle(prints.groupBy("id").agg(best, *[F.max(c).alias(c) for c in _LONGS], F.count("*").alias("n")))
+
+    def verify(pairs):
+        pairs = settle(pairs)
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        places = distinct.join(wanted, "id").select("id", F.col("best._row").alias("_row"))
+        texts = settle(rows.select("_row", "text").join(places, "_row").select("id", "text"))
+        return _with_texts(pairs, texts).select("a", "b", "ta", "tb").mapInArrow(_alike(words_per_shingle, similarity), "a long, b long")
+
+    items = distinct.where("id <> 0").select("id", F.lit(0).cast("long").alias("fp"), "n", *_LONGS)
+    groups = keyed_groups(items, len(_CHOICES), _sketch_keys, F.lit(True), verify)
+    kept = (distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
+            .groupBy(F.coalesce("component", "id").alias("component")).agg(F.min("best").alias("best"))
             .select(F.col("best._row").alias("_row")))
     return own.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
-def _row_fingerprints(batches):
-    for batch in batches:
-        prints = pa.array([fingerprint(x.as_py()) for x in batch.column(2)], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["_row", "doc_id", "fp"])
-
-
 def op1_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -83,14 +83,14 @@ def test_keep_one_keeps_a_row_of_each_group(docs, prose):
 
 
 def test_keep_one_holds_when_files_are_packed_anew(spark, docs, prose, monkeypatch):
-    path, key, near_groups = shared_folder(spark), "spark.sql.files.maxPartitionBytes", simhash.near_groups
+    path, key, keyed_groups = shared_folder(spark), "spark.sql.files.maxPartitionBytes", simhash.keyed_groups
     docs([(i, prose(60, i // 2)) for i in range(40)]).repartition(10, "doc_id").write.parquet(path)
     before = spark.conf.get(key)
 
     def repack(*given):
         spark.conf.set(key, "1024")  # from here on files are cut and packed as on another number of cores
-        return near_groups(*given)
-    monkeypatch.setattr(simhash, "near_groups", repack)
+        return keyed_groups(*given)
+    monkeypatch.setattr(simhash, "keyed_groups", repack)
     try:
         spark.conf.set(key, "1g")
         assert sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(path)).collect()) == list(range(0, 40, 2))
@@ -98,6 +98,34 @@ def test_keep_one_holds_when_files_are_packed_anew(spark, docs, prose, monkeypat
         spark.conf.set(key, before)
 
 
+def test_keep_one_finds_what_brute_force_finds(docs, prose):
+    """Copies with words replaced, as by comparing the five-word shingles of all pairs."""
+    rng, rows = random.Random(8), []
+    for base in range(40):
+        rows.append(prose(rng.randint(60, 300), base, 3000))
+        for _ in range(2):
+            words = rows[-1].split()
+            for _ in range(rng.randint(1, 1 + len(words) // 35)):
+                words[rng.randrange(len(words))] = "new"
+            rows.append(" ".join(words))
+    rows += [None, " ", "two words", "Two  WORDS", "two others"]
+    sets = []
+    for t in rows:
+        words = (t or "").lower().split()
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))})
+    group, linked = list(range(len(rows))), []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            share = len(a & sets[j]) / len(a | sets[j])
+            if share >= 0.8:
+                linked.append(share)
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert sum(0.8 <= s < 0.9 for s in linked) >= 10
+    kept = simhash.keep_one(docs(list(enumerate(rows))))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
+
+
 def test_no_plan_multiplies_rows(spark):
     plan = simhash.op1_simhash(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
