@@ -1,5 +1,7 @@
 """Every registered query: a Spark plan over the given tables and, where SQL can say it, its oracle."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import functions as F
 
 from barworks.functions.schema import KEYS, VALUES, day_key, downcast, series_file_key, timeframe_seconds
@@ -1066,13 +1068,14 @@ def _(spark, sf):
 def _(spark, sf):
     root, bars = shared_folder(spark), view(spark, sf, "bars_hour")
     fs, _, path = store._fs(spark, root)
-    for pair in HOUR_PAIRS:
-        one = f"{root}/{pair}"
-        bars.where(F.col("pair") == pair).drop(*KEYS).coalesce(1).write.parquet(one)
-        part = next(s.getPath() for s in fs.listStatus(path(one)) if s.getPath().getName().endswith(".parquet"))
-        fs.mkdirs(path(f"{root}/files"))
-        fs.rename(part, path(f"{root}/files/{pair}_USDT_1h.parquet"))
-    found = store.read_legacy_files(spark, f"{root}/files")
+    bars.withColumn("name", F.col("pair")).drop(*KEYS).write.partitionBy("name").parquet(f"{root}/written")
+    for folder in (s.getPath() for s in fs.listStatus(path(f"{root}/written")) if s.isDirectory()):
+        pair = unquote(folder.getName().removeprefix("name="))
+        # files of a pair have the same name, so each has a folder of its own
+        for i, part in enumerate(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")):
+            fs.mkdirs(path(f"{root}/files/{i}"))
+            fs.rename(part, path(f"{root}/files/{i}/{pair}_USDT_1h.parquet"))
+    found = store.read_legacy_files(spark, f"{root}/files/*")
     return found.withColumn("pair", F.replace("pair", F.lit("/USDT"), F.lit(""))).select(*KEYS, "timestamp", *VALUES)
 
 

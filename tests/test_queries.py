@@ -7,7 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from barworks.functions.schema import KEYS
 from barworks.operators import fills, indicators, quality
 from barworks.operators.positions import number_rows
-from barworks.plans import training
+from barworks.plans import catalog, training
 from barworks.plans.catalog import ORACLES, QUERIES
 from barworks.sources import store
 
@@ -64,3 +64,15 @@ def test_hot_copies_shrink_before_the_shuffle(bars):
     merged = store.merge_bars(one, one)
     assert "WindowGroupLimit" in merged._jdf.queryExecution().executedPlan().toString()
     assert merged.count() == 1
+
+
+def test_legacy_files_hold_every_pair(spark, monkeypatch):
+    made = catalog.view
+
+    def more(*given):
+        bars = made(*given)
+        return bars.unionByName(bars.where("pair = 'view'").withColumn("pair", F.lit("other")))
+    monkeypatch.setattr(catalog, "view", more)
+    got = {r.pair: r["count"] for r in queries()["legacy_files"](spark, SMALL).groupBy("pair").count().collect()}
+    assert got == {r.pair: r["count"] for r in more(spark, SMALL, "bars_hour").groupBy("pair").count().collect()}
+    assert got["other"] == got["view"] > 0
