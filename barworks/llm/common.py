@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barworks.llm.sharing import PACKED, among, packed, shared, short, unpacked
@@ -28,11 +29,22 @@ def numbered(df, name="_row"):
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def stored(df):
-    """Cut lineage through a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+def stored_table(df):
+    """Write a Parquet table into the shared folder: its path."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def stored(df):
+    """Cut lineage through a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    return df.sparkSession.read.parquet(stored_table(df))
+
+
+def dropped(spark, path):
+    """Delete a table of the shared folder that no later step reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def block_masks(max_diff, n_blocks):
@@ -81,32 +93,73 @@ def hamming(a, b):
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def components(edges, rounds=60):
-    """The smallest reachable node of every node that has an edge: (node, component).
-
-    `edges` has two long columns a, b. Every round each node takes its smallest neighbour as parent, parents of parents
-    are followed, and edges inside a group vanish. All state is in checkpointed tables; the driver sees one flag a round.
+EDGES_PER_LOT = 1 << 20
+HOP_SALTS = 8
+_LINKS = "v long, p long"
+
+
+def _lowest(v, p):
+    """Links within the connected groups of these edges: each node but the smallest of its group, with that one."""
+    nodes, at = np.unique(np.concatenate((v, p)), return_inverse=True)
+    a, b = at[:len(v)], at[len(v):]
+    top = np.arange(len(nodes))
+    while True:
+        x, y = top[a], top[b]
+        if (x == y).all():
+            break
+        np.minimum.at(top, np.maximum(x, y), np.minimum(x, y))
+        while (top[top] != top).any():
+            top = top[top]
+    below = np.flatnonzero(top != np.arange(len(nodes)))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[below]), pa.array(nodes[top[below]])], ["v", "p"])
+
+
+def _lots_joined(batches):
+    """Join the edges of a task in lots of bounded size; what a lot links stays linked."""
+    v, p, size = [], [], 0
+    for batch in batches:
+        v.append(batch.column(0).to_numpy())
+        p.append(batch.column(1).to_numpy())
+        size += batch.num_rows
+        if size >= EDGES_PER_LOT:
+            yield _lowest(np.concatenate(v), np.concatenate(p))
+            v, p, size = [], [], 0
+    if size:
+        yield _lowest(np.concatenate(v), np.concatenate(p))
+
+
+def components(edges):
+    """The smallest reachable node of every node that has an edge to another: (node, component).
+
+    `edges` has two long columns a, b; nulls and edges of a node to itself link nothing. Every round each node takes its
+    smallest known node as parent, its other ones are linked to that parent, and parents of parents are followed, so a chain
+    halves each round in whatever order its nodes stand. Before a round is written, each task joins the edges it holds in
+    lots, so a node has one link a lot however many edges it has, and a parent of many is met under `HOP_SALTS` salts.
+    Rounds go through Parquet in the shared folder (a checkpoint would hand its plan on to the next round), and a
+    table goes once the next is written. The driver sees two counts a round.
     """
-    def tidy(e):
-        return (e.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-    edges = settle(tidy(edges))
-    labels = settle(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-                    .select("node", F.col("node").alias("component")))
-    for _ in range(rounds):
-        if edges.isEmpty():
-            return labels
-        up = (edges.select(F.col("b").alias("v"), F.col("a").alias("p"))
-              .union(edges.select(F.col("a").alias("v"), F.col("a").alias("p")))
-              .groupBy("v").agg(F.min("p").alias("p")))
-        up = settle(up)
-        over = up.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        up = settle(up.join(over, "p").select("v", F.col("q").alias("p")))
-        labels = settle(labels.join(up.select(F.col("v").alias("component"), "p"), "component", "left")
-                        .select("node", F.coalesce("p", "component").alias("component")))
-        a, b = (up.select(F.col("v").alias(c), F.col("p").alias(f"_{c}")) for c in "ab")
-        edges = settle(tidy(edges.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
-    raise RuntimeError("groups did not settle")
+    spark = edges.sparkSession
+    known = stored_table(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("p"))
+                         .mapInArrow(_lots_joined, _LINKS))
+    while True:
+        links = spark.read.parquet(known)
+        up = links.groupBy("v").agg(F.min("p").alias("up"), F.count("*").alias("n"))
+        salts = F.array(*[F.lit(i) for i in range(HOP_SALTS)])
+        hops = up.select(F.col("v").alias("up"), F.col("up").alias("over"), F.explode(salts).alias("salt"))
+        jumped = (up.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(HOP_SALTS)).cast("int")).join(hops, ["up", "salt"], "left")
+                  .select("v", F.coalesce("over", "up").alias("p"), F.col("over").isNotNull().alias("moved")))
+        several = up.where("n > 1").select("v", "up")
+        sideways = (links.join(several, "v").where(F.col("p") > F.col("up"))
+                    .select(F.col("p").alias("v"), F.col("up").alias("p"), F.lit(True).alias("moved")))
+        seen = Observation()
+        following = stored_table(jumped.unionByName(sideways).observe(seen, F.count_if("moved").alias("moved"), F.count("*").alias("n"))
+                                 .select("v", "p").mapInArrow(_lots_joined, _LINKS))
+        dropped(spark, known)
+        known = following
+        if not seen.get["moved"]:
+            break
+    links = spark.read.parquet(known).distinct()
+    return links.select(F.col("v").alias("node"), F.col("p").alias("component")).union(links.select("p", "p").distinct())
 
 
 def near_groups(items, max_diff, n_blocks, verify=None):

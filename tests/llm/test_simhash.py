@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 from conftest import SMALL
 from llm.conftest import ODD
+from pyspark.sql import functions as F
 
 from barworks.llm import common, simhash
 from barworks.session import shared_folder
@@ -74,6 +75,45 @@ def test_components_of_a_path_and_a_star(spark):
     assert found == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 150)}}
 
 
+def test_components_of_a_long_ordered_chain(spark):
+    n = 5000
+    chain = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(8)
+    found = common.components(chain).groupBy("component").agg(F.count("*").alias("n")).collect()
+    assert [(r.component, r.n) for r in found] == [(0, n)]
+
+
+def test_components_of_a_chain_that_no_lot_holds(spark, monkeypatch):
+    monkeypatch.setattr(common, "EDGES_PER_LOT", 1)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long").repartition(50)
+    assert {r.component for r in common.components(chain).collect()} == {0}
+
+
+def test_components_of_a_large_star_and_of_nothing(spark):
+    n = 100_000
+    star = spark.range(n).select(F.lit(n + 5).alias("a"), F.col("id").alias("b"))
+    found = common.components(star).groupBy("component").agg(F.count("*").alias("n")).collect()
+    assert [(r.component, r.n) for r in found] == [(0, n + 1)]
+    nothing = spark.createDataFrame([(3, 3), (None, 4), (4, None)], "a long, b long")
+    assert common.components(nothing).count() == 0
+
+
+def test_components_against_union_find(spark):
+    rng = np.random.default_rng(2)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))]
+    parent = list(range(400))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    expected = {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    assert {r.node: r.component for r in common.components(df).collect()} == expected
+
+
 def test_keep_one_keeps_a_row_of_each_group(docs, prose):
     base = prose(200)
     df = common.stored(docs([(4, base), (3, base), (3, base), (9, base.replace(" a", " b", 1)), (7, prose(200, 9)), (None, "x y")], _row="clash"))
