@@ -1,7 +1,7 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
 import corpus_pipeline
-from barworks.llm import bpe, chat, decontaminate, language, lines, quality, ranked, repeats, simhash, token_counts, topk
+from barworks.llm import bpe, chat, decontaminate, hyperminhash, language, lines, quality, ranked, repeats, simhash, token_counts, topk
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_repeats": repeats.op9_repeats,
     "op10_bpe": bpe.op10_bpe,
+    "op12_hyperminhash": hyperminhash.op12_hyperminhash,
     "op13_ranked": ranked.op13_ranked,
     "pipeline": corpus_pipeline.run,
 }
@@ -21,6 +22,7 @@ QUERIES = {
 ORACLES = {
     "op2_topk": topk.OP2_SQL,
     "op7_chat_format": chat.OP7_SQL,
+    "op12_hyperminhash": hyperminhash.OP12_SQL,
     "op13_ranked": ranked.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
