@@ -1,7 +1,8 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
 import corpus_pipeline
-from barworks.llm import bpe, chat, decontaminate, hyperminhash, language, lines, quality, ranked, repeats, simhash, token_counts, topk
+from barworks.llm import (alignment, bpe, chat, decontaminate, hyperminhash, language, lines, quality, ranked, repeats, simhash,
+                          token_counts, topk)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_repeats": repeats.op9_repeats,
     "op10_bpe": bpe.op10_bpe,
+    "op11_alignment": alignment.op11_alignment,
     "op12_hyperminhash": hyperminhash.op12_hyperminhash,
     "op13_ranked": ranked.op13_ranked,
     "pipeline": corpus_pipeline.run,
