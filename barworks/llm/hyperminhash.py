@@ -1,14 +1,16 @@
 """Near-duplicate documents by HyperMinHash: registers of leading zeros and a mantissa, bands of them as keys, a Jaccard
-estimate that is corrected for chance collisions, and the full sets of shingles as the last word."""
+estimate that is corrected for chance collisions, and the full sets of shingles as the last word.
 
-from functools import lru_cache
+Sets that share a band are compared where they meet, block against block, and a block sends on only which of its sets hang
+together. So no row is made for a pair, and a band that very many sets share is dealt over many tasks.
+"""
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barworks.llm.common import hamming, keyed_groups, stored, table
+from barworks.llm.common import _lowest, _members, components, stored, table
 from barworks.llm.words import mixed
 
 SHINGLE = 3  # words
@@ -17,8 +19,8 @@ BUCKETS = 128
 MANTISSA = 11  # bits; the leading zeros take the other 5 of a register
 BAND = 5  # registers; 25 bands miss a pair at the least share once in 2 million
 SLACK = 0.19  # six standard deviations of an estimate from 128 registers at the least share
-FAR = 20  # of 64 bits of registers; half of the unlike ones differ, at the least share 5 of 64
-PAIRS_PER_COPY = 256
+BLOCK_SETS = 1024  # sets of a band that meet in one task
+BLOCK_HASHES = 1 << 22  # shingles of such sets
 
 _UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _N_BANDS = BUCKETS // BAND
@@ -92,22 +94,30 @@ def estimate(a, b, n, m):
 def _sketched(n_words):
     def run(batches):
         for batch in batches:
-            ids, sizes, bits, registers = [], [], [], []
+            ids, sizes, registers = [], [], []
             for text in batch.column(2):
                 found = shingles(text.as_py(), n_words)
                 sizes.append(len(found))
-                if len(found):
-                    own = sketch(found)
-                    ids.append(xxhash.xxh64_intdigest(found.astype("<u8").tobytes()) - (1 << 63))
-                    bits.append(int(np.packbits((own[:64] & 1).astype(bool), bitorder="little").view("<i8")[0]))
-                    registers.append(own.astype("<u2").tobytes())
-                else:
-                    ids.append(None)
-                    bits.append(None)
-                    registers.append(None)
+                ids.append(_set_id(found) if len(found) else None)
+                registers.append(sketch(found).astype("<u2").tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.int64()),
-                 pa.array(registers, pa.binary())], ["doc_id", "text_key", "id", "size", "fp", "registers"])
+                [batch.column(0), batch.column(1), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(registers, pa.binary())],
+                ["doc_id", "text_key", "id", "size", "registers"])
+    return run
+
+
+def _set_id(found):
+    return xxhash.xxh64_intdigest(found.astype("<u8").tobytes()) - (1 << 63)
+
+
+def _full_sets(n_words):
+    """Registers and all hashes of the sets that share a band with another, from their texts."""
+    def run(batches):
+        for batch in batches:
+            found = [shingles(text.as_py(), n_words) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_id(f) for f in found], pa.int64()), pa.array([sketch(f).astype("<u2").tobytes() for f in found], pa.binary()),
+                 pa.array([f.astype("<u8").tobytes() for f in found], pa.binary())], ["id", "registers", "hashes"])
     return run
 
 
@@ -127,43 +137,58 @@ def _band_keys(rows):
     return np.stack(keys)
 
 
-def _promising(least):
-    """Keeps the pairs whose estimate may belong to a link."""
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (_registers(batch.column(c)) for c in ("ra", "rb"))
-                near = estimate(a, b, *(batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))) >= least
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(near))
-    return run
-
-
-def _alike(n_words, percent):
-    """Keeps the pairs whose full sets have the least share in common."""
-    def run(batches):
-        known = lru_cache(maxsize=64)(lambda text: shingles(text, n_words))
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                x, y = known(x), known(y)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+def common_shingles(sets, rows, columns):
+    """How many elements each set of `rows` shares with each of `columns`: products of 0-1 matrices over the elements that
+    several of the sets have, some thousand at a time."""
+    which = np.unique(np.concatenate((rows, columns)))
+    values = np.concatenate([sets[i] for i in which])
+    owner = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
+    _, at, counts = np.unique(values, return_inverse=True, return_counts=True)
+    several = counts > 1
+    number = np.cumsum(several) - 1
+    keep = several[at]
+    at, owner = number[at[keep]], owner[keep]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    r, c = np.searchsorted(which, rows), np.searchsorted(which, columns)
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    for start in range(0, int(several.sum()), 4096):
+        i, j = np.searchsorted(at, (start, start + 4096))
+        held = np.zeros((len(which), 4096), np.float32)
+        held[owner[i:j], at[i:j] - start] = 1
+        out += held[r] @ held[c].T
+    return out.astype(np.int64)
+
+
+def _hangs_together(percent):
+    """Links of a block of sets, or between two blocks, as each set but the first of its group with that first one."""
+    least = percent / 100 - SLACK
+
+    def run(rows):
+        block = rows["block"].to_numpy()
+        one, other = np.flatnonzero(block == block.min()), np.flatnonzero(block == rows["far"][0].as_py())
+        registers, ids = _registers(rows["registers"]), rows["id"].to_numpy()
+        sets = [np.frombuffer(h, "<u8") for h in rows["hashes"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start in range(0, len(one), 64):
+            mine = one[start:start + 64]
+            agree = (registers[mine][:, None] == registers[other][None]).mean(axis=2)
+            chance = expected_collisions(np.repeat(sizes[mine], len(other)).astype(float), np.tile(sizes[other], len(mine)).astype(float))
+            chance = chance.reshape(agree.shape)
+            i, j = np.nonzero(((agree - chance) / (1 - chance) >= least) & (mine[:, None] != other[None]))
+            a.append(mine[i])
+            b.append(other[j])
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            r, c = np.unique(a), np.unique(b)
+            shared = common_shingles(sets, r, c)[np.searchsorted(r, a), np.searchsorted(c, b)]
+            linked = 100 * shared >= percent * (sizes[a] + sizes[b] - shared)
+            a, b = a[linked], b[linked]
+        return pa.Table.from_batches([_lowest(ids[a], ids[b])])
     return run
 
 
-def _with(pairs, values, named):
-    """Pairs (a, b) with columns of both; what many pairs ask for stands once per PAIRS_PER_COPY of them. `named` maps a column
-    of `values` to the stem of its names."""
-    for c in "ab":
-        asked = pairs.groupBy(c).agg(F.ceil(F.count("*") / F.lit(PAIRS_PER_COPY)).cast("int").alias("_copies"))
-        copies = (asked.join(values.select(F.col("id").alias(c), *[F.col(k).alias(f"{v}{c}") for k, v in named.items()]), c)
-                  .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
-        dealt = pairs.join(asked, c).withColumn("_copy", F.pmod(F.xxhash64("a", "b"), F.col("_copies")).cast("int")).drop("_copies")
-        pairs = dealt.join(copies, [c, "_copy"]).drop("_copy")
-    return pairs
-
-
 def near_duplicates(docs, n_words=SHINGLE, percent=PERCENT):
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (it is that one).
 
@@ -178,27 +203,37 @@ def near_duplicates(docs, n_words=SHINGLE, percent=PERCENT):
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    prints = stored(keyed.mapInArrow(_sketched(n_words), "doc_id long, text_key long, id long, size long, fp long, registers binary"))
+    prints = stored(keyed.mapInArrow(_sketched(n_words), "doc_id long, text_key long, id long, size long, registers binary"))
     sets = stored(prints.where("id IS NOT NULL").groupBy("id").agg(
-        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.count("*").alias("n"), F.max("size").alias("size"),
-        F.max("fp").alias("fp"), F.max("registers").alias("registers")))
-
-    def verify(pairs):
-        pairs = stored(_with(pairs, sets.select("id", "registers", "size"), {"registers": "r", "size": "n"})
-                       .mapInArrow(_promising(percent / 100 - SLACK), "a long, b long"))
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(sets, "id").select("id", "text_key")
-        # a stored table has a size that Spark knows: while it is small, the texts of other documents do not travel
-        found = stored(keyed.join(stored(wanted), "text_key").groupBy("id").agg(F.min("text").alias("text")))
-        return _with(pairs, found, {"text": "t"}).mapInArrow(_alike(n_words, percent), "a long, b long")
-
-    groups = keyed_groups(sets.select("id", "fp", "n", "registers"), _N_BANDS, _band_keys, hamming(F.col("fp"), F.col("fp2")) <= FAR, verify)
+        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.max("size").alias("size"), F.max("registers").alias("registers")))
+    groups = components(_links(keyed, sets, n_words, percent))
     named = sets.select("id", "first_id").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = named.join(smallest, "component").select("id", "component_id")
-    return prints.join(named, "id", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    component = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return prints.join(named, "id", "left").select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _links(keyed, sets, n_words, percent):
+    """Pairs (a, b) of sets of one group, enough to connect all sets that link."""
+    items = sets.select("id", F.col("size").alias("fp"), F.lit(1).cast("long").alias("n"), "registers")
+    banded = stored(_members(items, _N_BANDS, _band_keys).select("key", "id", F.col("fp").alias("size")))
+    # near copies share many bands: of bands with the same sets one is enough
+    same = banded.groupBy("key").agg(F.count("*").alias("m"), F.sum("size").alias("hashes"), F.bit_xor(F.xxhash64("id")).alias("x"),
+                                     F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 32))).alias("s"))
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(BLOCK_SETS)), F.ceil(F.col("hashes") / F.lit(BLOCK_HASHES))).cast("int")
+    chosen = same.where("m > 1").groupBy("m", "hashes", "x", "s").agg(F.min("key").alias("key")).select("key", blocks.alias("blocks"))
+    dealt = stored(banded.join(chosen, "key").select("key", "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
+    # a stored table has a size that Spark knows: while it is small, the texts of other documents do not travel
+    wanted = stored(dealt.select("id").distinct().join(sets.select("id", "text_key"), "id").select("text_key").distinct())
+    full = stored(keyed.join(wanted, "text_key").groupBy("text_key").agg(F.first("text").alias("text")).select("text")
+                  .mapInArrow(_full_sets(n_words), "id long, registers binary, hashes binary"))
+    met = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("key", "id", "block", F.least("block", "_with").alias("near"), F.greatest("block", "_with").alias("far"))
+    links = met.join(full, "id").groupBy("key", "near", "far").applyInArrow(_hangs_together(percent), "v long, p long")
+    return links.select(F.col("v").alias("a"), F.col("p").alias("b"))
 
 
 def op12_hyperminhash(spark, sf_dir):
