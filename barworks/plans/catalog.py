@@ -12,6 +12,7 @@ from barworks.plans import training
 from barworks.plans.fixtures import oracle, table, view
 from barworks.session import shared_folder
 from barworks.sources import candles, store, texts
+from barworks.streaming.pages import pages_to_store
 
 QUERIES, ORACLES = {}, {}
 AS_OF = "2024-01-30 00:00:00"
@@ -881,9 +882,12 @@ def _(spark, sf):
     return candles.refused_pages(damaged_pages(spark, sf)).drop("last")
 
 
-@register("combine_pages", ["bars_hour"], f"""WITH {PAGE_SQL},
+COMBINED_SQL = f"""WITH {PAGE_SQL},
 g AS (SELECT *, count(*) OVER (PARTITION BY pair, timeframe, rn // 100) AS m FROM pos)
-SELECT {BARS} FROM g WHERE (rn // 100) % 3 <> 1 OR m = 1""")
+SELECT {BARS} FROM g WHERE (rn // 100) % 3 <> 1 OR m = 1"""
+
+
+@register("combine_pages", ["bars_hour"], COMBINED_SQL)
 def _(spark, sf):
     return candles.combine_pages(candle_pages(spark, sf)).select(*KEYS, "timestamp", *VALUES)
 
@@ -1026,15 +1030,18 @@ def _(spark, sf):
 
 
 def yearly_store(spark, sf, root):
-    """Five writes: each year's daily bars of 1995 to 1999."""
-    for year in range(1995, 2000):
-        store.write_bars(view(spark, sf, "bars_day").where(F.year("timestamp") == year), root)
+    """Five writes of all daily bars: up to 1995, three years, from 1999 on."""
+    year = F.least(F.greatest(F.year("timestamp"), F.lit(1995)), F.lit(1999))
+    for part in range(1995, 2000):
+        store.write_bars(view(spark, sf, "bars_day").where(year == part), root)
     return root
 
 
-@register("snapshots", ["bars_day"], """
-SELECT cast(v.version AS BIGINT) AS version, count(*) AS n_rows, count(DISTINCT (pair, timeframe)) AS n_series
-FROM (VALUES (2), (3), (4), (5)) AS v(version) JOIN bars_day ON year(timestamp) BETWEEN 1995 AND 1994 + v.version GROUP BY v.version""")
+YEARS_SQL = "y AS (SELECT *, least(greatest(year(timestamp), 1995), 1999) AS part FROM bars_day), v AS (SELECT unnest([2, 3, 4, 5])::BIGINT AS version)"
+
+
+@register("snapshots", ["bars_day"], f"""WITH {YEARS_SQL}
+SELECT version, count(*) AS n_rows, count(DISTINCT (pair, timeframe)) AS n_series FROM v JOIN y ON part <= 1994 + version GROUP BY version""")
 def _(spark, sf):
     root = yearly_store(spark, sf, shared_folder(spark))
     held = [store.read_bars(spark, root, version=n).withColumn("version", F.lit(n).cast("bigint")) for n in store.versions(spark, root)]
@@ -1042,12 +1049,57 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*KEYS).alias("n_series"))
 
 
-@register("storage_stats", ["bars_day"], "SELECT true AS has_files, true AS has_bytes, true AS has_backups, true AS backup_is_smaller")
+# what the manifests say of each version, after a write that brings nothing new and a merge of everything
+@register("storage_stats", ["bars_day"], f"""WITH {YEARS_SQL.replace('[2, 3, 4, 5]', '[5]')},
+p AS (SELECT DISTINCT pair, timeframe, part FROM y),
+s AS (SELECT version, count(*) AS n_layers, (SELECT count(*) FROM y WHERE part <= 1994 + version) AS n_rows,
+             (SELECT min(timestamp) FROM y) AS first, (SELECT max(timestamp) FROM y WHERE part <= 1994 + version) AS last
+      FROM v JOIN p ON part <= 1994 + version GROUP BY version)
+SELECT version, n_layers, n_rows, first, last, 0::BIGINT AS n_gone, true AS has_bytes FROM s UNION ALL
+SELECT 6, n.n_layers, s.n_rows, s.first, s.last, s.n_layers, true FROM s, (SELECT count(DISTINCT (pair, timeframe)) AS n_layers FROM y) n""")
 def _(spark, sf):
-    stats = store.storage_stats(spark, yearly_store(spark, sf, shared_folder(spark)))
-    return stats.select((F.col("file_count") >= 6).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"),
-                        (F.col("backup_count") >= 18).alias("has_backups"),
-                        (F.col("backup_bytes") < 3 * F.col("total_bytes")).alias("backup_is_smaller"))
+    root = yearly_store(spark, sf, shared_folder(spark))
+    out = [stored_figures(spark, root, 5)]
+    store.merge_layers(spark, root, most=0, share=0, least_rows=0)
+    out.append(stored_figures(spark, root, 6))
+    return rows.union_all(*out)
+
+
+def stored_figures(spark, root, version):
+    files = store.manifest(spark, root, version)
+    stats = store.storage_stats(spark, root).first()
+    return files.agg(
+        F.lit(version).cast("bigint").alias("version"), F.countDistinct(*KEYS, "write").alias("n_layers"), F.sum("rows").alias("n_rows"),
+        F.min("first").alias("first"), F.max("last").alias("last"), F.lit(stats.backup_count).cast("bigint").alias("n_gone"),
+        ((F.sum("bytes") == stats.total_bytes) & (F.count("*") == stats.file_count)).alias("has_bytes"))
+
+
+@register("read_range", ["bars_day"], f"SELECT {BARS} FROM bars_day WHERE timestamp >= '1996-06-01' AND timestamp < '1998-02-01'")
+def _(spark, sf):
+    root = yearly_store(spark, sf, shared_folder(spark))
+    return store.read_bars(spark, root, start="1996-06-01", end="1998-02-01").select(*KEYS, "timestamp", *VALUES)
+
+
+# the last three days of every series come one by one; then all layers but the first become one
+@register("append_days", ["bars_day"], f"SELECT {BARS} FROM bars_day")
+def _(spark, sf):
+    root, bars = shared_folder(spark), view(spark, sf, "bars_day")
+    age = F.datediff(F.lit(bars.agg(F.max("timestamp")).first()[0]), "timestamp")
+    for days in (age > 2, age == 2, age == 1, age < 1):
+        store.write_bars(bars.where(days), root)
+    store.merge_layers(spark, root, most=2)
+    return store.read_bars(spark, root).select(*KEYS, "timestamp", *VALUES)
+
+
+# pages of even numbers land first, then all others; the second run starts where the first ended
+@register("stream_pages", ["bars_hour"], COMBINED_SQL)
+def _(spark, sf):
+    folder, root = shared_folder(spark), shared_folder(spark)
+    for drop in (0, 1):
+        pages = candle_pages(spark, sf).where(F.col("page_no") % 2 == drop).select("pair", "timeframe", "page_no", "candles")
+        pages.write.mode("append").parquet(f"{folder}/landing")
+        pages_to_store(spark, f"{folder}/landing", root, f"{folder}/progress").awaitTermination()
+    return store.read_bars(spark, root).select(*KEYS, "timestamp", *VALUES)
 
 
 # many series, then one more bar for one of them with another set of columns, then one that is stored already

@@ -1,28 +1,40 @@
-"""The bar store: Parquet that is written by partition, and versions that say which write holds each partition.
+"""The bar store: Parquet in layers, and versions that say which files hold what.
 
-    <root>/writes/write=<n>/pair=<p>/timeframe=<t>/*.parquet   what write n changed
-    <root>/version=<n>/*.parquet                               one row per partition: its keys and the write that holds it
+    <root>/writes/write=<n>/pair=<p>/timeframe=<t>/*.parquet   what write n brought
+    <root>/manifests/<name>/*.parquet                          a row per file: keys, rows, times, bytes, digests
+    <root>/commits/<n>.json                                    version n: its manifests, columns and layout
 
-A write merges and rewrites only the partitions that it touches; its version refers to earlier writes for all others, so
-versions share their data. With very many series, partition by timeframe alone: files are sorted by series and time,
-so a key filter still skips row groups by their statistics.
+A write appends a layer of files with its own bars alone, so a daily load costs what it brings. Of bars that several layers
+hold, the earliest layer's stays; readers settle that, and only for files whose times meet those of another layer. When a
+partition has many layers, or layers that weigh much beside its oldest one, they are merged into one.
 
-A version is complete once Spark's commit left its `_SUCCESS` marker; readers ignore any other. Raw bars and feature
-frames live under different roots.
+A version exists once its commit file is there, which appears complete or not at all and never over another. Of two writers
+that want the same number one looks again and takes the next; appended layers never conflict, and a merge that finds its
+files merged by another is dropped. With very many series, partition by timeframe alone: files are sorted by series and
+time, so a key filter still skips files by their zones and row groups by their statistics.
+
+Raw bars and feature frames live under different roots.
 """
 
 import json
 import re
+import uuid
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barworks.functions.schema import KEYS, missing_to_null
 from barworks.operators.positions import attach
-from barworks.operators.rows import keep_first
+from barworks.operators.rows import keep_first, union_all
 
 KEEP_VERSIONS = 3
+MOST_LAYERS = 8  # of a partition, before its later ones are merged
+MERGE_SHARE = 0.25  # of the oldest layer's rows that later ones may hold, once they fill a row group
+MERGE_ROWS = 100_000
+FULL_EVERY = 16  # versions between two that list all files
 WRITER = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "3",
@@ -30,7 +42,9 @@ WRITER = {
     # about 100,000 bars a row group
     "parquet.block.size": str(8 << 20),
 }
-_NO_STORE = "SELECT 0L AS file_count, 0L AS total_bytes, 0L AS backup_count, 0L AS backup_bytes"
+_FILES = ("path string, pair string, timeframe string, write long, layer long, rows long, first timestamp, last timestamp, "
+          "low string, high string, bytes long, digest_sum long, digest_xor long, gone boolean")
+_NAMES = [f.split()[0] for f in _FILES.split(", ")]
 
 
 def _fs(spark, path):
@@ -39,52 +53,169 @@ def _fs(spark, path):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, jvm.org.apache.hadoop.fs.Path
 
 
-def versions(spark, root):
-    """Numbers of the complete versions, oldest first."""
-    fs, target, path = _fs(spark, root)
-    if not fs.exists(target):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(target)]
-    numbers = [int(m.group(1)) for m in (re.fullmatch(r"version=(\d+)", n) for n in names) if m]
-    return sorted(n for n in numbers if fs.exists(path(f"{root}/version={n}/_SUCCESS")))
+@dataclass
+class Commit:
+    """One version: manifests that it adds, `full` if they list all files, and what holds for the whole store."""
 
+    number: int
+    manifests: list
+    schema: str
+    partition_by: list
+    oldest: int
+    full: bool = False
+    removes: bool = False
+    batches: dict = field(default_factory=dict)  # last batch of each stream
 
-def manifest(spark, root, version):
-    """The partitions of a version: their keys, `write`, and `schema`, the columns of all bars as JSON."""
-    return spark.read.parquet(f"{root}/version={version}")
+    def fields(self):
+        return T.StructType.fromJson(json.loads(self.schema))
 
 
-def _written(spark, root, schema):
-    """All bars of all writes; partition values stay text: a pair named 007 is not the number 7."""
-    fields = [T.StructField("write", T.LongType()), *[T.StructField(c, T.StringType()) for c in KEYS],
-              *[f for f in schema.fields if f.name not in KEYS]]
-    return spark.read.schema(T.StructType(fields)).parquet(f"{root}/writes")
+def _numbers(spark, root):
+    fs, _, path = _fs(spark, root)
+    folder = path(f"{root}/commits")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(m.group(1)) for m in (re.fullmatch(r"(\d+)\.json", n) for n in names) if m)
+
 
+def _commit(spark, root, number):
+    fs, _, path = _fs(spark, root)
+    stream = fs.open(path(f"{root}/commits/{number}.json"))
+    try:
+        return Commit(**json.loads(bytes(stream.readAllBytes()).decode()))
+    finally:
+        stream.close()
 
-def _of(spark, root, parts, schema):
-    """Bars of the partitions in `parts`: the join prunes the partitions that are read."""
-    by = [c for c in parts.columns if c != "schema"]
-    # the condition on `write` holds for all; Spark prunes partitions by a join only if the other side is filtered
-    df = _written(spark, root, schema).join(parts.select(*by).where("write > 0"), by, "left_semi")
-    return missing_to_null(df.select(*KEYS, *[f.name for f in schema.fields if f.name not in KEYS]))
 
+def latest(spark, root):
+    """The newest commit, or None where nothing is stored."""
+    known = _numbers(spark, root)
+    return _commit(spark, root, known[-1]) if known else None
 
-def _schema(parts):
-    return T.StructType.fromJson(json.loads(parts.select("schema").first().schema))
+
+def versions(spark, root):
+    """Numbers of the versions that are kept, oldest first."""
+    known = _numbers(spark, root)
+    oldest = _commit(spark, root, known[-1]).oldest if known else 0
+    return [n for n in known if n >= oldest]
+
+
+def _publish(spark, root, commit):
+    """Create the commit file in one step; False if the number is taken."""
+    jvm, (fs, _, path) = spark.sparkContext._jvm, _fs(spark, root)
+    draft, target = path(f"{root}/drafts/{uuid.uuid4().hex}"), path(f"{root}/commits/{commit.number}.json")
+    out = fs.create(draft, False)
+    out.write(json.dumps(asdict(commit)).encode())
+    out.close()
+    fs.mkdirs(target.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:  # a rename that does not replace
+        context.rename(draft, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as error:
+        if not fs.exists(target):
+            raise error
+        fs.delete(draft, False)
+        return False
+    return True
+
+
+def _claimed(spark, root):
+    """A write number of one's own."""
+    fs, _, path = _fs(spark, root)
+    folder = path(f"{root}/claims")
+    taken = [int(s.getPath().getName()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    number = max(taken, default=0) + 1
+    while True:
+        try:
+            fs.create(path(f"{root}/claims/{number}"), False).close()
+            return number
+        except Py4JJavaError as error:
+            if not fs.exists(path(f"{root}/claims/{number}")):
+                raise error
+            number += 1
+
+
+def manifest(spark, root, version):
+    """The files of a version: path below `writes`, partition, write, layer, rows, times, zone of pairs, bytes, digests."""
+    chain = []
+    for n in reversed([n for n in _numbers(spark, root) if n <= version]):
+        chain.append(_commit(spark, root, n))
+        if chain[-1].full:
+            break
+    layers = {name: c.number for c in chain for name in c.manifests}
+    rows = spark.read.schema(_FILES).parquet(*[f"{root}/manifests/{name}" for name in layers])
+    name = F.regexp_extract("_metadata.file_path", "/manifests/([^/]+)/", 1)
+    own = F.create_map(*[F.lit(x) for pair in layers.items() for x in pair])[name]
+    rows = rows.withColumn("layer", F.coalesce("layer", own.cast("long")))
+    if any(c.removes for c in chain):
+        rows = rows.where("NOT gone").join(rows.where("gone").select("path"), "path", "left_anti")
+    return rows.select(*_NAMES).drop("gone")
+
+
+def _scan(spark, root, paths, schema):
+    """Bars of some files as they were written; partition values stay text: a pair named 007 is not the number 7."""
+    fields = [T.StructField("write", T.LongType()), *[T.StructField(c, T.StringType()) for c in KEYS],
+              *[f for f in schema.fields if f.name not in KEYS]]
+    return spark.read.schema(T.StructType(fields)).option("basePath", f"{root}/writes").parquet(*[f"{root}/writes/{p}" for p in paths])
 
 
-def read_bars(spark, root, pair=None, timeframe=None, version=None):
-    """The newest (or given) version, or None when nothing is stored. Key filters prune partitions."""
+def _layered(files, partition_by):
+    """Files with `mixed`: whether another layer of their partition has bars of the times that they span.
+
+    Files in order of their first bar fall into islands of times; an island of one layer needs no settling.
+    """
+    by = Window.partitionBy(*partition_by)
+    order = by.orderBy("first", "last", "path")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = files.withColumn("_new", F.when(F.col("first") <= reached, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(order))
+    island = Window.partitionBy(*partition_by, "_island")
+    return islands.withColumn("mixed", F.min("layer").over(island) < F.max("layer").over(island)).drop("_new", "_island")
+
+
+def _bars(spark, root, files, schema, partition_by, wanted=lambda df: df):
+    """Bars of some files, one per series and time: of layers that meet in time the earliest counts."""
+    listed = _layered(files, partition_by).select("path", "write", "layer", "mixed").collect()
+    clean, mixed = ([r.path for r in listed if r.mixed == m] for m in (False, True))
+    columns = [*KEYS, *[f.name for f in schema.fields if f.name not in KEYS]]
+    parts = []
+    if clean or not mixed:
+        found = _scan(spark, root, clean, schema) if clean else spark.createDataFrame([], schema)
+        parts.append(wanted(found).select(*columns))
+    if mixed:
+        layers = spark.createDataFrame(sorted({(r.write, r.layer) for r in listed if r.mixed}), "write long, _layer long")
+        met = wanted(_scan(spark, root, mixed, schema)).join(F.broadcast(layers), "write")
+        parts.append(keep_first(met, ["_layer"]).select(*columns))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_bars(spark, root, pair=None, timeframe=None, version=None, start=None, end=None):
+    """The newest (or given) version, or None when nothing is stored.
+
+    Keys and times (`start` included, `end` not) prune the files that are opened, by their partition and their zones in the
+    manifest; no folder is listed. Only the files that remain are named to Spark, on the driver, as any file scan holds them.
+    """
     known = versions(spark, root)
     if not known:
         return None
-    parts = manifest(spark, root, version or known[-1])
-    df = _of(spark, root, parts, _schema(parts))
+    commit = _commit(spark, root, version or known[-1])
+    files, conditions = manifest(spark, root, commit.number), []
     if pair is not None:
-        df = df.where(F.col("pair") == pair)
+        files = files.where((F.col("low") <= F.lit(pair)) & (F.col("high") >= F.lit(pair)))
+        conditions.append(F.col("pair") == pair)
     if timeframe is not None:
-        df = df.where(F.col("timeframe") == timeframe)
-    return df
+        files = files.where(F.col("timeframe").isNull() | (F.col("timeframe") == timeframe))
+        conditions.append(F.col("timeframe") == timeframe)
+    if start is not None:
+        files = files.where(F.col("last") >= F.lit(start).cast("timestamp"))
+        conditions.append(F.col("timestamp") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        files = files.where(F.col("first") < F.lit(end).cast("timestamp"))
+        conditions.append(F.col("timestamp") < F.lit(end).cast("timestamp"))
+
+    def wanted(df):
+        for condition in conditions:
+            df = df.where(condition)
+        return df
+    return missing_to_null(_bars(spark, root, files, commit.fields(), commit.partition_by, wanted))
 
 
 def merge_bars(stored, new, keys=KEYS):
@@ -104,92 +235,200 @@ def _joined(old, new):
     return T.StructType([T.StructField(c, types[c]) for c in dict.fromkeys(order)])
 
 
-def write_bars(df, root, partition_by=KEYS):
-    """Merge into the touched partitions, write those, check them, name the new version, drop old ones.
+def _digests(columns):
+    """Sum and xor of row hashes; both merge in any order, so they tell the same for files, writes and versions."""
+    row = F.xxhash64(*columns)
+    return [F.coalesce(F.sum(F.pmod(row, F.lit(1 << 32))), F.lit(0)).alias("digest_sum"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("digest_xor")]
+
+
+def _described(spark, root, df):
+    """Files of a scan as they are now: path below `writes`, rows, times, zone of pairs, bytes, digests."""
+    columns = sorted(c for c in df.columns if c != "write")
+    path = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), r".*/writes/(write=\d+/.+)$", 1)
+    return (df.select("*", path.alias("path"), F.col("_metadata.file_size").alias("bytes")).groupBy("path", "bytes").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+        F.min("pair").alias("low"), F.max("pair").alias("high"), *_digests(columns), *[F.max(c).alias(c) for c in (*KEYS, "write")]))
 
-    Files are filled to Spark's advised size: small partitions share tasks and a large one is split over many. Returns
-    the version written, or None for an empty frame.
+
+def _written(df, root, partition_by, layer=None):
+    """Write bars as a layer of files and describe what was written in a manifest: (write, manifest), or None for no bars.
+
+    `df` is evaluated once. Files are filled to Spark's advised size: small partitions share tasks and a large one is split
+    over many. What is read back must be what went out: rows, times and digests are observed in the writing stage itself,
+    where a task that runs again is still counted once.
     """
-    spark = df.sparkSession
-    if df.isEmpty():
-        return None
-    partition_by, known = list(partition_by), versions(spark, root)
-    number = known[-1] + 1 if known else 1
-    touched = df.select(*partition_by).distinct()
-    if known:
-        before = manifest(spark, root, known[-1])
-        if set(before.columns) - {"write", "schema"} != set(partition_by):
-            raise ValueError(f"{root} is partitioned by {sorted(set(before.columns) - {'write', 'schema'})}")
-        schema = _joined(_schema(before), df.schema)
-        stored = _of(spark, root, before.join(touched, partition_by, "left_semi"), _schema(before))
-        others = before.join(touched, partition_by, "left_anti").select(*partition_by, "write")
-        merged = merge_bars(stored, df)
-    else:
-        schema, others = _joined(T.StructType([]), df.schema), None
-        merged = keep_first(df, [F.col(c) for c in df.columns if c not in (*KEYS, "timestamp")])
+    spark, number, name = df.sparkSession, _claimed(df.sparkSession, root), uuid.uuid4().hex
     path, seen = f"{root}/writes/write={number}", Observation()
     rest = [k for k in KEYS if k not in partition_by]
-    spread = (merged.select(*schema.fieldNames()).hint("rebalance", *KEYS)
-              .sortWithinPartitions(*partition_by, *rest, "timestamp"))
-    # observed in the writing stage itself: a task that runs again there is still counted once
-    counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
-                             F.max("timestamp").alias("last"))
-    counted.write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
-    if not verify_write(spark, root, number, {**seen.get, "schema": schema}):
+    spread = df.hint("rebalance", *KEYS).sortWithinPartitions(*partition_by, *rest, "timestamp")
+    measures = [F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), *_digests(sorted(df.columns))]
+    spread.observe(seen, *measures).write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
+    observed = seen.get
+    if not observed["rows"]:
+        return None
+    back = _described(spark, root, _scan(spark, root, [f"write={number}"], df.schema))
+    keys = [(F.col(k) if k in partition_by else F.lit(None).cast("string")).alias(k) for k in KEYS]
+    back.select("path", *keys, "write", F.lit(layer).cast("long").alias("layer"), "rows", "first", "last", "low", "high", "bytes",
+                "digest_sum", "digest_xor", F.lit(False).alias("gone")).write.parquet(f"{root}/manifests/{name}")
+    if not verify_write(spark, root, name, {**observed, "schema": df.schema}):
         raise IOError(f"write {number} under {root} does not hold what was written")
-    parts = touched.withColumn("write", F.lit(number).cast("bigint"))
-    parts = parts if others is None else parts.unionByName(others)
-    parts.withColumn("schema", F.lit(schema.json())).write.mode("overwrite").parquet(f"{root}/version={number}")
-    prune_versions(spark, root)
-    return number
-
-
-def verify_write(spark, root, write, expected):
-    """Read a write back and compare types, row count and time range with what was observed."""
-    schema = expected["schema"]
-    df = _written(spark, root, schema).where(F.col("write") == write)
-    if {f.name: f.dataType for f in spark.read.parquet(f"{root}/writes/write={write}").schema.fields
-            if f.name not in KEYS} != {f.name: f.dataType for f in schema.fields if f.name not in KEYS}:
-        return False
-    found = df.agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"),
-                   F.max("timestamp").alias("last")).first().asDict()
-    return found["rows"] > 0 and found == {k: expected[k] for k in found}
+    return number, name
+
+
+def verify_write(spark, root, name, expected):
+    """Compare what a manifest says of a write with types, row count, time range and digests that were observed."""
+    files = spark.read.schema(_FILES).parquet(f"{root}/manifests/{name}")
+    found = files.agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("digest_sum").alias("digest_sum"),
+                      F.bit_xor("digest_xor").alias("digest_xor"), F.first("write").alias("write"), F.first("path").alias("path")).first().asDict()
+    write, path = found.pop("write"), found.pop("path")
+    held = spark.read.option("basePath", f"{root}/writes/write={write}").parquet(f"{root}/writes/{path}").schema
+    types = {f.name: f.dataType for f in held.fields if f.name not in KEYS}
+    return types == {f.name: f.dataType for f in expected["schema"].fields if f.name not in KEYS} and found == {k: expected[k] for k in found}
 
 
-def prune_versions(spark, root, keep=KEEP_VERSIONS):
-    """Keep the newest version and `keep` older ones as backups; writes that none of them refers to go too."""
+def damaged_files(spark, root, version=None):
+    """Files of a version that no longer hold what was written, by their rows and digests: (path, rows, found)."""
     known = versions(spark, root)
-    old, kept = known[: -(keep + 1)], known[-(keep + 1):]
-    if not old:
+    if not known:
+        return spark.createDataFrame([], "path string, rows long, found long")
+    return _damaged(spark, root, manifest(spark, root, version or known[-1]))
+
+
+def _damaged(spark, root, files):
+    """A digest covers the columns of its write, so files are read again write by write: a write has columns of its own."""
+    parts = [spark.createDataFrame([], "path string, rows long, found long")]
+    by_write = {}
+    for r in files.select("write", "path").collect():
+        by_write.setdefault(r.write, []).append(r.path)
+    for write, paths in by_write.items():
+        held = spark.read.option("basePath", f"{root}/writes/write={write}").parquet(f"{root}/writes/{paths[0]}").schema
+        now = _described(spark, root, _scan(spark, root, paths, held)).select(
+            "path", F.col("rows").alias("found"), F.col("digest_sum").alias("_sum"), F.col("digest_xor").alias("_xor"))
+        both = files.where(F.col("write") == write).join(now, "path", "left")
+        same = (F.col("rows") == F.col("found")) & (F.col("digest_sum") == F.col("_sum")) & (F.col("digest_xor") == F.col("_xor"))
+        parts.append(both.where(~F.coalesce(same, F.lit(False))).select("path", "rows", "found"))
+    return union_all(*parts)
+
+
+def write_bars(df, root, partition_by=KEYS, batch=None):
+    """Append bars as a layer, check it, name the new version, merge layers that have grown, drop old versions.
+
+    Bars that are stored already, at any time of the same series, stay as they are. Returns the version written, or None
+    for an empty frame. `batch` (stream, number) makes the write happen once: a batch that the store holds is None as well.
+    """
+    spark, partition_by = df.sparkSession, list(partition_by)
+    before = latest(spark, root)
+    _next(before, df.schema, partition_by)  # refuse before anything is written
+    if _holds(before, batch):
+        return None
+    one = keep_first(df, [F.col(c) for c in df.columns if c not in (*KEYS, "timestamp")])
+    written = _written(one, root, partition_by)
+    if written is None:
+        return None
+    while True:
+        before = latest(spark, root)
+        if _holds(before, batch):
+            return None
+        commit = _next(before, df.schema, partition_by, [written[1]])
+        if batch:
+            commit.batches = {**commit.batches, batch[0]: batch[1]}
+        if _publish(spark, root, _listed(spark, root, before, commit)):
+            break
+    merge_layers(spark, root)
+    prune_versions(spark, root, before.oldest if before else 1)
+    return commit.number
+
+
+def _holds(before, batch):
+    return bool(batch and before and before.batches.get(batch[0], -1) >= batch[1])
+
+
+def _next(before, schema, partition_by, manifests=(), removes=False):
+    """The commit that would follow, or an error if the bars do not fit what is stored."""
+    if not set(partition_by) <= set(KEYS):
+        raise ValueError(f"bars are partitioned by {' and '.join(KEYS)} or one of them, not {partition_by}")
+    if before is None:
+        return Commit(1, list(manifests), _joined(T.StructType([]), schema).json(), partition_by, 1, True)
+    if set(before.partition_by) != set(partition_by):
+        raise ValueError(f"the store is partitioned by {sorted(before.partition_by)}, not {sorted(partition_by)}")
+    number = before.number + 1
+    return Commit(number, list(manifests), _joined(before.fields(), schema).json(), before.partition_by,
+                  max(before.oldest, number - KEEP_VERSIONS), removes=removes, batches=before.batches)
+
+
+def _listed(spark, root, before, commit):
+    """A commit that lists all files if the last such one is far back."""
+    if before is None or commit.number % FULL_EVERY:
+        return commit
+    now, name = manifest(spark, root, before.number), uuid.uuid4().hex
+    own = spark.read.schema(_FILES).parquet(*[f"{root}/manifests/{m}" for m in commit.manifests])
+    own = own.withColumn("layer", F.coalesce("layer", F.lit(commit.number).cast("long")))
+    kept = now.join(own.where("gone").select("path"), "path", "left_anti").withColumn("gone", F.lit(False))
+    kept.unionByName(own.where("NOT gone")).select(*_NAMES).coalesce(1).write.parquet(f"{root}/manifests/{name}")
+    return Commit(**{**asdict(commit), "manifests": [name], "full": True})
+
+
+def merge_layers(spark, root, most=MOST_LAYERS, share=MERGE_SHARE, least_rows=MERGE_ROWS):
+    """Merge the layers of partitions that have too many: the later ones into one, or all if those weigh much beside the oldest.
+
+    Returns the version that holds the merged files, or None if nothing was due or another writer merged the same files.
+    """
+    before = latest(spark, root)
+    by, files = before.partition_by, manifest(spark, root, before.number)
+    part = Window.partitionBy(*by)
+    sized = files.withColumn("_oldest", F.min("layer").over(part)).withColumn("_base", F.sum(F.when(F.col("layer") == F.col("_oldest"), F.col("rows"))).over(part))
+    sized = (sized.withColumn("_later", F.sum("rows").over(part) - F.col("_base"))
+             .withColumn("_layers", F.size(F.collect_set("layer").over(part))))
+    heavy = (F.col("_later") > share * F.col("_base")) & (F.col("_later") >= least_rows)
+    due = sized.where((F.col("_layers") > 1) & (heavy | ((F.col("_layers") > most) & (F.col("layer") > F.col("_oldest")))))
+    due = due.select(*files.columns)
+    paths = [r.path for r in due.select("path").collect()]
+    if not paths:
+        return None
+    chosen = files.where(F.col("path").isin(paths)) if len(paths) < 100 else due
+    broken = _damaged(spark, root, chosen).first()
+    if broken:
+        raise IOError(f"{broken.path} under {root} does not hold what was written")
+    written = _written(_bars(spark, root, chosen, before.fields(), by), root, by, layer=before.number)
+    gone = uuid.uuid4().hex
+    chosen.withColumn("gone", F.lit(True)).select(*_NAMES).coalesce(1).write.parquet(f"{root}/manifests/{gone}")
+    while True:
+        now = latest(spark, root)
+        if now.number > before.number:
+            live = manifest(spark, root, now.number).join(chosen.select("path"), "path", "left_semi").count()
+            if live < len(paths):
+                return None
+        commit = _next(now, now.fields(), by, [written[1], gone], removes=True)
+        if _publish(spark, root, _listed(spark, root, now, commit)):
+            return commit.number
+
+
+def prune_versions(spark, root, since):
+    """Every commit says which versions it keeps, itself and `KEEP_VERSIONS` older ones as backups. Files that only versions
+    dropped after `since` (the oldest one kept before) refer to go, and commits that no kept version is read from."""
+    oldest = latest(spark, root).oldest
+    known = _numbers(spark, root)
+    if oldest <= since:
         return
-    used = {r.write for n in kept for r in manifest(spark, root, n).select("write").distinct().collect()}
     fs, _, path = _fs(spark, root)
-    for n in old:
-        fs.delete(path(f"{root}/version={n}"), True)
-    for status in fs.listStatus(path(f"{root}/writes")):
-        found = re.fullmatch(r"write=(\d+)", status.getPath().getName())
-        if found and int(found.group(1)) not in used and int(found.group(1)) <= kept[-1]:
-            fs.delete(status.getPath(), True)
+    if any(_commit(spark, root, n).removes for n in known if since < n <= oldest):
+        dropped = union_all(*[manifest(spark, root, n).select("path") for n in range(since, oldest)]).distinct()
+        for row in dropped.join(manifest(spark, root, oldest).select("path"), "path", "left_anti").toLocalIterator():
+            fs.delete(path(f"{root}/writes/{row.path}"), False)
+    for n in [n for n in known if n < oldest - oldest % FULL_EVERY]:
+        for name in _commit(spark, root, n).manifests:
+            fs.delete(path(f"{root}/manifests/{name}"), True)
+        fs.delete(path(f"{root}/commits/{n}.json"), False)
 
 
 def storage_stats(spark, root):
     """Files and bytes of the newest version, and of what only older versions refer to."""
     known = versions(spark, root)
     if not known:
-        return spark.sql(_NO_STORE)
-    newest = manifest(spark, root, known[-1])
-    by = [c for c in newest.columns if c != "schema"]
-    older = [manifest(spark, root, n).select(*by) for n in known[:-1]]
-    files = _written(spark, root, _schema(newest)).select(
-        *by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
-    current = files.join(newest.select(*by), by, "left_semi").withColumn("now", F.lit(True))
-    backup = None
-    for parts in older:
-        backup = parts if backup is None else backup.unionByName(parts)
-    if backup is not None:
-        held = backup.distinct().join(newest.select(*by), by, "left_anti")
-        current = current.unionByName(files.join(held, by, "left_semi").withColumn("now", F.lit(False)))
-    return current.agg(
+        return spark.sql("SELECT 0L AS file_count, 0L AS total_bytes, 0L AS backup_count, 0L AS backup_bytes")
+    files = [manifest(spark, root, n).select("path", "bytes", F.lit(n == known[-1]).alias("now")) for n in known]
+    held = union_all(*files).groupBy("path").agg(F.max("bytes").alias("size"), F.bool_or("now").alias("now"))
+    return held.agg(
         F.count_if("now").alias("file_count"), F.coalesce(F.sum(F.when(F.col("now"), F.col("size"))), F.lit(0)).alias("total_bytes"),
         F.count_if(~F.col("now")).alias("backup_count"),
         F.coalesce(F.sum(F.when(~F.col("now"), F.col("size"))), F.lit(0)).alias("backup_bytes"))

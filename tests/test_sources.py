@@ -28,7 +28,12 @@ def test_store_round_trip(bars, spark, tmp_path):
         store.write_bars(bars([1]), root)
     assert store.versions(spark, root) == [3, 4, 5, 6]
     stats = store.storage_stats(spark, root).first()
-    assert stats.file_count > 0 and stats.backup_count > stats.file_count and stats.backup_bytes > stats.total_bytes
+    assert (stats.file_count, stats.backup_count, stats.backup_bytes) == (7, 0, 0) and stats.total_bytes > 0  # layers are shared
+    assert store.merge_layers(spark, root, most=1) == 7
+    merged = store.storage_stats(spark, root).first()
+    assert (merged.file_count, merged.backup_count) == (3, 5) and merged.backup_bytes + merged.total_bytes > stats.total_bytes
+    assert column(store.read_bars(spark, root), "close") == [7.0, 1.0, 2.0, 3.0, 4.0]
+    assert column(store.read_bars(spark, root, version=3), "close") == [7.0, 1.0, 2.0, 3.0, 4.0]
 
 
 def test_a_write_leaves_other_partitions_alone(bars, spark, tmp_path):
