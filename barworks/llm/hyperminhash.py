@@ -21,6 +21,7 @@ BAND = 5  # registers; 25 bands miss a pair at the least share once in 2 million
 SLACK = 0.19  # six standard deviations of an estimate from 128 registers at the least share
 BLOCK_SETS = 1024  # sets of a band that meet in one task
 BLOCK_HASHES = 1 << 22  # shingles of such sets
+FILTER_SIZE = 1 << 20  # numbers at most in the filter that goes to the tasks
 
 _UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _N_BANDS = BUCKETS // BAND
@@ -226,10 +227,13 @@ def _links(keyed, sets, n_words, percent):
     blocks = F.greatest(F.ceil(F.col("m") / F.lit(BLOCK_SETS)), F.ceil(F.col("hashes") / F.lit(BLOCK_HASHES))).cast("int")
     chosen = same.where("m > 1").groupBy("m", "hashes", "x", "s").agg(F.min("key").alias("key")).select("key", blocks.alias("blocks"))
     dealt = stored(banded.join(chosen, "key").select("key", "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
-    # a stored table has a size that Spark knows: while it is small, the texts of other documents do not travel
     wanted = stored(dealt.select("id").distinct().join(sets.select("id", "text_key"), "id").select("text_key").distinct())
-    full = stored(keyed.join(wanted, "text_key").groupBy("text_key").agg(F.first("text").alias("text")).select("text")
-                  .mapInArrow(_full_sets(n_words), "id long, registers binary, hashes binary"))
+    # most texts are not wanted and stay where they are: the tasks get the residues of the wanted keys, of which there are
+    # at most FILTER_SIZE however many documents there are; the join after it decides
+    residue = F.pmod("text_key", F.lit(FILTER_SIZE)).alias("_residue")
+    maybe = keyed.withColumn("_residue", residue).join(F.broadcast(wanted.select(residue).distinct()), "_residue", "left_semi")
+    full = stored(maybe.select("text_key", "text").join(wanted, "text_key").groupBy("text_key").agg(F.first("text").alias("text"))
+                  .select("text").mapInArrow(_full_sets(n_words), "id long, registers binary, hashes binary"))
     met = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", "id", "block", F.least("block", "_with").alias("near"), F.greatest("block", "_with").alias("far"))
     links = met.join(full, "id").groupBy("key", "near", "far").applyInArrow(_hangs_together(percent), "v long, p long")
