@@ -1,24 +1,28 @@
 """Technical indicators (W1-W6, A15, A16): RSI, SMA, EMA, MACD on numbered position blocks.
 
-An exponential mean forgets: after `reach(span)` rows, a tile, the weight of older rows is below 1e-18. A value sees its
-own tile and the `_TILES` before it, and a block repeats as many rows before it: what is left out weighs less than 1e-72, so
-it does not show in a double unless older prices are more than 1e50 times as large.
+An exponential mean is an affine map of the value before it, and maps compose: a run of rows is (decay, sum), whatever came
+before. Rows are cut into tiles inside which all factors fit a double; the maps of the tiles before a row are folded in order
+into what they carry. Tiles further back than `_VANISHED` hold nothing that a double can show, even of the largest price
+beside the smallest, so a block repeats that many rows of the one before it.
 """
 
 import math
+import sys
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barworks.functions.schema import KEYS, is_finite
+from barworks.operators import positions
 from barworks.operators.fills import carried_close
 from barworks.operators.positions import (
     block_window, blocks, locate, number_bucket, number_rows, previous)
 from barworks.session import settle
 
-_DEPTH = math.log(1e18)
-_TILES = 3
-_RANGE = 600  # e^600 is still a double
+_VANISHED = math.log(sys.float_info.max) - math.log(5e-324)  # from the largest double to the least
+_DEPTH = 300.0  # decay of a tile: prices up to e^400 times its inverse are still doubles
+_BACK = math.ceil(_VANISHED / _DEPTH) + 1
+_SHARE = 8  # a block is at least so many times as long as what it repeats
 _TILE = 512
 
 # Default indicator set and its parameters.
@@ -28,14 +32,23 @@ DEFAULT_INDICATORS = {
 }
 
 
+def _decay(span):
+    return -math.log(1 - 2 / (span + 1))
+
+
 def reach(span):
-    """Rows of a tile: after them an exponential mean of this span holds 1e-18 of a value."""
-    return 1 if span <= 1 else math.ceil(_DEPTH / -math.log(1 - 2 / (span + 1)))
+    """Rows of a tile of its own for a span."""
+    return 1 if span <= 1 else max(1, math.floor(_DEPTH / _decay(span)))
 
 
 def memory(span):
     """Rows before a row that its exponential mean is made of."""
-    return (_TILES + 1) * reach(span)
+    return 1 if span <= 1 else math.ceil(_VANISHED / _decay(span))
+
+
+def _long(before):
+    """Rows of a block that repeats `before` rows."""
+    return max(positions.BLOCK, _SHARE * before)
 
 
 def price_change(df, value="close"):
@@ -48,8 +61,15 @@ class Scan:
     """Expressions over one block: rows sorted by (`_sub`, `rn`), so all windows share one sort."""
 
     def __init__(self, spans, keys=KEYS, position="rn"):
-        self.tile = max([reach(s) for s in spans], default=_TILE)
         self.position, self.keys = position, keys
+        # spans that forget at like rates share tiles, which the fastest of them sets; others get tiles and a sort of their own
+        self.tile_of, tile = {}, None
+        for span in sorted({s for s in spans if s > 1}, reverse=True):
+            if tile is None or reach(span) < tile[0] / 4:
+                tile = [reach(span)]
+            tile.append(span)
+            self.tile_of.update(dict.fromkeys(tile[1:], reach(span)))
+        self.tile = max(self.tile_of.values(), default=_TILE)
         self.block = Window.partitionBy(*keys, "_blk").orderBy("_sub", position)
 
     def prepare(self, df):
@@ -59,48 +79,53 @@ class Scan:
         return self.block.rowsBetween(-(n - 1), Window.currentRow)
 
     def ema(self, df, named):
-        """Add the exponential mean of each `name: (column, span)`.
+        """Add the exponential mean of each `name: (column, span)`."""
+        out = self.behind(df, {f"_lag_{name}": given for name, given in named.items()})
+        return out.select("*", *[(F.col(c) - F.col(f"_lag_{name}")).alias(name) for name, (c, _) in named.items()]).drop(
+            *[f"_lag_{name}" for name in named])
+
+    def behind(self, df, named):
+        """Add how far each exponential mean of `name: (column, span)` is behind its column.
 
-        Inside a tile the recurrence is r^k * running sum of u * r^-k; the tile before adds its last value, which holds
-        that of the one before it, and so on.
-        A span too short for the common tile (r^-k would overflow) gets tiles of its own and one more sort.
+        That distance follows r * (distance + change), so it has the digits of the changes, where the mean has those of the
+        prices. Inside a tile the recurrence is r^k * running sum of r * change * r^-k. The tiles before, each as its last
+        running value, fold into what the tile before ends with.
         """
         live = {name: (c, s) for name, (c, s) in named.items() if s > 1}
-        own = {s: reach(s) for _, s in live.values() if self.tile * -math.log(1 - 2 / (s + 1)) > _RANGE}
-        plain = [F.col(c).alias(name) for name, (c, s) in named.items() if s <= 1]
-        out = df.select("*", *plain)
-        for tile in sorted({own.get(s, self.tile) for _, s in live.values()}):
-            out = self._scan(out, tile, {n: (c, s) for n, (c, s) in live.items() if own.get(s, self.tile) == tile})
+        out = df.select("*", *[(F.col(c) - F.col(c)).alias(name) for name, (c, s) in named.items() if s <= 1])
+        for tile in sorted({self.tile_of[s] for _, s in live.values()}):
+            out = self._scan(out, tile, {n: (c, s) for n, (c, s) in live.items() if self.tile_of[s] == tile})
         return out
 
     def _scan(self, df, tile, live):
         at = F.col(self.position)
         k = (at % F.lit(tile)).cast("double")
         sub = "_sub" if tile == self.tile else "_sub_own"
+        columns = {c: f"_change_{i}" for i, c in enumerate(dict.fromkeys(c for c, _ in live.values()))}
+        # the first row of a block begins at its own mean: nothing is left of what was before it, or there was nothing
+        df = df.select("*", *[F.coalesce(F.col(c) - F.lag(c).over(self.block), F.col(c) - F.col(c)).alias(d) for c, d in columns.items()])
         if sub not in df.columns:
             df = df.withColumn(sub, F.floor(at / F.lit(tile)))
         inner = (Window.partitionBy(*self.keys, "_blk", sub).orderBy(self.position)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        before = (Window.partitionBy(*self.keys, "_blk").orderBy(sub, self.position)
-                  .rowsBetween(Window.unboundedPreceding, -1))
         ratio = {name: 1 - 2 / (s + 1) for name, (_, s) in live.items()}
 
         def local(name):
-            c, r = F.col(live[name][0]), F.lit(ratio[name])
-            u = F.when(at == 0, c).otherwise(c * F.lit(1 - ratio[name]))
-            return F.pow(r, k) * F.sum(u * F.pow(r, -k)).over(inner)
-
-        out = df.select("*", *[local(name).alias(f"_p_{name}") for name in live])
-        end = at % F.lit(tile) == tile - 1
-        out = out.select("*", *[F.col(f"_p_{name}").alias(f"_v_{name}") for name in live])
-        for _ in range(_TILES):
-            out = out.select("*", *[F.last(F.when(end, F.col(f"_v_{name}")), ignorenulls=True).over(before)
-                                    .alias(f"_e_{name}") for name in live])
-            out = out.withColumns({f"_v_{name}": F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1)
-                                   * F.coalesce(f"_e_{name}", F.lit(0.0)) for name in live})
-            out = out.drop(*[f"_e_{name}" for name in live])
-        out = out.select("*", *[F.col(f"_v_{name}").alias(name) for name in live]).drop(
-            *[f"_{x}_{name}" for x in "pv" for name in live])
+            r = F.lit(ratio[name])
+            return F.pow(r, k) * F.sum(r * F.col(columns[live[name][0]]) * F.pow(r, -k)).over(inner)
+
+        out = df.select("*", *[local(name).alias(f"_p_{name}") for name in live]).drop(*columns.values())
+        # one struct per finished tile holds the ends of all
+        back = max(math.ceil(_VANISHED / (tile * _decay(s))) + 1 for _, s in live.values())
+        before = Window.partitionBy(*self.keys, "_blk").orderBy(sub).rangeBetween(-back, -1)
+        ends = F.when(at % F.lit(tile) == tile - 1, F.struct(*[F.col(f"_p_{name}").alias(name) for name in live]))
+        out = out.select("*", F.collect_list(ends).over(before).alias("_ends"))
+
+        def carried(name):
+            whole = F.lit(ratio[name] ** tile)
+            return F.aggregate("_ends", F.lit(0.0), lambda so_far, end: so_far * whole + end[name])
+        out = out.select("*", *[(F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1) * carried(name)).alias(name) for name in live])
+        out = out.drop("_ends", *[f"_p_{name}" for name in live])
         return out if sub == "_sub" else out.drop(sub)
 
 
@@ -159,8 +184,8 @@ class Macd(Indicator):
         return ~F.col("first_null") & (F.col("n_odd") == 0)
 
     def add(self, df, scan):
-        df = scan.ema(df, {"_fast": ("_x", self.fast), "_slow": ("_x", self.slow)})
-        df = df.withColumn(self.columns[0], F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+        df = scan.behind(df, {"_fast": ("_x", self.fast), "_slow": ("_x", self.slow)})
+        df = df.withColumn(self.columns[0], F.col("_slow") - F.col("_fast")).drop("_fast", "_slow")
         return scan.ema(df, {self.columns[1]: (self.columns[0], self.signal)})
 
     def check(self, c):
@@ -238,7 +263,7 @@ def compute(numbered, indicators, extra=0):
     scan = Scan([s for i in indicators for s in i.spans()])
     before = max([i.lookback for i in indicators], default=0) + extra
     ordered = sorted(indicators, key=lambda i: bool(i.spans()))
-    out = scan.prepare(blocks(numbered, before, shuffle=bool(ordered) and bool(ordered[0].spans())))
+    out = scan.prepare(blocks(numbered, before, _long(before), shuffle=bool(ordered) and bool(ordered[0].spans())))
     for indicator in ordered:
         out = indicator.add(out, scan)
     return out, scan
@@ -304,8 +329,8 @@ def ema(df, window=20, gaps=True):
 def ema_gaps(numbered, window, alias, keys=KEYS):
     """Exponential mean with NULL closes: carried over a gap, whose length lowers the old weight.
 
-    Observed rows get positions of their own; tiles close whenever the accumulated decay passes the
-    depth of a double, so factors stay in range however long the gaps are.
+    Observed rows get positions of their own; a tile spans a given decay, so factors stay in range however long the gaps
+    are, and a tile is the map (decay, sum) that its last row has reached.
     """
     rest = [c for c in numbered.columns if c not in ("_b", "n", "rn")]
     seen = numbered.where(F.col("close").isNotNull()).drop("_b", "n")
@@ -314,31 +339,31 @@ def ema_gaps(numbered, window, alias, keys=KEYS):
     if window <= 1:
         scanned = seen.withColumn(alias, F.col("close"))
     else:
-        rows = blocks(seen, memory(window) + 1)
+        before = memory(window) + 1
+        rows = blocks(seen, before, _long(before))
         w = block_window()
         gap = (F.col("_at") - F.lag("_at").over(w)).cast("double")
         weight = F.pow(F.lit(r), gap)
         rows = rows.withColumn("_w", weight)
-        decay = F.least(-F.log(F.col("_w") / (F.col("_w") + F.lit(a))), F.lit(_DEPTH))
+        decay = F.least(-F.log(F.col("_w") / (F.col("_w") + F.lit(a))), F.lit(_VANISHED))
         first = F.col("rn") == 0
         rows = rows.select(
-            "*", F.when(F.col("_w").isNull(), F.lit(0.0)).otherwise(decay).alias("_q"),
+            "*", F.when(F.col("_w").isNull(), F.lit(0.0)).when(F.col("_w") == 0, F.lit(_VANISHED)).otherwise(decay).alias("_q"),
             F.when(first, F.col("close")).otherwise(
                 F.coalesce(F.lit(a) / (F.col("_w") + F.lit(a)), F.lit(1.0)) * F.col("close")).alias("_u"))
         total = F.sum("_q").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         rows = rows.withColumn("_sub", F.floor(total / F.lit(_DEPTH)))
-        tile = Window.partitionBy(*keys, "_blk", "_sub").orderBy("rn")
-        run = tile.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rows = rows.withColumn("_lp", F.sum("_q").over(run))
-        rows = rows.withColumn("_p", F.exp(-F.col("_lp")) * F.sum(F.col("_u") * F.exp("_lp")).over(run))
+        run = Window.partitionBy(*keys, "_blk", "_sub").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # decay since the tile before, and since the first row of this one
+        rows = rows.withColumn("_lp", F.sum("_q").over(run)).withColumn("_lq", F.col("_lp") - F.first("_q").over(run))
+        rows = rows.withColumn("_p", F.exp(-F.col("_lq")) * F.sum(F.col("_u") * F.exp("_lq")).over(run))
         block = Window.partitionBy(*keys, "_blk").orderBy("_sub", "rn")
-        opens = F.col("_sub") != F.lag("_sub").over(block)
-        carry = F.last("_c", ignorenulls=True).over(block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        rows = rows.withColumn("_open", opens).withColumn(alias, F.col("_p"))
-        for _ in range(_TILES):
-            rows = rows.withColumn("_c", F.when(F.col("_open"), F.lag(alias).over(block)))
-            rows = rows.withColumn(alias, F.col("_p") + F.exp(-F.col("_lp")) * F.coalesce(carry, F.lit(0.0)))
-        scanned = rows.where("_own")
+        closes = F.coalesce(F.lead("_sub").over(block) != F.col("_sub"), F.lit(False))
+        rows = rows.withColumn("_end", F.when(closes, F.struct(F.exp(-F.col("_lp")).alias("decay"), F.col("_p").alias("sum"))))
+        tiles = F.collect_list("_end").over(Window.partitionBy(*keys, "_blk").orderBy("_sub").rangeBetween(-_BACK, -1))
+        rows = rows.withColumn("_ends", tiles)
+        carry = F.aggregate("_ends", F.lit(0.0), lambda so_far, end: so_far * end["decay"] + end["sum"])
+        scanned = rows.withColumn(alias, F.col("_p") + F.exp(-F.col("_lp")) * carry).where("_own")
     blank = (numbered.where(F.col("close").isNull())
              .select(*rest, F.col("rn").alias("_at"), F.lit(None).cast("double").alias(alias)))
     # every row was read several times to get here: later passes start from what is written

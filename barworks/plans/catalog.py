@@ -242,13 +242,13 @@ def _(spark, sf):
 
 
 def spiked(spark, sf):
-    """Daily bars with one close of 1e15 in each series."""
+    """Daily bars with one close of 1e60 in each series."""
     bars = number_rows(view(spark, sf, "bars_day"))
-    return bars.withColumn("close", F.when(F.col("rn") == 414, 1e15).otherwise(F.col("close"))).drop("rn", "n", "_b")
+    return bars.withColumn("close", F.when(F.col("rn") == 414, 1e60).otherwise(F.col("close"))).drop("rn", "n", "_b")
 
 
 @register("ema_spike", ["bars_day"], f"""
-WITH t AS (SELECT * REPLACE (CASE WHEN row_number() OVER ({BY} ORDER BY timestamp) = 415 THEN 1e15 ELSE close END AS close) FROM bars_day),
+WITH t AS (SELECT * REPLACE (CASE WHEN row_number() OVER ({BY} ORDER BY timestamp) = 415 THEN 1e60 ELSE close END AS close) FROM bars_day),
 {ema_sql('t')}
 SELECT {KEYED}, round(ln(EMA_20), 6) + 0.0 AS ln_ema FROM macd""")
 def _(spark, sf):
@@ -825,16 +825,16 @@ def _(spark, sf):
 
 @register("process_series_short", ["bars_day"], f"""
 WITH k AS (SELECT *, row_number() OVER ({BY} ORDER BY timestamp DESC) AS back FROM bars_day),
-both_ends AS (SELECT {BARS} FROM k WHERE back <= 600 UNION ALL SELECT * REPLACE ('short/' || pair AS pair) FROM (SELECT {BARS} FROM k WHERE back <= 14)),
+both_ends AS (SELECT {BARS} FROM k UNION ALL SELECT * REPLACE ('short/' || pair AS pair) FROM (SELECT {BARS} FROM k WHERE back <= 14)),
 {rsi_sql('both_ends')}, {ema_sql('both_ends')},
 feat AS (SELECT {BARS}, RSI_14, MACD_12_26_9, MACD_Signal_12_26_9 FROM rsi JOIN macd USING ({KEYED})),
 ok AS (SELECT pair, timeframe FROM feat GROUP BY pair, timeframe {PASSING})
 SELECT {KEYED}, {r6(*FEATURE_COLUMNS)} FROM feat SEMI JOIN ok USING (pair, timeframe)""")
 def _(spark, sf):
     # 14 bars are too few for an RSI: the series has none and is judged by the rest
-    bars = number_rows(view(spark, sf, "bars_day")).withColumn("back", F.col("n") - F.col("rn"))
-    long = bars.where("back <= 600").select(*KEYS, "timestamp", *VALUES)
-    short = bars.where("back <= 14").select(*KEYS, "timestamp", *VALUES).withColumn("pair", F.concat(F.lit("short/"), "pair"))
+    bars = view(spark, sf, "bars_day")
+    long = bars.select(*KEYS, "timestamp", *VALUES)
+    short = number_rows(bars).where("n - rn <= 14").select(*KEYS, "timestamp", *VALUES).withColumn("pair", F.concat(F.lit("short/"), "pair"))
     return rounded(training.process_series(rows.union_all(long, short)))
 
 

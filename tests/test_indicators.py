@@ -85,6 +85,28 @@ def test_a_huge_price_leaves_no_edge(bars):
     assert np.allclose(got, want, rtol=1e-12)
 
 
+def test_a_tick_beyond_all_prices_leaves_no_edge(bars, layout, monkeypatch):
+    """Rows far behind a tick of 1e60 still hold what is left of it, over tiles and blocks."""
+    monkeypatch.setattr(ind, "_SHARE", 1)
+    x = prices(7000, 12)
+    x[100], x[3000] = 1e60, -1e60
+    for span in (2, 3):
+        s = pd.Series(x)
+        assert np.allclose(column(ind.ema(bars(x), span, gaps=False), f"EMA_{span}"), s.ewm(span=span, adjust=False).mean(), rtol=1e-11)
+        s[[50, 2000, 2001]] = np.nan
+        got = column(ind.ema(bars([None if v != v else v for v in s]), span), f"EMA_{span}")
+        assert np.allclose(got, s.ewm(span=span, adjust=False).mean(), rtol=1e-11)
+
+
+def test_a_gap_longer_than_all_memory(bars):
+    x = [5.0, 7.0] + [None] * 3000 + [11.0, 13.0]
+    got = column(ind.ema(bars(x), 3), "EMA_3")
+    assert np.allclose(got, pd.Series(x, dtype=float).ewm(span=3, adjust=False).mean(), rtol=1e-12)
+    far = [1e200] + [None] * 700 + [1.0, 2.0]
+    got = column(ind.ema(bars(far), 3), "EMA_3")
+    assert np.allclose(got, pd.Series(far, dtype=float).ewm(span=3, adjust=False).mean(), rtol=1e-11)
+
+
 def test_rsi_edges(bars):
     assert set(column(ind.rsi(bars([5.0] * 20)), "RSI_14")) == {50.0}
     assert column(ind.rsi(bars(range(20))), "RSI_14") == [50.0] + [100.0] * 19
