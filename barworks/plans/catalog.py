@@ -1006,6 +1006,21 @@ def halves(spark, sf):
     return stored.select(*KEYS, "timestamp", *VALUES), new.select(*KEYS, "timestamp", *VALUES)
 
 
+# a window of three days around each series, and one of a series that is not stored
+@register("missing_ranges", ["bars_hour"], """
+WITH w AS (SELECT pair, timeframe, date_trunc('day', min(timestamp)) - INTERVAL 3 DAY AS s, date_trunc('day', max(timestamp)) + INTERVAL 3 DAY AS e
+           FROM bars_hour GROUP BY pair, timeframe UNION ALL SELECT 'none', '1h', TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-03'),
+g AS (SELECT pair, timeframe, unnest(generate_series(s, e - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS timestamp FROM w),
+m AS (SELECT *, row_number() OVER (PARTITION BY pair, timeframe ORDER BY timestamp) AS k FROM g ANTI JOIN bars_hour USING (pair, timeframe, timestamp)),
+i AS (SELECT *, timestamp - k * INTERVAL 1 HOUR AS island FROM m)
+SELECT pair, timeframe, min(timestamp) AS start, max(timestamp) + INTERVAL 1 HOUR AS "end", count(*) AS n_bars FROM i GROUP BY pair, timeframe, island""")
+def _(spark, sf):
+    bars, days = view(spark, sf, "bars_hour"), F.expr("interval 3 days")
+    windows = bars.groupBy(*KEYS).agg((F.date_trunc("day", F.min("timestamp")) - days).alias("start"), (F.date_trunc("day", F.max("timestamp")) + days).alias("end"))
+    other = spark.sql("SELECT 'none' AS pair, '1h' AS timeframe, TIMESTAMP '2024-01-01' AS start, TIMESTAMP '2024-01-03' AS end")
+    return store.missing_ranges(rows.union_all(windows, other), bars)
+
+
 @register("merge_bars", ["bars_hour"], f"""WITH {PAGE_SQL}
 SELECT pair, timeframe, timestamp, open, high, low, CASE WHEN rn % 2 = 0 OR rn % 10 = 1 THEN close ELSE close + 1 END AS close, volume FROM pos""")
 def _(spark, sf):

@@ -26,8 +26,8 @@ from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barworks.functions.schema import KEYS, missing_to_null
-from barworks.operators.positions import attach
+from barworks.functions.schema import KEYS, missing_to_null, timeframe_seconds
+from barworks.operators.positions import SLOTS, attach, number_bucket, previous
 from barworks.operators.rows import keep_first, union_all
 
 KEEP_VERSIONS = 3
@@ -462,3 +462,34 @@ def read_through(requested, stored, fetched, keys=KEYS):
     served = attach(stored, requested.select(*keys).distinct(), keys, how="left_semi")
     gaps = missing_series(requested, stored, keys).select(*keys).distinct()
     return served.unionByName(attach(fetched, gaps, keys, how="left_semi").select(*served.columns))
+
+
+def missing_ranges(requested, stored, keys=KEYS):
+    """Which bars of the requested windows are not stored, as ranges: pair, timeframe, start, end, n_bars.
+
+    `requested` has keys, start and end (not included); bars are expected at whole multiples of their width. A range is as
+    long as it can be within its window, and start and end make it a request of its own, so `plan_chunks` can take it.
+    Holes come from each bar and the one before it; windows and holes meet by the stretches of time they span, so a
+    series with many of either is spread. Windows of a series of unknown width, or without start or end, ask for nothing.
+    """
+    width = timeframe_seconds()
+    held = stored.select(*keys, F.floor(F.unix_seconds("timestamp") / width).alias("slot")).where("slot IS NOT NULL").distinct()
+    holes = (previous(held, ["slot"], "slot", number_bucket("slot"), keys).where("slot - prev_slot > 1")
+             .select(*keys, (F.col("prev_slot") + 1).alias("_lo"), (F.col("slot") - 1).alias("_hi")))
+    asked = requested.select(*keys, F.ceil(F.unix_seconds("start") / width).alias("lo"), (F.ceil(F.unix_seconds("end") / width) - 1).alias("hi"))
+    asked = asked.where("lo <= hi").distinct()
+    ends = held.groupBy(*keys).agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
+    around = asked.join(ends, list(keys), "left")
+    # before the first stored bar, or the whole window of a series without any; after the last one
+    before = around.select(*keys, "lo", F.least("hi", F.col("first") - 1).alias("hi"))
+    after = around.where("last IS NOT NULL").select(*keys, F.greatest("lo", F.col("last") + 1).alias("lo"), "hi")
+
+    def stretched(df, lo, hi):
+        return df.withColumn("_s", F.explode(F.sequence(F.floor(F.col(lo) / F.lit(SLOTS)), F.floor(F.col(hi) / F.lit(SLOTS)))))
+    within = stretched(asked, "lo", "hi").join(stretched(holes, "_lo", "_hi"), [*keys, "_s"])
+    within = within.select(*keys, "_s", F.greatest("lo", "_lo").alias("lo"), F.least("hi", "_hi").alias("hi"))
+    # a hole and a window that meet in several stretches count in the first
+    within = within.where(F.floor(F.col("lo") / F.lit(SLOTS)) == F.col("_s")).drop("_s")
+    found = union_all(before, after, within).where("lo <= hi")
+    return found.select(*keys, F.timestamp_seconds(F.col("lo") * width).alias("start"), F.timestamp_seconds((F.col("hi") + 1) * width).alias("end"),
+                        (F.col("hi") - F.col("lo") + 1).alias("n_bars"))

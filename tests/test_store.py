@@ -191,3 +191,25 @@ def test_a_stream_lands_each_batch_once(spark, tmp_path):
     drop(("A/x", "1h", 3, page(9)))
     run()
     assert store.versions(spark, root) == [1, 2, 3]
+
+
+def test_missing_ranges(bars, spark, monkeypatch):
+    monkeypatch.setattr(store, "SLOTS", 4)
+    held = {0, 1, 5, 6, 20, 21, 40}
+    stored = bars([1.0] * len(held), at=[T0 + timedelta(hours=h) for h in sorted(held)]).unionByName(
+        bars([1.0, 1.0], "B/x", "1m", at=[T0 + timedelta(minutes=3, seconds=20), T0 + timedelta(minutes=3)]))
+    windows = [("A/B", "1h", -3, 50), ("A/B", "1h", 2, 3), ("A/B", "1h", 0, 2), ("A/B", "1h", 7, 19), ("A/B", "1h", 30, 90), ("none", "1h", 4, 9),
+               ("A/B", "7h", 0, 9), ("A/B", "1h", 5, 5), ("A/B", "1h", None, 5), ("A/B", "1h", 2, 3)]
+    asked = spark.createDataFrame([(p, t, None if a is None else T0 + timedelta(hours=a), T0 + timedelta(hours=b)) for p, t, a, b in windows],
+                                  "pair string, timeframe string, start timestamp, end timestamp")
+    want = []
+    for pair, timeframe, a, b in sorted({w for w in windows if w[1] == "1h" and w[2] is not None}):
+        gone = [h for h in range(a, b) if pair == "none" or h not in held]
+        runs = [h for h in gone if h - 1 not in gone]
+        for h in runs:
+            to = next(x for x in range(h, b + 1) if x not in gone)
+            want.append((pair, T0 + timedelta(hours=h), T0 + timedelta(hours=to), to - h))
+    got = store.missing_ranges(asked, stored)
+    assert sorted((r.pair, r.start, r.end, r.n_bars) for r in got.collect()) == sorted(want)
+    minutes = spark.createDataFrame([("B/x", "1m", T0, T0 + timedelta(minutes=5, seconds=30))], asked.schema)
+    assert [(r.start.minute, r.end.minute, r.n_bars) for r in store.missing_ranges(minutes, stored).orderBy("start").collect()] == [(0, 3, 3), (4, 6, 2)]
