@@ -8,6 +8,7 @@ and is tokenised again when the answers are there: that moves less than its toke
 import hashlib
 import json
 import re
+from array import array
 from itertools import count
 
 import numpy as np
@@ -25,33 +26,18 @@ CACHED = 300_000  # pieces of text whose ids a worker remembers
 LONGEST_CACHED = 64  # characters of such a piece
 PER_BUCKET = 1 << 21  # pairs asked for in one task
 
-_PLAIN = re.compile("[\x00-ɏ]*")  # signs that every version of the letter tables knows alike
+_PLAIN = re.compile("[\t-\r -~\xa0-ɏ]*")  # signs that all versions of the letter tables know alike
 _CHUNK = re.compile(" +[^ ]+| +|[^ ]+")
 _CUT = re.compile("[!-~](?= [!-~])")  # both tokenizers always cut before such a blank
 _MARK = "▁"  # Fixed value: the sign pieces have for a blank
 
 
-class _Cache(dict):
-    """Ids of pieces of text, as little-endian 32-bit numbers; None where the tokens do not spell the piece."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece):
-        ids = self.encode(piece)
-        if len(piece) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 class Tokenizers:
     """Both tokenizers of a pair of files: A, byte-level, for blank and text; B, pieces with a blank of their own in front."""
 
     def __init__(self, path_a, path_b):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -70,41 +56,60 @@ class Tokenizers:
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(_MARK, " ").encode())
         if any(_MARK in self.b.id_to_piece(i).lstrip(_MARK) for i in range(self.b.get_piece_size())):
             raise ValueError(f"{path_b}: pieces reach over a blank")
-        cutter = json.loads(self.a.to_str())["pre_tokenizer"]
-        if cutter["type"] != "ByteLevel" or cutter["add_prefix_space"]:
+        spec = json.loads(self.a.to_str())
+        cutter = spec["pre_tokenizer"]
+        if cutter["type"] != "ByteLevel" or cutter["add_prefix_space"] or not cutter.get("use_regex", True):
             raise ValueError(f"{path_a}: not byte-level, or adds a blank of its own")
         self.length_a, self.length_b = (np.array([len(t) for t in bytes_]) for bytes_ in (self.bytes_a, self.bytes_b))
-        self.known_a, self.known_b = _Cache(self._ids_a), _Cache(self._ids_b)
-
-    def _ids_a(self, piece):
-        return self._spelt(self.a.encode(piece, add_special_tokens=False).ids, self.bytes_a, piece)
-
-    def _ids_b(self, chunk):
+        self.known_b = {}
+        # ids that ascend with the merges are ranks: then the same vocabulary runs on a faster engine where both cut alike
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        self.fast = None
+        if all(i < j for i, j in zip(merged, merged[1:])):
+            special = {t["id"] for t in spec["added_tokens"]}
+            ranks = {self.bytes_a[i]: i for i in vocab.values() if i not in special}
+            self.fast = tiktoken.Encoding("a", pat_str=PRE_TOKEN.pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def _ids_a(self, part):
+        if self.fast and _PLAIN.fullmatch(part):
+            return array("I", self.fast.encode_ordinary(part)).tobytes()  # its tokens are byte strings, all of the part
+        return self._spelt(self.a.encode(part, add_special_tokens=False).ids, self.bytes_a, part)
+
+    def _ids_b(self, part):
+        """Ids chunk by chunk, a blank and what follows; those of short chunks are remembered."""
+        known, chunks = self.known_b, _CHUNK.findall(part)
+        new = [c for c in dict.fromkeys(chunks) if c not in known]
         # B puts no blank in front of nothing
-        ids = self.b.encode(chunk[1:]) if len(chunk) > 1 else [self.b.piece_to_id(_MARK)]
-        return self._spelt(ids, self.bytes_b, chunk)
+        ids = zip(new, self.b.encode([c[1:] for c in new], num_threads=1) if new else ())
+        found = {c: self._spelt(i if len(c) > 1 else [self.b.piece_to_id(_MARK)], self.bytes_b, c) for c, i in ids}
+        if len(known) > CACHED:
+            found.update((c, known[c]) for c in set(chunks) if c in known)
+            self.known_b = known = {}
+        if any(len(c) > LONGEST_CACHED for c in found):
+            out = [found[c] if c in found else known[c] for c in chunks]
+            known.update((c, i) for c, i in found.items() if len(c) <= LONGEST_CACHED)
+            return out
+        known.update(found)
+        return map(known.__getitem__, chunks)
 
     @staticmethod
     def _spelt(ids, spelling, piece):
+        """Ids as 32-bit numbers; None where the tokens do not spell the piece."""
         same = b"".join(map(spelling.__getitem__, ids)) == piece.encode("utf-8", "replace")
-        return np.array(ids, "<u4").tobytes() if same else None
+        return array("I", ids).tobytes() if same else None
 
     def encode(self, text):
-        """Ids of blank and text by A and by B, or None if either does not spell them. A piece that is looked up is cut off
-        where no token can reach over, so its ids are those it has in the text."""
+        """Ids of blank and text by A and by B, or None if either does not spell them. Long texts are encoded in parts, cut
+        where no token can reach over, so the ids are those of the whole text."""
         full, start, found_a, found_b = " " + text, 0, [], []
         while start < len(full):
             cut = _CUT.search(full, start + SLICE) if len(full) - start > SLICE else None
             end = cut.end() if cut else len(full)
-            part = full[start:end]
-            if _PLAIN.fullmatch(part):
-                found_a += map(self.known_a.__getitem__, PRE_TOKEN.findall(part))
-            else:
-                found_a.append(self._ids_a(part))
-            found_b += map(self.known_b.__getitem__, _CHUNK.findall(part))
+            found_a.append(self._ids_a(full[start:end]))
+            found_b += self._ids_b(full[start:end])
             start = end
         try:
-            return tuple(np.frombuffer(b"".join(found), "<u4").astype(np.int64) for found in (found_a, found_b))
+            return tuple(np.frombuffer(b"".join(found), np.uint32).astype(np.int64) for found in (found_a, found_b))
         except TypeError:  # a piece that is not spelt
             return None
 
@@ -126,10 +131,15 @@ class Alignment:
     def __init__(self, ids, tokenizers):
         self.a, self.b = ids
         self.ends_a, self.ends_b = np.cumsum(tokenizers.length_a[self.a]), np.cumsum(tokenizers.length_b[self.b])
-        self.common = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
-        stretches = np.union1d(self.ends_a, self.ends_b)
-        self.link_a = self.a[np.searchsorted(self.ends_a, stretches)]
-        self.link_b = self.b[np.searchsorted(self.ends_b, stretches)]
+        ends = np.zeros(self.ends_a[-1] + 1, np.int8)
+        ends[self.ends_a] = 1
+        ends[self.ends_b] += 2
+        stretches = np.flatnonzero(ends)
+        kinds = ends[stretches]
+        self.common = stretches[kinds == 3]
+        # a stretch lies in the token whose end is the next one: as many ended before it
+        in_a, in_b = kinds & 1, kinds >> 1
+        self.link_a, self.link_b = self.a[np.cumsum(in_a, dtype=np.int64) - in_a], self.b[np.cumsum(in_b, dtype=np.int64) - in_b]
 
     def groups(self):
         """How many tokens of A and of B stand before the end of each group."""
@@ -144,13 +154,14 @@ class Alignment:
         after[until_a - 1] = 1
         after[len(self.a) + until_b - 1] = 2
         order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
-        text = "".join(map(signs.__getitem__, (ids * 3 + after)[order].tolist()))
-        return hashlib.sha256(text[:-1].encode()).hexdigest()
+        text = signs[(ids * 3 + after)[order]].tobytes().translate(None, b"\0")
+        return hashlib.sha256(text[:-1]).hexdigest()
 
 
 def _signs(tokenizers):
+    """Each id with each separator, filled up with zero bytes."""
     n = max(len(tokenizers.bytes_a), len(tokenizers.bytes_b))
-    return [f"{i}{sep}" for i in range(n) for sep in ",|;"]
+    return np.array([f"{i}{sep}" for i in range(n) for sep in ",|;"], "S")
 
 
 _FIRST = "block long, key binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, texts binary, pairs binary, weights binary"
