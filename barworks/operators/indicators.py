@@ -60,8 +60,8 @@ def price_change(df, value="close"):
 class Scan:
     """Expressions over one block: rows sorted by (`_sub`, `rn`), so all windows share one sort."""
 
-    def __init__(self, spans, keys=KEYS, position="rn"):
-        self.position, self.keys = position, keys
+    def __init__(self, spans, keys=KEYS, position="rn", kept=False):
+        self.position, self.keys, self.kept = position, keys, kept
         # spans that forget at like rates share tiles, which the fastest of them sets; others get tiles and a sort of their own
         self.tile_of, tile = {}, None
         for span in sorted({s for s in spans if s > 1}, reverse=True):
@@ -124,8 +124,14 @@ class Scan:
         def carried(name):
             whole = F.lit(ratio[name] ** tile)
             return F.aggregate("_ends", F.lit(0.0), lambda so_far, end: so_far * whole + end[name])
-        out = out.select("*", *[(F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1) * carried(name)).alias(name) for name in live])
+
+        def given(name):
+            """What the distance at position 0 is said to be adds a share that fades."""
+            return F.pow(F.lit(ratio[name]), at) * F.col(f"_given_{name}") if f"_given_{name}" in df.columns else F.lit(0.0)
+        out = out.select("*", *[(F.col(f"_p_{name}") + F.pow(F.lit(ratio[name]), k + 1) * carried(name) + given(name)).alias(name) for name in live])
         out = out.drop("_ends", *[f"_p_{name}" for name in live])
+        if self.kept:
+            out = out.withColumns({f"_kept_{name}": F.col(name) for name in live})
         return out if sub == "_sub" else out.drop(sub)
 
 
@@ -255,12 +261,13 @@ def with_first_null(df):
     return df.withColumn("first_null", ~F.coalesce(F.col("_t0") == F.col("_t1"), F.lit(False))).drop("_t0", "_t1")
 
 
-def compute(numbered, indicators, extra=0):
+def compute(numbered, indicators, extra=0, kept=False):
     """Indicator columns for numbered rows that hold `close` and the filled `_x`.
 
-    The result still carries the repeated rows (`_own` false): `extra` of them per block are exact.
+    The result still carries the repeated rows (`_own` false): `extra` of them per block are exact. `kept` leaves how far
+    each mean is behind as `_kept_<name>`; a column `_given_<name>` says how far it is behind at position 0.
     """
-    scan = Scan([s for i in indicators for s in i.spans()])
+    scan = Scan([s for i in indicators for s in i.spans()], kept=kept)
     before = max([i.lookback for i in indicators], default=0) + extra
     ordered = sorted(indicators, key=lambda i: bool(i.spans()))
     out = scan.prepare(blocks(numbered, before, _long(before), shuffle=bool(ordered) and bool(ordered[0].spans())))

@@ -77,12 +77,17 @@ def quality_report(df, columns=None, null_columns=None, missing=0.15, variance=1
         _least([F.when(F.bool_and(usable[c]), F.var_samp(c)) if c in usable else F.var_samp(c) for c in columns])
         .alias("min_variance"),
         *[F.count_if(hit).alias(f"n_{name}") for name, hit in issue_flags().items()])
+    out = judged(wide, missing, variance)
+    return out.join(outlier_counts(df, columns, z, keys, bucket), list(keys)) if outliers else out
+
+
+def judged(wide, missing=0.15, variance=1e-6):
+    """The first failure of a series names its error: missing values, then variance, then price consistency."""
     faults = reduce(lambda a, b: a + b, [F.col(f"n_{name}") for name in issue_flags()])
     error = (F.when(F.col("max_null_ratio") > F.lit(missing), F.lit(msg.QUALITY_MISSING))
              .when(F.col("min_variance") < F.lit(variance), F.lit(msg.QUALITY_VARIANCE))
              .when(faults > 0, F.lit(msg.QUALITY_CONSISTENCY)))
-    out = wide.withColumn("error", error).withColumn("valid", F.col("error").isNull())
-    return out.join(outlier_counts(df, columns, z, keys, bucket), list(keys)) if outliers else out
+    return wide.withColumn("error", error).withColumn("valid", F.col("error").isNull())
 
 
 def _least(columns):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks.functions.schema import KEYS, VALUES, day_key, downcast, series_file_key, timeframe_seconds
 from barworks.operators import features as ft
-from barworks.operators import fills, indicators, quality, rows, sentiment, ttl
+from barworks.operators import fills, incremental, indicators, quality, rows, sentiment, ttl
 from barworks.operators.positions import number_rows
 from barworks.plans import training
 from barworks.plans.fixtures import oracle, table, view
@@ -138,6 +138,22 @@ def _(spark, sf):
     return rounded(df.select(*KEYS, "timestamp", *INDICATOR_COLUMNS))
 
 
+# the bars come in three pieces; each continues from the state that the one before left
+@register("indicators_append", ["bars_hour"], f"""
+WITH {rsi_sql('bars_hour')}, {ema_sql('bars_hour')}, {sma_sql('bars_hour')}
+SELECT {KEYED}, {r6(*INDICATOR_COLUMNS)} FROM rsi JOIN macd USING ({KEYED}) JOIN (SELECT {KEYED}, SMA_20 FROM sma) USING ({KEYED})""")
+def _(spark, sf):
+    bars, out, state = view(spark, sf, "bars_hour"), [], None
+    third = F.pmod(F.floor(F.unix_seconds("timestamp") / F.lit(3600 * 24 * 10)), F.lit(1 << 40))
+    low, high = bars.agg(F.min(third), F.max(third)).first()
+    for i in range(3):
+        piece = F.least(F.floor((third - low) * 3 / (high - low + 1)), F.lit(2)) == i
+        done, state = incremental.advance(bars.where(piece), state, ALL_INDICATORS)
+        out.append(done)
+    shown = incremental.valid_only(rows.union_all(*out), state, ALL_INDICATORS)
+    return rounded(shown.select(*KEYS, "timestamp", *INDICATOR_COLUMNS))
+
+
 # ---- fills ------------------------------------------------------------------------------------
 
 
@@ -1106,6 +1122,30 @@ def _(spark, sf):
     return store.read_bars(spark, root).select(*KEYS, "timestamp", *VALUES)
 
 
+HOLED_SQL = """h AS (SELECT * REPLACE (CASE WHEN day(timestamp) % 9 = 0 OR (pair LIKE 'N/%' AND day(timestamp) % 3 = 0) THEN NULL ELSE volume END AS volume,
+  CASE WHEN pair LIKE 'R/%' AND day(timestamp) = 13 THEN low - 1 ELSE high END AS high) FROM bars_day)"""
+
+
+# holed bars in four layers; bars of pairs that begin with A come again with other prices, which changes nothing
+@register("stored_quality", ["bars_day"], f"""
+WITH {HOLED_SQL},
+w AS (SELECT pair, timeframe, {WORST} AS max_null_ratio, least({', '.join(f'var_samp({c})' for c in VALUES)}) AS min_variance,
+        {', '.join(f'count(*) FILTER ({c}) AS n_{n}' for n, c in ISSUE_SQL.items())} FROM h GROUP BY pair, timeframe),
+x AS (SELECT *, CASE WHEN max_null_ratio > 0.15 THEN 'Too many missing values' WHEN min_variance < 1e-6 THEN 'Low variance detected'
+        WHEN {' + '.join(f'n_{n}' for n in ISSUE_SQL)} > 0 THEN 'Data consistency issues found' END AS error FROM w)
+SELECT * REPLACE (round(max_null_ratio, 6) + 0.0 AS max_null_ratio, round(ln(min_variance), 6) + 0.0 AS min_variance), error IS NULL AS valid FROM x""")
+def _(spark, sf):
+    root, day = shared_folder(spark), F.dayofmonth("timestamp")
+    bars = view(spark, sf, "bars_day").withColumns({
+        "volume": F.when(~((day % 9 == 0) | (F.col("pair").like("N/%") & (day % 3 == 0))), F.col("volume")),
+        "high": F.when(F.col("pair").like("R/%") & (day == 13), F.col("low") - 1).otherwise(F.col("high"))})
+    year = F.year("timestamp")
+    for part in (year < 1995, (year >= 1995) & (year < 1998), year >= 1998):
+        store.write_bars(bars.where(part), root)
+    store.write_bars(bars.where(F.col("pair").like("A/%")).withColumn("close", F.col("close") + 5), root)
+    return rounded(store.stored_quality(spark, root, VALUES).withColumn("min_variance", F.log("min_variance")))
+
+
 # pages of even numbers land first, then all others; the second run starts where the first ended
 @register("stream_pages", ["bars_hour"], COMBINED_SQL)
 def _(spark, sf):

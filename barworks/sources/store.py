@@ -2,6 +2,7 @@
 
     <root>/writes/write=<n>/pair=<p>/timeframe=<t>/*.parquet   what write n brought
     <root>/manifests/<name>/*.parquet                          a row per file: keys, rows, times, bytes, digests
+    <root>/states/<n>/*.parquet                                a row per file and series: statistics that merge
     <root>/commits/<n>.json                                    version n: its manifests, columns and layout
 
 A write appends a layer of files with its own bars alone, so a daily load costs what it brings. Of bars that several layers
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 
 from barworks.functions.schema import KEYS, missing_to_null, timeframe_seconds
 from barworks.operators.positions import SLOTS, attach, number_bucket, previous
-from barworks.operators.rows import keep_first, union_all
+from barworks.operators.quality import judged, numeric_columns
+from barworks.operators.rows import ISSUES, issue_flags, keep_first, union_all
 
 KEEP_VERSIONS = 3
 MOST_LAYERS = 8  # of a partition, before its later ones are merged
@@ -45,6 +47,8 @@ WRITER = {
 _FILES = ("path string, pair string, timeframe string, write long, layer long, rows long, first timestamp, last timestamp, "
           "low string, high string, bytes long, digest_sum long, digest_xor long, gone boolean")
 _NAMES = [f.split()[0] for f in _FILES.split(", ")]
+_ISSUES = [f"n_{name}" for name in ISSUES]
+_PER_COLUMN = "array<struct<column:string,n:bigint,mean:double,m2:double,low:double,high:double>>"
 
 
 def _fs(spark, path):
@@ -235,19 +239,42 @@ def _joined(old, new):
     return T.StructType([T.StructField(c, types[c]) for c in dict.fromkeys(order)])
 
 
-def _digests(columns):
+def _digests(row):
     """Sum and xor of row hashes; both merge in any order, so they tell the same for files, writes and versions."""
-    row = F.xxhash64(*columns)
     return [F.coalesce(F.sum(F.pmod(row, F.lit(1 << 32))), F.lit(0)).alias("digest_sum"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("digest_xor")]
 
 
-def _described(spark, root, df):
-    """Files of a scan as they are now: path below `writes`, rows, times, zone of pairs, bytes, digests."""
+def _measured(df):
+    """Files and series of a scan as they are now: bytes, digests, and statistics that merge."""
     columns = sorted(c for c in df.columns if c != "write")
     path = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), r".*/writes/(write=\d+/.+)$", 1)
-    return (df.select("*", path.alias("path"), F.col("_metadata.file_size").alias("bytes")).groupBy("path", "bytes").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
-        F.min("pair").alias("low"), F.max("pair").alias("high"), *_digests(columns), *[F.max(c).alias(c) for c in (*KEYS, "write")]))
+    rows = df.select("*", path.alias("_path"), F.col("_metadata.file_size").alias("_bytes"), F.xxhash64(*columns).alias("_row"))
+    rows = missing_to_null(rows)  # what readers see; the digest is of what is stored
+    return rows.groupBy(F.col("_path").alias("path"), F.col("_bytes").alias("bytes"), *KEYS).agg(
+        F.max("write").alias("write"), *_digests(F.col("_row")), *_statistics(rows, numeric_columns(df.drop("write"))))
+
+
+def _statistics(df, numeric):
+    """Aggregates: rows, times, hits of P8's conditions, and per numeric column what merges."""
+    cells = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"),
+                      (F.var_pop(c) * F.count(c)).alias("m2"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"))
+             for c in numeric]
+    return [F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+            *[F.count_if(hit).alias(f"n_{name}") for name, hit in _flags(df).items()], F.array(*cells).cast(_PER_COLUMN).alias("columns")]
+
+
+def _flags(df):
+    """P8's conditions, where the bars have the columns for them."""
+    none = {name: F.lit(False) for name in ISSUES}
+    return issue_flags() if {"open", "high", "low", "close", "volume"} <= set(df.columns) else none
+
+
+def _described(measured):
+    """Files of such a table: path, rows, times, zone of pairs, bytes, digests."""
+    return measured.groupBy("path", "bytes").agg(
+        F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.min("pair").alias("low"), F.max("pair").alias("high"), F.sum("digest_sum").alias("digest_sum"),
+        F.bit_xor("digest_xor").alias("digest_xor"), *[F.max(c).alias(c) for c in (*KEYS, "write")])
 
 
 def _written(df, root, partition_by, layer=None):
@@ -261,12 +288,14 @@ def _written(df, root, partition_by, layer=None):
     path, seen = f"{root}/writes/write={number}", Observation()
     rest = [k for k in KEYS if k not in partition_by]
     spread = df.hint("rebalance", *KEYS).sortWithinPartitions(*partition_by, *rest, "timestamp")
-    measures = [F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), *_digests(sorted(df.columns))]
+    measures = [F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), *_digests(F.xxhash64(*sorted(df.columns)))]
     spread.observe(seen, *measures).write.options(**WRITER).partitionBy(*partition_by).mode("overwrite").parquet(path)
     observed = seen.get
     if not observed["rows"]:
         return None
-    back = _described(spark, root, _scan(spark, root, [f"write={number}"], df.schema))
+    states = f"{root}/states/{number}"
+    _measured(_scan(spark, root, [f"write={number}"], df.schema)).write.parquet(states)
+    back = _described(spark.read.parquet(states))
     keys = [(F.col(k) if k in partition_by else F.lit(None).cast("string")).alias(k) for k in KEYS]
     back.select("path", *keys, "write", F.lit(layer).cast("long").alias("layer"), "rows", "first", "last", "low", "high", "bytes",
                 "digest_sum", "digest_xor", F.lit(False).alias("gone")).write.parquet(f"{root}/manifests/{name}")
@@ -302,7 +331,7 @@ def _damaged(spark, root, files):
         by_write.setdefault(r.write, []).append(r.path)
     for write, paths in by_write.items():
         held = spark.read.option("basePath", f"{root}/writes/write={write}").parquet(f"{root}/writes/{paths[0]}").schema
-        now = _described(spark, root, _scan(spark, root, paths, held)).select(
+        now = _described(_measured(_scan(spark, root, paths, held))).select(
             "path", F.col("rows").alias("found"), F.col("digest_sum").alias("_sum"), F.col("digest_xor").alias("_xor"))
         both = files.where(F.col("write") == write).join(now, "path", "left")
         same = (F.col("rows") == F.col("found")) & (F.col("digest_sum") == F.col("_sum")) & (F.col("digest_xor") == F.col("_xor"))
@@ -434,6 +463,48 @@ def storage_stats(spark, root):
         F.coalesce(F.sum(F.when(~F.col("now"), F.col("size"))), F.lit(0)).alias("backup_bytes"))
 
 
+def series_statistics(spark, root, version=None):
+    """What the stored bars of each series add up to, without reading them: keys, rows, n_<issue> counts, and
+    `columns`, a map of column to (n, mean, m2, low, high): values present, mean, sum of squared deviations, least and
+    largest.
+
+    Each write leaves these per file and series; they merge in any order (means by weight, deviations by Chan's rule). Only
+    bars in partitions whose layers meet in time are read, since there the stored rows are not all that a reader sees.
+    """
+    commit = _commit(spark, root, version or versions(spark, root)[-1])
+    by, files = commit.partition_by, manifest(spark, root, commit.number)
+    marked = _layered(files, by).groupBy(*by).agg(F.bool_or("mixed").alias("mixed"))
+    clean = files.join(marked.where("NOT mixed").select(*by), by, "left_semi")
+    writes = [r.write for r in clean.select("write").distinct().collect()]
+    parts = []
+    if writes:
+        states = spark.read.parquet(*[f"{root}/states/{w}" for w in writes]).join(clean.select("path"), "path", "left_semi")
+        parts.append(states.select(*KEYS, "rows", *_ISSUES, "columns"))
+    met = files.join(marked.where("mixed").select(*by), by, "left_semi")
+    if not writes or not met.isEmpty():
+        bars = missing_to_null(_bars(spark, root, met, commit.fields(), by))
+        parts.append(bars.groupBy(*KEYS).agg(*_statistics(bars, numeric_columns(bars))).select(*KEYS, "rows", *_ISSUES, "columns"))
+    states = union_all(*parts)
+    totals = states.groupBy(*KEYS).agg(F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in _ISSUES])
+    cells = states.select(*KEYS, F.inline("columns")).where("n > 0")
+    means = cells.groupBy(*KEYS, "column").agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    merged = cells.join(means, [*KEYS, "column"]).groupBy(*KEYS, "column", "_n", "_mean").agg(
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2).alias("m2"), F.min("low").alias("low"), F.max("high").alias("high"))
+    columns = F.map_from_entries(F.collect_list(F.struct("column", F.struct(F.col("_n").alias("n"), F.col("_mean").alias("mean"), "m2", "low", "high"))))
+    return totals.join(merged.groupBy(*KEYS).agg(columns.alias("columns")), list(KEYS), "left")
+
+
+def stored_quality(spark, root, columns, missing=0.15, variance=1e-6, version=None):
+    """A4 from the statistics of the store: `quality_report` of some columns without its outliers."""
+    of = {c: F.col("columns")[c] for c in columns}
+    worst = [F.lit(1.0) - F.coalesce(of[c]["n"], F.lit(0)) / F.col("rows") for c in columns]
+    spread = [F.when(of[c]["n"] > 1, of[c]["m2"] / (of[c]["n"] - 1)) for c in columns]
+    wide = series_statistics(spark, root, version).select(
+        *KEYS, (F.greatest(*worst) if len(worst) > 1 else worst[0]).alias("max_null_ratio"),
+        (F.least(*spread) if len(spread) > 1 else spread[0]).alias("min_variance"), *_ISSUES)
+    return judged(wide, missing, variance)
+
+
 def read_legacy_files(spark, path):
     """One file per series, `{BASE}_{QUOTE}_{timeframe}.parquet`, keys only in the name.
 

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -213,3 +214,29 @@ def test_missing_ranges(bars, spark, monkeypatch):
     assert sorted((r.pair, r.start, r.end, r.n_bars) for r in got.collect()) == sorted(want)
     minutes = spark.createDataFrame([("B/x", "1m", T0, T0 + timedelta(minutes=5, seconds=30))], asked.schema)
     assert [(r.start.minute, r.end.minute, r.n_bars) for r in store.missing_ranges(minutes, stored).orderBy("start").collect()] == [(0, 3, 3), (4, 6, 2)]
+
+
+def test_statistics_come_without_the_bars(bars, spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    x = [[1.0, 5.0, None, 9.0], [4.0, 1e6, 3.0], [float("nan"), 2.0]]
+    for day, close in enumerate(x):
+        store.write_bars(bars(close, start=T0 + timedelta(days=day)).unionByName(bars([7.0], "B/x", start=T0 + timedelta(days=day))), root)
+
+    def figures():
+        rows = {r.pair: r for r in store.series_statistics(spark, root).collect()}
+        return rows["A/B"], rows["B/x"]
+    monkeypatch.setattr(store, "_bars", None)  # no bar is read
+    a, b = figures()
+    seen = np.array([v for part in x for v in part if v is not None and v == v])
+    close = a["columns"]["close"]
+    assert (a.rows, close.n, close.low, close.high) == (9, 7, 1.0, 1e6)
+    assert np.allclose((close["mean"], close.m2), (seen.mean(), ((seen - seen.mean()) ** 2).sum()), rtol=1e-12)
+    assert b["columns"]["close"].m2 == 0 and b.n_bad_volume == 0
+    monkeypatch.undo()
+    store.write_bars(bars([8.0, 8.0, 8.0, 8.0, 6.0]), root)  # meets the first day: four bars are stored already
+    a, _ = figures()
+    assert (a.rows, a["columns"]["close"].n) == (10, 8)
+    store.merge_layers(spark, root, most=1)
+    assert (figures()[0].rows, figures()[0]["columns"]["close"].n) == (10, 8)
+    judged = {r.pair: (r.error, r.valid) for r in store.stored_quality(spark, root, ["close"]).collect()}
+    assert judged == {"A/B": ("Too many missing values", False), "B/x": ("Low variance detected", False)}
