@@ -22,12 +22,9 @@ from barworks.llm.common import stored, table
 
 BLOCK_BYTES = 8 << 20  # text that shares one list of pairs
 SLICE = 1 << 18  # characters of a text that are tokenised at a time
-CACHED = 300_000  # pieces of text whose ids a worker remembers
-LONGEST_CACHED = 64  # characters of such a piece
 PER_BUCKET = 1 << 21  # pairs asked for in one task
 
 _PLAIN = re.compile("[\t-\r -~\xa0-ɏ]*")  # signs that all versions of the letter tables know alike
-_CHUNK = re.compile(" +[^ ]+| +|[^ ]+")
 _CUT = re.compile("[!-~](?= [!-~])")  # both tokenizers always cut before such a blank
 _MARK = "▁"  # Fixed value: the sign pieces have for a blank
 
@@ -61,7 +58,6 @@ class Tokenizers:
         if cutter["type"] != "ByteLevel" or cutter["add_prefix_space"] or not cutter.get("use_regex", True):
             raise ValueError(f"{path_a}: not byte-level, or adds a blank of its own")
         self.length_a, self.length_b = (np.array([len(t) for t in bytes_]) for bytes_ in (self.bytes_a, self.bytes_b))
-        self.known_b = {}
         # ids that ascend with the merges are ranks: then the same vocabulary runs on a faster engine where both cut alike
         merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
         self.fast = None
@@ -70,48 +66,26 @@ class Tokenizers:
             ranks = {self.bytes_a[i]: i for i in vocab.values() if i not in special}
             self.fast = tiktoken.Encoding("a", pat_str=PRE_TOKEN.pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def _ids_a(self, part):
-        if self.fast and _PLAIN.fullmatch(part):
-            return array("I", self.fast.encode_ordinary(part)).tobytes()  # its tokens are byte strings, all of the part
-        return self._spelt(self.a.encode(part, add_special_tokens=False).ids, self.bytes_a, part)
-
-    def _ids_b(self, part):
-        """Ids chunk by chunk, a blank and what follows; those of short chunks are remembered."""
-        known, chunks = self.known_b, _CHUNK.findall(part)
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        # B puts no blank in front of nothing
-        ids = zip(new, self.b.encode([c[1:] for c in new], num_threads=1) if new else ())
-        found = {c: self._spelt(i if len(c) > 1 else [self.b.piece_to_id(_MARK)], self.bytes_b, c) for c, i in ids}
-        if len(known) > CACHED:
-            found.update((c, known[c]) for c in set(chunks) if c in known)
-            self.known_b = known = {}
-        if any(len(c) > LONGEST_CACHED for c in found):
-            out = [found[c] if c in found else known[c] for c in chunks]
-            known.update((c, i) for c, i in found.items() if len(c) <= LONGEST_CACHED)
-            return out
-        known.update(found)
-        return map(known.__getitem__, chunks)
-
-    @staticmethod
-    def _spelt(ids, spelling, piece):
-        """Ids as 32-bit numbers; None where the tokens do not spell the piece."""
-        same = b"".join(map(spelling.__getitem__, ids)) == piece.encode("utf-8", "replace")
-        return array("I", ids).tobytes() if same else None
-
     def encode(self, text):
         """Ids of blank and text by A and by B, or None if either does not spell them. Long texts are encoded in parts, cut
         where no token can reach over, so the ids are those of the whole text."""
-        full, start, found_a, found_b = " " + text, 0, [], []
+        full, start, ids_a, ids_b = " " + text, 0, array("I"), array("I")
         while start < len(full):
             cut = _CUT.search(full, start + SLICE) if len(full) - start > SLICE else None
             end = cut.end() if cut else len(full)
-            found_a.append(self._ids_a(full[start:end]))
-            found_b += self._ids_b(full[start:end])
+            part = full[start:end]
+            if self.fast and _PLAIN.fullmatch(part):
+                ids_a.extend(self.fast.encode_ordinary(part))
+            else:
+                ids_a.extend(self.a.encode(part, add_special_tokens=False).ids)
+            ids_b.extend(self.b.encode(part[1:]))
             start = end
-        try:
-            return tuple(np.frombuffer(b"".join(found), np.uint32).astype(np.int64) for found in (found_a, found_b))
-        except TypeError:  # a piece that is not spelt
-            return None
+        # the fast engine's tokens are byte strings, all of the text
+        data, whole = full.encode("utf-8", "replace"), self.fast and _PLAIN.fullmatch(full)
+        for ids, spelling in ((ids_b, self.bytes_b), *(() if whole else ((ids_a, self.bytes_a),))):
+            if b"".join(map(spelling.__getitem__, ids)) != data:
+                return None
+        return np.array(ids_a, np.int64), np.array(ids_b, np.int64)
 
 
 _LOADED = {}
