@@ -29,7 +29,7 @@ TIMEFRAME_SECONDS = {
 # Bars per year for the widths that are ingested.
 BARS_PER_YEAR = {"1h": 8760, "4h": 2190, "1d": 365}
 
-DEFAULT_PAIRS = ("BTC/USDT", "ETH/USDT", "BNB/USDT", "ADA/USDT")
+# The bar widths that are ingested unless others are named.
 DEFAULT_TIMEFRAMES = ("1h", "4h", "1d")
 
 

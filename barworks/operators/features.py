@@ -10,6 +10,7 @@ from barworks.functions.schema import KEYS, VALUES, feature_row
 from barworks.operators.positions import attach, block_window, blocks, number_rows, with_facts
 
 SEQUENCE_LENGTH = 50
+BLOCK_SEQUENCES = 1024
 
 
 def series_median(df, columns, keys=KEYS, accuracy=10000):
@@ -115,6 +116,37 @@ def sequences(df, length=SEQUENCE_LENGTH, features=None, keys=KEYS, whole_sets=F
     return cut(blocks(rows, length), block_window(keys=keys), features, length, 0, keys, F.col("_at"), ("split",))
 
 
+def sequence_blocks(df, length=SEQUENCE_LENGTH, features=None, keys=KEYS, whole_sets=False, size=BLOCK_SEQUENCES):
+    """The sequences of `sequences`, up to `size` of them as one block of rows that they share.
+
+    A block has keys, split, `first_seq_no`, `rows` (feature rows in order) and `targets`: sequence i of the block is
+    rows i to i + length - 1 with target i, a strided view for whoever reads it (`unfold` in Spark, a sliding window in an
+    Arrow or numpy reader). So a row is written once, and the `length` rows between two blocks twice, instead of `length` times.
+    """
+    features, size = features or default_features(df, keys), max(size, length)
+    name, at, _ = split_columns()
+    rows = number_rows(df.select(*keys, "timestamp", *dict.fromkeys([*features, "close"])), keys=keys)
+    if whole_sets:
+        rows = rows.where(long_enough(F.col("n"), length))
+    rows = rows.select(*keys, name.alias("split"), at.alias("_at"), feature_row(features).alias("x"), "close")
+    # the first `length` rows of a block finish sequences of the block before
+    home, into = F.floor(F.col("_at") / F.lit(size)), F.col("_at") % F.lit(size)
+    both = F.when((into < length) & (home > 0), F.array(home - 1, home)).otherwise(F.array(home))
+    packed = rows.withColumn("_blk", F.explode(both)).groupBy(*keys, "split", "_blk").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "x", "close"))).alias("_rows"))
+    packed = packed.where(F.size("_rows") > length)
+    return packed.select(*keys, "split", (F.col("_blk") * size).alias("first_seq_no"),
+                         F.transform(F.slice("_rows", 1, F.size("_rows") - 1), lambda r: r["x"]).alias("rows"),
+                         F.transform(F.slice("_rows", length + 1, size), lambda r: r["close"]).alias("targets"))
+
+
+def unfold(blocks_, length=SEQUENCE_LENGTH):
+    """The sequences of `sequence_blocks`, a row each, as `sequences` gives them."""
+    rest = [c for c in blocks_.columns if c not in ("first_seq_no", "rows", "targets")]
+    one = blocks_.select(*rest, "first_seq_no", "rows", F.posexplode("targets").alias("_i", "target"))
+    return one.select(*rest, (F.col("first_seq_no") + F.col("_i")).alias("seq_no"), F.slice("rows", F.col("_i") + 1, length).alias("sequence"), "target")
+
+
 def long_enough(n, length):
     """Do train, validation and test each hold more rows than one sequence."""
     train, val = F.floor(n.cast("double") * F.lit(0.8)), F.floor(n.cast("double") * F.lit(0.1))

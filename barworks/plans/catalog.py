@@ -627,6 +627,12 @@ def _(spark, sf):
     return shown(ft.sequences(view(spark, sf, "bars_hour"), 50), "split")
 
 
+# blocks of 64 sequences, each a view of the block's rows
+@register("sequence_blocks_50", ["bars_hour"], f"WITH {split_sql('bars_hour')}" + seq_sql("sp", 50, ", split"))
+def _(spark, sf):
+    return shown(ft.unfold(ft.sequence_blocks(view(spark, sf, "bars_hour"), 50, size=64), 50), "split")
+
+
 @register("datasets", ["bars_hour"], f"WITH {split_sql('bars_hour')}" + seq_sql(
     "sp", 50, ", split", where="least(tr, va, n - tr - va) > 50"))
 def _(spark, sf):

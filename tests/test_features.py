@@ -1,5 +1,6 @@
 import statistics
 
+import numpy as np
 import pytest
 from conftest import column
 
@@ -24,6 +25,21 @@ def test_sequences_stay_in_their_split(bars, layout):
         assert r.target == float(first + 4)
 
 
+def test_blocks_of_sequences_hold_each_row_once(bars, layout):
+    df = bars(range(300))
+    blocks = ft.sequence_blocks(df, 4, ["close", "open"], size=32)
+    shape = ["pair", "timeframe", "split", "seq_no", "sequence", "target"]
+    assert sorted(map(str, ft.unfold(blocks, 4).select(shape).collect())) == sorted(
+        map(str, ft.sequences(df, 4, ["close", "open"]).select(shape).collect()))
+    held = blocks.collect()
+    assert max(len(r.targets) for r in held) == 32 and all(len(r.rows) == len(r.targets) + 3 for r in held)
+    assert sum(len(r.rows) for r in held) < 1.2 * 300
+    # a reader's view of a block
+    r = held[0]
+    views = np.lib.stride_tricks.sliding_window_view(np.array(r.rows), 4, axis=0).swapaxes(1, 2)
+    assert views.shape == (len(r.targets), 4, 2) and views[1][0].tolist() == r.rows[1]
+
+
 def test_extended_sequences_skip_one_row(bars, spark, layout):
     ids = ft.series_ids(spark, ["X/Y", "A/B"], ["1d", "1h"])
     got = ft.sequences_ext(bars(range(30)), *ids, length=5, features=["close"]).orderBy("seq_no").collect()
