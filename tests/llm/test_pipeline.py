@@ -35,5 +35,5 @@ def test_stages_take_odd_documents(spark, docs):
 
 
 def test_each_operator_has_a_query():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(ORACLES) <= set(QUERIES)
