@@ -1,11 +1,13 @@
 """Near-duplicate documents by SimHash: fingerprints, pigeonhole blocks, Hamming distance, connected groups."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barworks.llm.common import keyed_groups, near_groups, numbered, stored, table
+from barworks.llm.common import hamming, keyed_groups, near_groups, numbered, stored, table
 from barworks.llm.words import mixed
 from barworks.session import settle
 
@@ -15,12 +17,17 @@ N_BLOCKS = 7
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 KEEP_SHINGLE = 5  # words, for `keep_one`
 SIMILARITY = 0.8  # share of common shingles, for `keep_one`
-SKETCH = 64  # least hashes of a text
+BITS = 512  # of a fingerprint for `keep_one`
+RADIUS = 116  # differing bits that `keep_one` still compares: 4.7 standard deviations over what the least share leads to
+MISSED = 0.001  # share of pairs that differ in as many bits as the least share leads to on average and agree in no choice of bits
+SPARE_BITS = 5  # bits of a choice beyond those that number the texts: a text meets an unlike one in about one choice of 2**5
+MOST_BITS = 32
 PAIRS_PER_COPY = 256
-_LONGS = [f"s{i}" for i in range(SKETCH // 8)]
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-# texts that share four fifths of their shingles have about 51 of 64 least hashes in common, so 8 of them under nearly any 40 choices
-_CHOICES = [np.random.default_rng(i).choice(SKETCH, 8, replace=False) for i in range(40)]
+_WORDS = [f"w{i}" for i in range(BITS // 64)]
+# 8 bytes each: a shingle's places on 256 random axes
+_AXES = np.random.default_rng(5).integers(0, 1 << 63, BITS // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FOLD = _AXES[:BITS // 64]
+_LOT = 1 << 12  # shingles whose places are added up at a time
 _STEP = 1 << 18  # shingles hashed before their bits are added up
 
 
@@ -84,26 +91,64 @@ def shingles(text, words_per_shingle):
     return np.unique(mixed(out))
 
 
-def _sketched(words_per_shingle):
-    """Row, doc_id, hash of the shingles, and least hashes of them, a byte each."""
+def wide_fingerprint(found):
+    """SimHash of a set of shingles with BITS bits, as longs: on which side of so many random planes the sum of the shingles lies.
+
+    A shingle has a byte from -128 to 127 per plane instead of a sign, so that sets of a few shingles, whose signs would often
+    cancel out, differ in as many bits as large ones: two sets in about acos(cosine) / pi of them.
+    """
+    total = np.zeros(BITS, np.int64)
+    for at in range(0, len(found), _LOT):
+        places = mixed(found[at:at + _LOT, None] * _AXES).view(np.int8)
+        total += places.sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * total + len(found) > 0, bitorder="little").view("<i8")  # a byte is -1/2 on average
+
+
+def _wide_fingerprints(words_per_shingle):
+    """Row, doc_id, hash of the shingles (0 for none), and their fingerprint."""
     def run(batches):
         for batch in batches:
-            out = np.zeros((batch.num_rows, SKETCH), np.uint8)
+            out = np.zeros((batch.num_rows, len(_WORDS)), np.int64)
             ids = np.zeros(batch.num_rows, np.int64)
             for i, text in enumerate(batch.column(2)):
                 found = shingles(text.as_py(), words_per_shingle)
                 if len(found):
                     ids[i] = xxhash.xxh64_intdigest(found.astype("<u8").tobytes()) - (1 << 63)
-                    out[i] = mixed(np.concatenate([(found * f).min(keepdims=True) for f in _FACTORS])) & np.uint64(255)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids), *map(pa.array, out.view("<i8").T)],
-                                             ["_row", "doc_id", "id", *_LONGS])
+                    out[i] = wide_fingerprint(found)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids), *map(pa.array, out.T)],
+                                             ["_row", "doc_id", "id", *_WORDS])
     return run
 
 
-def _sketch_keys(rows):
-    sketch = np.stack([rows[c].to_numpy() for c in _LONGS], axis=1).astype("<i8").view(np.uint8)
-    return np.stack([mixed(np.ascontiguousarray(sketch[:, chosen]).view("<u8").ravel() ^ mixed(np.full(1, i + 1, np.uint64)))
-                     for i, chosen in enumerate(_CHOICES)])
+def bit_choices(count, similarity):
+    """Masks of the bits that must agree, a row per choice, for `count` fingerprints.
+
+    Sets that share `similarity` of their shingles have a cosine of 2s / (1 + s) if they are of one size, at least, so a bit
+    agrees with the share 1 - acos / pi. A choice takes so many bits that unlike texts seldom agree, and there are so many
+    choices that like ones agree in one of them.
+    """
+    agree = 1 - math.acos(min(1, 2 * similarity / (1 + similarity))) / math.pi
+    n_bits = min(MOST_BITS, max(1, count).bit_length() + SPARE_BITS)
+    n_choices = math.ceil(-math.log(MISSED) / agree ** n_bits)
+    masks = np.zeros((n_choices, BITS), np.uint8)
+    for i, mask in enumerate(masks):
+        mask[np.random.default_rng(i).choice(BITS, n_bits, replace=False)] = 1
+    return np.packbits(masks, axis=1, bitorder="little").view("<u8")
+
+
+def _bit_keys(masks):
+    """A row of keys per choice of bits."""
+    def keys(rows):
+        words = [rows[c].to_numpy().view(np.uint64) for c in _WORDS]
+        out = np.empty((len(masks), len(rows)), np.uint64)
+        for i, mask in enumerate(masks):
+            key = np.full(len(rows), i + 1, np.uint64)
+            for word, m, factor in zip(words, mask, _FOLD):
+                key = (key ^ (word & m)) * factor
+                key ^= key >> np.uint64(32)
+            out[i] = mixed(key)
+        return out
+    return keys
 
 
 def _alike(words_per_shingle, similarity):
@@ -133,19 +178,20 @@ def _with_texts(pairs, texts):
 def keep_one(docs, words_per_shingle=KEEP_SHINGLE, similarity=SIMILARITY):
     """The documents without their near duplicates: of each group the row of the smallest doc_id stays.
 
-    Texts link when the share of common shingles of `words_per_shingle` words (Jaccard, of different ones) reaches
-    `similarity`: pairs that agree in one of the choices of least hashes are compared by their shingles. Texts without
-    words link with each other. Words are split at blanks, ASCII letters in lower case. Of repeated rows with that id the
-    first one stored stays; if a group has no id at all, its first row. All columns of `docs` are kept.
+    Candidates are texts whose SimHash fingerprints (of the different shingles of `words_per_shingle` words, 512 bits) agree in
+    one of the choices of bits and differ in at most RADIUS of all. They link when the share of common shingles (Jaccard, of
+    different ones) reaches `similarity`. Texts without words link with each other. Words are split at blanks, ASCII letters in
+    lower case. Of repeated rows with that id the first one stored stays; if a group has no id at all, its first row. All
+    columns of `docs` are kept.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]  # no column of the documents can clash
     at = {c.lower(): n for c, n in zip(docs.columns, names)}
     own = stored(numbered(docs.toDF(*names)))
     rows = own.select("_row", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["text"]).cast("string").alias("text"))
-    schema = ", ".join(f"{c} long" for c in ("_row", "doc_id", "id", *_LONGS))
-    prints = rows.mapInArrow(_sketched(words_per_shingle), schema)
+    schema = ", ".join(f"{c} long" for c in ("_row", "doc_id", "id", *_WORDS))
+    prints = rows.mapInArrow(_wide_fingerprints(words_per_shingle), schema)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("best")
-    distinct = settle(prints.groupBy("id").agg(best, *[F.max(c).alias(c) for c in _LONGS], F.count("*").alias("n")))
+    distinct = settle(prints.groupBy("id").agg(best, *[F.max(c).alias(c) for c in _WORDS], F.count("*").alias("n")))
 
     def verify(pairs):
         pairs = settle(pairs)
@@ -154,8 +200,10 @@ def keep_one(docs, words_per_shingle=KEEP_SHINGLE, similarity=SIMILARITY):
         texts = settle(rows.select("_row", "text").join(places, "_row").select("id", "text"))
         return _with_texts(pairs, texts).select("a", "b", "ta", "tb").mapInArrow(_alike(words_per_shingle, similarity), "a long, b long")
 
-    items = distinct.where("id <> 0").select("id", F.lit(0).cast("long").alias("fp"), "n", *_LONGS)
-    groups = keyed_groups(items, len(_CHOICES), _sketch_keys, F.lit(True), verify)
+    items = distinct.where("id <> 0").select("id", F.struct(*_WORDS).alias("fp"), "n", *_WORDS)
+    differing = sum(hamming(F.col(f"fp.{c}"), F.col(f"fp2.{c}")) for c in _WORDS)
+    masks = bit_choices(items.count(), similarity)
+    groups = keyed_groups(items, len(masks), _bit_keys(masks), differing <= RADIUS, verify)
     kept = (distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
             .groupBy(F.coalesce("component", "id").alias("component")).agg(F.min("best").alias("best"))
             .select(F.col("best._row").alias("_row")))

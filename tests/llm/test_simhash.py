@@ -166,6 +166,37 @@ def test_keep_one_finds_what_brute_force_finds(docs, prose):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
 
 
+def test_keep_one_takes_candidates_by_fingerprints(docs, prose, monkeypatch):
+    """The items that are grouped carry SimHash fingerprints, and the keys are bits of these alone."""
+    seen, keyed_groups = {}, simhash.keyed_groups
+
+    def spied(items, n_keys, keys_of, close, verify):
+        rows = items.toArrow()
+        seen["prints"], seen["keys"] = [tuple(r.values()) for r in rows["fp"].to_pylist()], keys_of(rows)
+        return keyed_groups(items, n_keys, keys_of, close, verify)
+    monkeypatch.setattr(simhash, "keyed_groups", spied)
+    texts = [prose(200, 1, 3000), prose(200, 2, 3000)]
+    simhash.keep_one(docs(list(enumerate(texts)))).count()
+    found = [simhash.wide_fingerprint(simhash.shingles(t, 5)) for t in texts]
+    assert sorted(map(tuple, found)) == sorted(seen["prints"])
+    assert 200 < np.bitwise_count(found[0] ^ found[1]).sum() < 312
+    assert seen["keys"].shape[1] == 2
+
+
+def test_wide_fingerprints_meet_at_the_least_share():
+    """Pairs of sets at exactly 0.8, of a few shingles up to hundreds: within the radius, and in a choice of bits."""
+    rng, masks = np.random.default_rng(1), simhash.bit_choices(100_000, 0.8)
+    missed = far = 0
+    for i in range(300):
+        n = (4, 8, 40, 400)[i % 4]
+        values = rng.integers(0, 1 << 63, n + n // 4, dtype=np.uint64) * np.uint64(2)
+        a, b = (values, values[:n]) if i % 8 < 4 else (values[n // 8:], values[:n + n // 8])
+        x, y = (simhash.wide_fingerprint(v).view(np.uint64) for v in (a, b))
+        far += np.bitwise_count(x ^ y).sum() > simhash.RADIUS
+        missed += not ((x & masks) == (y & masks)).all(axis=1).any()
+    assert far == 0 and missed <= 9
+
+
 def test_no_plan_multiplies_rows(spark):
     plan = simhash.op1_simhash(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
