@@ -15,13 +15,15 @@ from barworks.llm.common import numbered, table
 
 LIMIT = 2048
 BLOCK_BYTES = 32 << 20  # text of a block of documents
+POSTING_BYTES = 16 << 20  # text of a block whose postings are made: some twenty bytes of arrays for each
 BLOCK_CHUNKS = 600_000  # different chunks of a block
 BLOCK_ROWS = 1 << 15
 SPECIAL = " "  # stands for a special string among pre-tokens, which hold no space
 MOST = (1 << 15) - 1  # largest count of one entry
 HELD = 1 << 20  # documents a task sums up before it sends the sums
 
-_SPACES = str.maketrans("\n\t", "  ")
+#: A pattern that takes a run of letters whole, unless a sign that is none stands among them.
+_LETTERS_WHOLE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Below this sign normal forms are the signs themselves and letters are the same in every Unicode version.
 _PLAIN_END = "\u0250"
 
@@ -55,11 +57,13 @@ def _cutter(path):
              and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and "Regex" in cuts[0]["pattern"]
              and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"])
     find = regex.compile(cuts[0]["pattern"]["Regex"]).findall if known else None
+    whole = known and cuts[0]["pattern"]["Regex"] == _LETTERS_WHOLE
     signs = {b: s for s, b in bytes_of_signs().items()}
 
     def cut(chunk):
-        if known and chunk and max(chunk) < _PLAIN_END and chunk.isprintable():
-            words = find(chunk.lower())
+        if known and chunk and (chunk.isascii() or max(chunk) < _PLAIN_END) and chunk.isprintable():
+            lower = chunk.lower()
+            words = [lower] if whole and lower.isalpha() else find(lower)
             return words if chunk.isascii() else [w.encode().decode("latin-1").translate(signs) for w in words]
         normal = tok.normalizer.normalize_str(chunk) if tok.normalizer else chunk
         return [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)]
@@ -71,12 +75,16 @@ def n_pieces(word, path):
     return 1 if word == SPECIAL else len(_tokenizer(path).model.tokenize(word))
 
 
+def _split(text):
+    return text.replace("\n", " ").replace("\t", " ").split(" ")
+
+
 def _chunks(text, special):
     """Pieces between spaces, and the number of special strings."""
     parts = special.split(text) if special else [text]
     if len(parts) == 1:
-        return text.translate(_SPACES).split(" "), 0
-    return [c for part in parts for c in part.translate(_SPACES).split(" ")], len(parts) - 1
+        return _split(text), 0
+    return [c for part in parts for c in _split(part)], len(parts) - 1
 
 
 class _Names:
@@ -118,7 +126,7 @@ class _Postings:
         self.size += len(text)
 
     def full(self):
-        return (self.size >= BLOCK_BYTES or len(self.codes) >= BLOCK_CHUNKS or len(self.rows) >= BLOCK_ROWS
+        return (self.size >= POSTING_BYTES or len(self.codes) >= BLOCK_CHUNKS or len(self.rows) >= BLOCK_ROWS
                 or self.rows[-1] - self.rows[0] >= BLOCK_ROWS - 1)
 
     def batches(self):

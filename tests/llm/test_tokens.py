@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from llm.conftest import ODD
 from tokenizers import Tokenizer
 
@@ -52,6 +53,33 @@ def test_plain_cuts_are_the_librarys():
         assert list(cut(chunk)) == [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)]
 
 
+def test_blocks_of_postings_are_bounded_by_their_text():
+    block = token_counts._Postings(WORDS)
+    block.add(0, "word " * 3_000_000)
+    assert not block.full()
+    block.add(1, "word " * 400_000)
+    assert block.full()
+
+
+def test_runs_of_letters_are_cut_without_the_pattern(monkeypatch):
+    """A chunk of letters is its own pre-token, for which the pattern need not be searched."""
+    searched, compiled = [], regex.compile
+
+    class Spied:
+        def __init__(self, pattern):
+            self.find = compiled(pattern).findall
+
+        def findall(self, text):
+            searched.append(text)
+            return self.find(text)
+    monkeypatch.setattr(token_counts.regex, "compile", Spied)
+    cut, tok = token_counts._cutter.__wrapped__(WORDS), token_counts._tokenizer(WORDS)
+    chunks = ["Words", "\u00c4rger", "it's", "\u0130x", "a1", "don", "\u01c5\u02b0"]
+    for chunk in chunks:
+        assert list(cut(chunk)) == [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(tok.normalizer.normalize_str(chunk))]
+    assert searched == ["it's", "\u0130x".lower(), "a1"]
+
+
 def test_ids_are_the_librarys():
     library, merges = Tokenizer.from_file(BYTES), bpe.merge_list(BYTES)
     for _, text in mixes(1500, 2):
