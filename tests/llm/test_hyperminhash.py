@@ -99,3 +99,24 @@ def test_chance_collisions_are_corrected():
 def test_query_on_the_small_tables(spark):
     rows = [(r.doc_id, r.text) for r in common.table(spark, SMALL, "documents").collect()]
     assert found(hyperminhash.op12_hyperminhash(spark, SMALL)) == brute(rows)
+
+
+def test_registers_are_gone_when_sets_are_compared(spark, docs, prose, monkeypatch):
+    """Of the tables in the shared folder only that of the sets to compare may still hold registers."""
+    kept, stored_table, links = [], common.stored_table, hyperminhash._links
+    monkeypatch.setattr(common, "stored_table", lambda df: kept.append(stored_table(df)) or kept[-1])
+    monkeypatch.setattr(hyperminhash, "stored_table", common.stored_table, raising=False)
+
+    def held():
+        for path in kept:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+                yield set(spark.read.parquet(path).columns)
+
+    def spied(*given):
+        edges = links(*given)
+        assert [c for c in held() if "registers" in c and "hashes" not in c] == []
+        return edges
+    monkeypatch.setattr(hyperminhash, "_links", spied)
+    assert hyperminhash.near_duplicates(docs([(i, prose(60, i // 2)) for i in range(10)])).where("kept").count() == 5
+    assert kept
