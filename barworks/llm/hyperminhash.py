@@ -20,7 +20,11 @@ MANTISSA = 11  # bits; the leading zeros take the other 5 of a register
 BAND = 5  # registers; 25 bands miss a pair at the least share once in 2 million
 SLACK = 0.19  # six standard deviations of an estimate from 128 registers at the least share
 BLOCK_SETS = 1024  # sets of a band that meet in one task
-BLOCK_HASHES = 1 << 22  # shingles of such sets
+BLOCK_HASHES = 1 << 21  # shingles of such sets
+SETS_AT_ONCE = 16  # sets whose registers are compared with all of a block's at a time
+SHINGLES_AT_ONCE = 1024
+LINKS_AT_ONCE = 1 << 16
+KNOWN_WORDS = 1 << 17  # words whose hash a worker remembers
 FILTER_SIZE = 1 << 20  # numbers at most in the filter that goes to the tasks
 
 _UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -35,7 +39,7 @@ class _Words(dict):
     """Hashes of words, computed once each."""
 
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word, 42)
         return value
@@ -140,7 +144,7 @@ def _band_keys(rows):
 
 def common_shingles(sets, rows, columns):
     """How many elements each set of `rows` shares with each of `columns`: products of 0-1 matrices over the elements that
-    several of the sets have, some thousand at a time."""
+    several of the sets have, SHINGLES_AT_ONCE of them at a time."""
     which = np.unique(np.concatenate((rows, columns)))
     values = np.concatenate([sets[i] for i in which])
     owner = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
@@ -153,9 +157,9 @@ def common_shingles(sets, rows, columns):
     at, owner = at[order], owner[order]
     r, c = np.searchsorted(which, rows), np.searchsorted(which, columns)
     out = np.zeros((len(rows), len(columns)), np.float32)
-    for start in range(0, int(several.sum()), 4096):
-        i, j = np.searchsorted(at, (start, start + 4096))
-        held = np.zeros((len(which), 4096), np.float32)
+    for start in range(0, int(several.sum()), SHINGLES_AT_ONCE):
+        i, j = np.searchsorted(at, (start, start + SHINGLES_AT_ONCE))
+        held = np.zeros((len(which), SHINGLES_AT_ONCE), np.float32)
         held[owner[i:j], at[i:j] - start] = 1
         out += held[r] @ held[c].T
     return out.astype(np.int64)
@@ -171,22 +175,24 @@ def _hangs_together(percent):
         registers, ids = _registers(rows["registers"]), rows["id"].to_numpy()
         sets = [np.frombuffer(h, "<u8") for h in rows["hashes"].to_pylist()]
         sizes = np.array([len(x) for x in sets])
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for start in range(0, len(one), 64):
-            mine = one[start:start + 64]
+        a, b = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for start in range(0, len(one), SETS_AT_ONCE):
+            mine = one[start:start + SETS_AT_ONCE]
             agree = (registers[mine][:, None] == registers[other][None]).mean(axis=2)
             chance = expected_collisions(np.repeat(sizes[mine], len(other)).astype(float), np.tile(sizes[other], len(mine)).astype(float))
             chance = chance.reshape(agree.shape)
             i, j = np.nonzero(((agree - chance) / (1 - chance) >= least) & (mine[:, None] != other[None]))
-            a.append(mine[i])
-            b.append(other[j])
+            a.append(mine[i].astype(np.int32))
+            b.append(other[j].astype(np.int32))
         a, b = np.concatenate(a), np.concatenate(b)
         if len(a):
             r, c = np.unique(a), np.unique(b)
             shared = common_shingles(sets, r, c)[np.searchsorted(r, a), np.searchsorted(c, b)]
             linked = 100 * shared >= percent * (sizes[a] + sizes[b] - shared)
             a, b = a[linked], b[linked]
-        return pa.Table.from_batches([_lowest(ids[a], ids[b])])
+        lots = [_lowest(ids[a[i:i + LINKS_AT_ONCE]], ids[b[i:i + LINKS_AT_ONCE]]) for i in range(0, max(1, len(a)), LINKS_AT_ONCE)]
+        together = pa.Table.from_batches(lots)
+        return pa.Table.from_batches([_lowest(together["v"].to_numpy(), together["p"].to_numpy())])
     return run
 
 
@@ -242,7 +248,8 @@ def _links(keyed, sets, banded, n_words, percent):
                   .select("text").mapInArrow(_full_sets(n_words), "id long, registers binary, hashes binary"))
     met = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", "id", "block", F.least("block", "_with").alias("near"), F.greatest("block", "_with").alias("far"))
-    links = met.join(full, "id").groupBy("key", "near", "far").applyInArrow(_hangs_together(percent), "v long, p long")
+    # stored, as one task would otherwise hold two Python workers, this step's and that of what reads the links
+    links = stored(met.join(full, "id").groupBy("key", "near", "far").applyInArrow(_hangs_together(percent), "v long, p long"))
     return links.select(F.col("v").alias("a"), F.col("p").alias("b"))
 
 

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from llm.conftest import ODD
@@ -120,3 +122,32 @@ def test_registers_are_gone_when_sets_are_compared(spark, docs, prose, monkeypat
     monkeypatch.setattr(hyperminhash, "_links", spied)
     assert hyperminhash.near_duplicates(docs([(i, prose(60, i // 2)) for i in range(10)])).where("kept").count() == 5
     assert kept
+
+
+def test_links_come_from_a_table_and_not_from_a_second_worker_in_the_task(spark, docs, prose, monkeypatch):
+    plans, links = [], hyperminhash._links
+
+    def spied(*given):
+        edges = links(*given)
+        plans.append(edges._jdf.queryExecution().toString())
+        return edges
+    monkeypatch.setattr(hyperminhash, "_links", spied)
+    assert hyperminhash.near_duplicates(docs([(i, prose(60, i // 2)) for i in range(10)])).where("kept").count() == 5
+    assert len(plans) == 1 and "InArrow" not in plans[0]
+
+
+def test_comparing_a_block_takes_little_memory():
+    """Blocks of 1024 sets against each other: what Python holds beside the sets keeps to some tens of MB."""
+    rng = np.random.default_rng(2)
+    base = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2))
+    sets = [np.unique(np.concatenate((base[i % 7:], rng.integers(0, 1 << 63, 6, dtype=np.uint64) * np.uint64(2)))) for i in range(2048)]
+    table = pa.table({"block": np.repeat([0, 1], 1024), "far": np.ones(2048, np.int64), "id": np.arange(2048),
+                      "registers": pa.array([hyperminhash.sketch(s).astype("<u2").tobytes() for s in sets], pa.binary()),
+                      "hashes": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())})
+    tracemalloc.start()
+    try:
+        got = hyperminhash._hangs_together(85)(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.num_rows == 2047 and peak < 100e6
