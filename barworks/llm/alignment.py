@@ -1,8 +1,8 @@
 """How two tokenizers cut the same texts: groups between common ends, links of overlapping tokens, counts of linked ids.
 
 Equal texts are brought together by their full text and tokenised once; a pair of ids counts each text as often as documents
-hold it. Texts travel in blocks. A block asks once for the count of every pair that it holds, whatever the pair's frequency,
-and is tokenised again when the answers are there: that moves less than its tokens would.
+hold it. Texts are measured in blocks. A block asks once for the count of every pair that it holds, whatever the pair's
+frequency. Its links travel as numbers of its pairs, so no text is tokenised again when the answers are there.
 """
 
 import hashlib
@@ -24,6 +24,7 @@ BLOCK_BYTES = 8 << 20  # text that shares one list of pairs
 SLICE = 1 << 18  # characters of a text that are tokenised at a time
 CACHED = 500_000  # pieces of text whose ids a worker remembers
 LONGEST_CACHED = 64  # characters of such a piece
+KEY_BYTES = 32  # of a text's SHA-256
 PER_BUCKET = 1 << 21  # pairs asked for in one task
 
 _PLAIN = re.compile("[\t-\r -~\xa0-ɏ]*")  # signs that all versions of the letter tables know alike
@@ -164,29 +165,43 @@ def _signs(tokenizers):
     return np.array([f"{i}{sep}" for i in range(n) for sep in ",|;"], "S")
 
 
-_FIRST = "block long, key binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, texts binary, pairs binary, weights binary"
+_FIRST = "block long, key binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, pairs binary, weights binary"
 _NAMES = [f.split()[0] for f in _FIRST.split(", ")]
 _TYPES = [{"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[f.split()[1]] for f in _FIRST.split(", ")]
 
 
+def _packed_links(keys, links):
+    """Keys of texts and their links, numbers of pairs, as bytes: like bytes of all numbers side by side, which packs well."""
+    sizes = np.array([len(x) for x in links], "<i8")
+    planes = np.concatenate(links).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(b"".join([len(keys).to_bytes(8, "little"), *keys, sizes.tobytes(), planes.tobytes()]), 3)
+
+
+def _unpacked_links(held):
+    """Keys of texts, where the links of each end, and all links."""
+    raw = zstandard.decompress(held)
+    n = int.from_bytes(raw[:8], "little")
+    keys = [raw[at:at + KEY_BYTES] for at in range(8, 8 + KEY_BYTES * n, KEY_BYTES)]
+    at = 8 + KEY_BYTES * n
+    planes = np.frombuffer(raw, np.uint8, offset=at + 8 * n).reshape(4, -1)
+    return keys, np.cumsum(np.frombuffer(raw, "<i8", n, at)), np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _measured(paths):
-    """Texts of a task, in blocks: a row per text with what it measures itself, then a row of the block with its texts, its
+    """Texts of a task, in blocks: a row per text with what it measures itself, then a row of the block with its links, its
     different pairs in order and how many documents of the block hold each."""
-    def block_row(block, texts, keys, pairs, weights):
+    def block_row(block, keys, pairs, links, weights):
+        sizes = [len(p) for p in pairs]
         pairs, at = np.unique(np.concatenate(pairs), return_inverse=True)
-        weights = np.bincount(at, np.concatenate(weights)).astype("<i8") if len(pairs) else np.zeros(0, "<i8")
-        held = pa.BufferOutputStream()
-        lot = pa.record_batch([pa.array(keys, pa.binary()), pa.array(texts, pa.large_string())], ["key", "text"])
-        with pa.ipc.new_stream(held, lot.schema) as stream:
-            stream.write_batch(lot)
-        texts = zstandard.compress(held.getvalue(), 3)
-        return [(block, None, None, None, None, None, None, texts, pairs.astype("<i8").tobytes(), weights.tobytes())]
+        held = _packed_links(keys, [own[x] for own, x in zip(np.split(at.astype("<u4"), np.cumsum(sizes)[:-1]), links)])
+        weights = np.bincount(at, np.repeat(weights, sizes)).astype("<i8")
+        return [(block, None, None, None, None, None, None, held, pairs.astype("<i8").tobytes(), weights.tobytes())]
 
     def run(batches):
         both = _tokenizers(*paths)
         signs, n_b = _signs(both), len(both.bytes_b)
         number, size = count(TaskContext.get().partitionId() << 24), 0
-        block, texts, keys, pairs, weights = next(number), [], [], [], []
+        block, keys, pairs, links, weights = next(number), [], [], [], []
         for batch in batches:
             rows = []
             for key, text, copies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
@@ -196,19 +211,19 @@ def _measured(paths):
                     continue
                 found = Alignment(ids, both)
                 rows.append((block, key, len(found.a), len(found.b), len(found.common), len(found.link_a), found.digest(signs), None, None, None))
-                own = np.unique(found.link_a * n_b + found.link_b)
-                texts.append(text)
+                own, at = np.unique(found.link_a * n_b + found.link_b, return_inverse=True)
                 keys.append(key)
                 pairs.append(own)
-                weights.append(np.full(len(own), copies))
+                links.append(at.astype(np.uint32))
+                weights.append(copies)
                 size += len(text)
                 if size >= BLOCK_BYTES:
-                    rows += block_row(block, texts, keys, pairs, weights)
-                    block, size, texts, keys, pairs, weights = next(number), 0, [], [], [], []
+                    rows += block_row(block, keys, pairs, links, weights)
+                    block, size, keys, pairs, links, weights = next(number), 0, [], [], [], []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _NAMES)
-        if texts:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block_row(block, texts, keys, pairs, weights)), _TYPES)], _NAMES)
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block_row(block, keys, pairs, links, weights)), _TYPES)], _NAMES)
     return run
 
 
@@ -244,23 +259,18 @@ def _answers(asked, known):
     return pa.table([asked["bucket"], asked["block"], pa.array(out, pa.binary())], ["bucket", "block", "counts"])
 
 
-def _summed(paths, n_buckets):
+def _summed(n_buckets):
     """Per text of a block the links whose count is the highest of their A id, and the sum of all counts."""
     def run(block, answers):
         keys, bests, sums = [], [], []
         if block.num_rows:
-            both = _tokenizers(*paths)
-            n_b, pairs = len(both.bytes_b), np.frombuffer(block["pairs"][0].as_py(), "<i8")
+            pairs = np.frombuffer(block["pairs"][0].as_py(), "<i8")
             counts, bucket = np.zeros(len(pairs), np.int64), pairs % n_buckets
             for own, given in zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()):
                 counts[bucket == own] = np.frombuffer(given, "<i8")
-            lot = pa.ipc.open_stream(zstandard.decompress(block["texts"][0].as_py())).read_all()
-            for key, text in zip(lot["key"].to_pylist(), lot["text"]):
-                found = Alignment(both.encode(text.as_py()), both)
-                mine = counts[np.searchsorted(pairs, found.link_a * n_b + found.link_b)]
-                keys.append(key)
-                bests.append(int((mine < 0).sum()))
-                sums.append(int(np.abs(mine).sum()))
+            keys, ends, links = _unpacked_links(block["links"][0].as_py())
+            mine = counts[links]
+            bests, sums = (np.diff(np.cumsum(x, dtype=np.int64)[ends - 1], prepend=0) for x in (mine < 0, np.abs(mine)))
         return pa.table([pa.array(keys, pa.binary()), pa.array(bests, pa.int64()), pa.array(sums, pa.int64())], ["key", "n_best", "count_sum"])
     return run
 
@@ -320,8 +330,8 @@ def measures(docs, path_a, path_b):
     requests = blocks.select("block", "pairs").mapInArrow(_requests(n_buckets), "bucket int, block long, pairs binary")
     answers = (requests.groupBy("bucket").cogroup(counts.groupBy("bucket"))
                .applyInArrow(_answers, "bucket int, block long, counts binary"))
-    sums = (blocks.select("block", "texts", "pairs").groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_summed(paths, n_buckets), "key binary, n_best long, count_sum long"))
+    sums = (blocks.select("block", "links", "pairs").groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(_summed(n_buckets), "key binary, n_best long, count_sum long"))
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     known = own.select("key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256").join(sums, "key")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.col("text").cast("string"), 256)).alias("key"))

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -129,3 +130,16 @@ def test_groups_spell_the_text(spark, docs):
 def test_query_on_the_small_tables(spark, tools):
     rows = [(r.doc_id, r.text) for r in common.table(spark, SMALL, "documents").collect()]
     assert found(alignment.op11_alignment(spark, SMALL)) == brute(rows, tools)
+
+
+def test_texts_are_tokenised_once(spark, docs, prose, tools, monkeypatch):
+    """Links, not texts, wait for the counts; packed and unpacked they are the same."""
+    tables, stored = [], alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, **options: tables.append(df.columns) or stored(df, **options))
+    df = common.stored(docs([(i, prose(20, i % 7)) for i in range(20)]))
+    assert alignment.measures(df, *PATHS).count() == 20
+    assert "links" in tables[0] and not any("text" in c for columns in tables for c in columns)
+    rng = np.random.default_rng(1)
+    links = [rng.integers(0, 1 << 32, n, dtype=np.uint32) for n in (1, 300, 7)]
+    keys, ends, flat = alignment._unpacked_links(alignment._packed_links([bytes([i]) * 32 for i in range(3)], links))
+    assert keys == [bytes([i]) * 32 for i in range(3)] and ends.tolist() == [1, 301, 308] and (flat == np.concatenate(links)).all()
