@@ -23,6 +23,7 @@ MISSED = 0.001  # share of pairs that differ in as many bits as the least share
 SPARE_BITS = 5  # bits of a choice beyond those that number the texts: a text meets an unlike one in about one choice of 2**5
 MOST_BITS = 32
 PAIRS_PER_COPY = 256
+KEY_TURNS = 4  # shares of the choices of bits whose keys are shuffled at a time
 _WORDS = [f"w{i}" for i in range(BITS // 64)]
 # 8 bytes each: a shingle's places on 256 random axes
 _AXES = np.random.default_rng(5).integers(0, 1 << 63, BITS // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,13 +137,13 @@ def bit_choices(count, similarity):
     return np.packbits(masks, axis=1, bitorder="little").view("<u8")
 
 
-def _bit_keys(masks):
-    """A row of keys per choice of bits."""
+def _bit_keys(masks, first=0):
+    """A row of keys per choice of bits; `first` is the number of the first one."""
     def keys(rows):
         words = [rows[c].to_numpy().view(np.uint64) for c in _WORDS]
         out = np.empty((len(masks), len(rows)), np.uint64)
         for i, mask in enumerate(masks):
-            key = np.full(len(rows), i + 1, np.uint64)
+            key = np.full(len(rows), first + i + 1, np.uint64)
             for word, m, factor in zip(words, mask, _FOLD):
                 key = (key ^ (word & m)) * factor
                 key ^= key >> np.uint64(32)
@@ -203,7 +204,9 @@ def keep_one(docs, words_per_shingle=KEEP_SHINGLE, similarity=SIMILARITY):
     items = distinct.where("id <> 0").select("id", F.struct(*_WORDS).alias("fp"), "n", *_WORDS)
     differing = sum(hamming(F.col(f"fp.{c}"), F.col(f"fp2.{c}")) for c in _WORDS)
     masks = bit_choices(items.count(), similarity)
-    groups = keyed_groups(items, len(masks), _bit_keys(masks), differing <= RADIUS, verify)
+    keys, each = _bit_keys(masks), -(-len(masks) // KEY_TURNS)
+    keys.turns = [_bit_keys(masks[i:i + each], i) for i in range(0, len(masks), each)]
+    groups = keyed_groups(items, len(masks), keys, differing <= RADIUS, verify)
     kept = (distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
             .groupBy(F.coalesce("component", "id").alias("component")).agg(F.min("best").alias("best"))
             .select(F.col("best._row").alias("_row")))

@@ -200,3 +200,13 @@ def test_wide_fingerprints_meet_at_the_least_share():
 def test_no_plan_multiplies_rows(spark):
     plan = simhash.op1_simhash(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_choices_of_bits_take_turns(spark, docs, prose, monkeypatch):
+    """The keys of a part of the choices are shuffled at a time, and every choice has its turn."""
+    asked, members = [], common._members
+    monkeypatch.setattr(common, "_members", lambda items, n, keys_of: asked.append(n) or members(items, n, keys_of))
+    rows = [(i, prose(60, i // 2) + (" more" if i % 2 else "")) for i in range(40)]
+    kept = simhash.keep_one(docs(rows)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 40, 2))
+    assert len(asked) == 4 and max(asked) <= min(asked) + 1
