@@ -99,6 +99,7 @@ def hamming(a, b):
 
 EDGES_PER_LOT = 1 << 20
 HOP_SALTS = 8
+LINKS_PER_TASK = 1 << 17
 _LINKS = "v long, p long"
 
 
@@ -138,13 +139,15 @@ def components(edges):
     `edges` has two long columns a, b; nulls and edges of a node to itself link nothing. Every round each node takes its
     smallest known node as parent, its other ones are linked to that parent, and parents of parents are followed, so a chain
     halves each round in whatever order its nodes stand. Before a round is written, each task joins the edges it holds in
-    lots, so a node has one link a lot however many edges it has, and a parent of many is met under `HOP_SALTS` salts.
-    Rounds go through Parquet in the shared folder (a checkpoint would hand its plan on to the next round), and a
-    table goes once the next is written. The driver sees two counts a round.
+    lots, so a node has one link a lot however many edges it has, and a parent of many is met under `HOP_SALTS` salts. Few links
+    are written by few tasks, however many partitions a shuffle has, so that more of them meet in a lot. Rounds go through Parquet
+    in the shared folder (a checkpoint would hand its plan on to the next round), and a table goes once the next is written. The
+    driver sees two counts a round.
     """
     spark = edges.sparkSession
     known = stored_table(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("p"))
                          .mapInArrow(_lots_joined, _LINKS))
+    n_links = spark.read.parquet(known).count()
     while True:
         links = spark.read.parquet(known)
         up = links.groupBy("v").agg(F.min("p").alias("up"), F.count("*").alias("n"))
@@ -156,10 +159,11 @@ def components(edges):
         sideways = (links.join(several, "v").where(F.col("p") > F.col("up"))
                     .select(F.col("p").alias("v"), F.col("up").alias("p"), F.lit(True).alias("moved")))
         seen = Observation()
-        following = stored_table(jumped.unionByName(sideways).observe(seen, F.count_if("moved").alias("moved"), F.count("*").alias("n"))
+        few = max(spark.sparkContext.defaultParallelism, n_links // LINKS_PER_TASK)
+        following = stored_table(jumped.unionByName(sideways).coalesce(few).observe(seen, F.count_if("moved").alias("moved"), F.count("*").alias("n"))
                                  .select("v", "p").mapInArrow(_lots_joined, _LINKS))
         dropped(spark, known)
-        known = following
+        known, n_links = following, seen.get["n"]
         if not seen.get["moved"]:
             break
     links = spark.read.parquet(known).distinct()
@@ -238,4 +242,4 @@ def keyed_groups(items, n_keys, keys_of, close, verify=None, done=None, lots=1):
         dropped(spark, path)
     if rest.isEmpty():
         return found
-    return components(stars.union(rest))
+    return components(found.toDF("a", "b").union(rest))  # what the stars link is linked to the least of its group already

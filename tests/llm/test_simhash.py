@@ -202,6 +202,28 @@ def test_no_plan_multiplies_rows(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_few_links_are_joined_in_few_rounds_and_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has, a hot group's links meet in a few lots."""
+    rng, written, stored_table = random.Random(3), [], common.stored_table
+
+    def spied(df, **options):
+        path = stored_table(df, **options)
+        written.append(len(spark.read.parquet(path).inputFiles()))
+        return path
+    monkeypatch.setattr(common, "stored_table", spied)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    edges = [(i, rng.randrange(max(0, i - 30), i)) for i in range(1, 600)] + [(i, rng.randrange(i)) for i in range(1, 600)]
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = common.components(spark.createDataFrame(edges, "a long, b long").repartition(40))
+        assert {(r.node, r.component) for r in found.collect()} == {(i, 0) for i in range(600)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(written[1:]) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_choices_of_bits_take_turns(spark, docs, prose, monkeypatch):
     """The keys of a part of the choices are shuffled at a time, and every choice has its turn."""
     asked, members = [], common._members
