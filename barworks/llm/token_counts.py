@@ -1,4 +1,4 @@
-"""Token counts: pieces are counted once per distinct pre-token and joined to the pre-token counts of documents."""
+"""Token counts: pieces are counted once per distinct pre-token of a group of blocks, with the pre-token counts of its documents."""
 
 import json
 import re
@@ -14,10 +14,12 @@ from barworks.llm.bpe import bytes_of_signs
 from barworks.llm.common import numbered, table
 
 LIMIT = 2048
-BLOCK_BYTES = 32 << 20  # text of a block of documents
 POSTING_BYTES = 16 << 20  # text of a block whose postings are made: some twenty bytes of arrays for each
 BLOCK_CHUNKS = 600_000  # different chunks of a block
 BLOCK_ROWS = 1 << 15
+GROUP_BLOCKS = 16  # blocks whose postings meet
+SLOTS = 32  # shares of the pre-tokens of such a group
+SLOT_ROWS = 1 << 13  # postings of a slot that are unpacked at a time
 SPECIAL = " "  # stands for a special string among pre-tokens, which hold no space
 MOST = (1 << 15) - 1  # largest count of one entry
 HELD = 1 << 20  # documents a task sums up before it sends the sums
@@ -88,59 +90,62 @@ def _chunks(text, special):
 
 
 class _Names:
-    """Different pre-tokens of the documents a task reads, block by block."""
+    """Different pre-tokens of the documents of a block."""
 
     def __init__(self, path):
-        self.path, self.chunks, self.specials, self.size = path, set(), 0, 0
+        self.path, self.codes, self.specials, self.size = path, defaultdict(), [], 0
+        self.codes.default_factory = self.codes.__len__
 
     def add(self, row, text):
         chunks, specials = _chunks(text, _special(self.path))
-        self.chunks.update(chunks)
-        self.specials += specials
+        codes = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
+        self.specials.append(specials)
         self.size += len(text)
+        return codes
 
-    def full(self):
-        return self.size >= BLOCK_BYTES or len(self.chunks) >= BLOCK_CHUNKS
+    def cut(self):
+        """Numbers of the pre-tokens of each chunk, one after the other, how many a chunk has, and the pre-tokens by number."""
+        cut, names = _cutter(self.path), defaultdict()
+        names.default_factory = names.__len__
+        cuts = [cut(c) for c in self.codes]
+        self.codes.clear()
+        sizes = np.array([len(c) for c in cuts], np.int64)
+        return np.fromiter((names[w] for c in cuts for w in c), np.int64, int(sizes.sum())), sizes, names
 
     def batches(self):
-        cut = _cutter(self.path)
-        names = {w for c in self.chunks for w in cut(c)} | ({SPECIAL} if self.specials else set())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["word"])
+        names = self.cut()[2]
+        if any(self.specials):
+            names[SPECIAL]
+        yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string())], ["word"])
 
 
-class _Postings:
+class _Postings(_Names):
     """For each pre-token of a block the documents that hold it, and how often.
 
     An entry is the document's step from the block's first row; a negative number before it says how often, if not once.
     """
 
     def __init__(self, path):
-        self.path, self.codes, self.rows, self.docs, self.specials, self.size = path, defaultdict(), [], [], [], 0
-        self.codes.default_factory = self.codes.__len__
+        super().__init__(path)
+        self.rows, self.docs = [], []
 
     def add(self, row, text):
-        chunks, specials = _chunks(text, _special(self.path))
         self.rows.append(row)
-        self.docs.append(np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks)) << 16 | (row - self.rows[0]))
-        self.specials.append(specials)
-        self.size += len(text)
+        self.docs.append(super().add(row, text) << 16 | (row - self.rows[0]))
 
     def full(self):
         return (self.size >= POSTING_BYTES or len(self.codes) >= BLOCK_CHUNKS or len(self.rows) >= BLOCK_ROWS
                 or self.rows[-1] - self.rows[0] >= BLOCK_ROWS - 1)
 
     def batches(self):
-        cut, names = _cutter(self.path), defaultdict()
-        names.default_factory = names.__len__
-        cuts = [cut(c) for c in self.codes]
-        chunk = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
-        word = np.fromiter((names[w] for c in cuts for w in c), np.int64, len(chunk))
+        word, per_chunk, names = self.cut()
+        chunk = np.repeat(np.arange(len(per_chunk)), per_chunk)
         pairs = np.concatenate(self.docs)
         self.docs = []
         pairs.sort()
         new = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
         pairs, n = pairs[new], np.diff(np.append(new, len(pairs)))
-        at = np.searchsorted(pairs >> 16, np.arange(len(cuts) + 1))  # pairs of each chunk
+        at = np.searchsorted(pairs >> 16, np.arange(len(per_chunk) + 1))  # pairs of each chunk
         sizes = (at[1:] - at[:-1])[chunk]
         place = np.arange(sizes.sum()) + np.repeat(at[:-1][chunk] - (np.cumsum(sizes) - sizes), sizes)
         keys, counts = np.repeat(word, sizes) << 16 | pairs[place] & 0xFFFF, n[place]
@@ -170,28 +175,33 @@ class _Postings:
             yield batch.slice(start, 1 << 15)
 
 
-def _blocks(path, kind):
-    """A `kind` of block of all documents that a task reads, one after the other."""
+def _postings(path):
+    """Postings of all documents that a task reads, block after block, with the number of the block in its task."""
     def run(batches):
-        block, some = kind(path), False
+        block, turn = _Postings(path), 0
+
+        def made():
+            for batch in block.batches():
+                yield batch.append_column("turn", pa.array(np.full(batch.num_rows, turn), pa.int64()))
+
         for batch in batches:
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(row, text.as_py() or "")
-                some = True
                 if block.full():
-                    yield from block.batches()
-                    block, some = kind(path), False
-        if some:
-            yield from block.batches()
+                    yield from made()
+                    block, turn = _Postings(path), turn + 1
+        if block.rows:
+            yield from made()
     return run
 
 
-def _count(path):
-    def run(batches):
-        for batch in batches:
-            words = batch.column(0)
-            yield pa.RecordBatch.from_arrays(
-                [words, pa.array([n_pieces(w, path) for w in words.to_pylist()], pa.int32())], ["word", "pieces"])
+def _slot_sums(path):
+    """Sums of the documents of each block over the postings of a slot; a pre-token that several blocks sent is counted once."""
+    def run(rows):
+        words = rows["word"].combine_chunks().dictionary_encode()
+        pieces = np.array([n_pieces(w, path) for w in words.dictionary.to_pylist()], np.int32)[words.indices.to_numpy()]
+        joined = rows.select(["block", "docs"]).append_column("pieces", pa.array(pieces))
+        return pa.Table.from_batches(_sums(joined.to_batches(SLOT_ROWS)))
     return run
 
 
@@ -251,16 +261,18 @@ def token_counts(docs, path, limit=LIMIT):
     Other columns are not read; an empty table gives no rows.
 
     Blocks of documents send each distinct pre-token once, with the documents that hold it, so the commonest pre-token
-    has a row per block, not per document, and the join may split even that. No ids are made: a pre-token's pieces are
-    counted where it is distinct, and counts are summed before they go back to the documents.
+    has a row per block, not per document. GROUP_BLOCKS blocks send theirs to the same SLOTS slots by hash, which nobody else
+    uses, so a slot has a bounded number of documents to sum up, and a document gets a bounded number of sums, however many
+    there are in all. No ids are made: a pre-token's pieces are counted once in its slot.
     """
     rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     texts = rows.select("_row", "text")
-    postings = texts.mapInArrow(_blocks(path, _Postings), "block long, word string, docs binary")
-    words = texts.mapInArrow(_blocks(path, _Names), "word string").distinct()
-    pieces = words.mapInArrow(_count(path), "word string, pieces int")
-    joined = postings.join(pieces, "word").select("block", "docs", "pieces")
-    sums = joined.mapInArrow(_sums, "block long, sums binary").groupBy("block").applyInArrow(_totals, "_row long, n_tokens long")
+    postings = texts.mapInArrow(_postings(path), "block long, word string, docs binary, turn long")
+    # blocks of neighbouring tasks that each task made at the same turn; the task's number is in the upper bits of the row's
+    group = F.floor(F.shiftright("block", 33) / F.lit(GROUP_BLOCKS)).alias("group")
+    slots = postings.select(group, "turn", F.pmod(F.xxhash64("word"), F.lit(SLOTS)).alias("slot"), "block", "word", "docs")
+    summed = slots.groupBy("group", "turn", "slot").applyInArrow(_slot_sums(path), "block long, sums binary")
+    sums = summed.groupBy("block").applyInArrow(_totals, "_row long, n_tokens long")
     sizes = rows.select("_row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return (sizes.join(sums, "_row", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("long")))
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

@@ -80,6 +80,29 @@ def test_runs_of_letters_are_cut_without_the_pattern(monkeypatch):
     assert searched == ["it's", "\u0130x".lower(), "a1"]
 
 
+def test_documents_get_a_bounded_number_of_sums(spark, docs, prose, monkeypatch):
+    """What a slot sums up are the documents of its own blocks, so all sums together grow with the documents and not with their square."""
+    monkeypatch.setattr(token_counts, "GROUP_BLOCKS", 2)
+    monkeypatch.setattr(token_counts, "SLOTS", 3)
+    rows = [(i, prose(40, i)) for i in range(240)]
+    library, totals, seen = Tokenizer.from_file(WORDS), token_counts._totals, spark.sparkContext.accumulator(0)
+
+    def counted(found):
+        seen.add(found.num_rows)
+        return totals(found)
+    monkeypatch.setattr(token_counts, "_totals", counted)
+    df = common.stored(docs(rows).repartition(4))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, WORDS).collect()}
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert found == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    assert 0 < seen.value <= 3 * 4  # SLOTS rows a block at most, however many tasks share the pre-tokens
+
+
 def test_ids_are_the_librarys():
     library, merges = Tokenizer.from_file(BYTES), bpe.merge_list(BYTES)
     for _, text in mixes(1500, 2):
