@@ -19,11 +19,11 @@ KEEP_SHINGLE = 5  # words, for `keep_one`
 SIMILARITY = 0.8  # share of common shingles, for `keep_one`
 BITS = 512  # of a fingerprint for `keep_one`
 RADIUS = 116  # differing bits that `keep_one` still compares: 4.7 standard deviations over what the least share leads to
-MISSED = 0.001  # share of pairs that differ in as many bits as the least share leads to on average and agree in no choice of bits
-SPARE_BITS = 5  # bits of a choice beyond those that number the texts: a text meets an unlike one in about one choice of 2**5
+MISSED = 0.001  # share of the pairs with just the least share of shingles that agree in no choice of bits, at any number of texts
+SPARE_BITS = 6  # bits of a choice beyond those that number the texts: a text meets an unlike one in about one choice of 2**6
 MOST_BITS = 32
 PAIRS_PER_COPY = 256
-KEY_TURNS = 4  # shares of the choices of bits whose keys are shuffled at a time
+KEY_TURNS, CHOICES_PER_TURN = 4, 80  # shares of the choices of bits whose keys are shuffled at a time, at least so many, and their size at most
 _WORDS = [f"w{i}" for i in range(BITS // 64)]
 # 8 bytes each: a shingle's places on 256 random axes
 _AXES = np.random.default_rng(5).integers(0, 1 << 63, BITS // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -121,6 +121,26 @@ def _wide_fingerprints(words_per_shingle):
     return run
 
 
+def _n_choices(n_bits, differ):
+    """How many choices of `n_bits` it takes until only MISSED of the pairs whose bits differ with the share `differ` agree in none.
+
+    Pairs differ in more bits or fewer than on average, and those that differ in more are most of the missed ones.
+    """
+    if not differ:
+        return 1
+    bits = np.arange(BITS + 1)
+    logs = np.concatenate(([0], np.cumsum(np.log(np.arange(1, BITS + 1)))))
+    share = np.exp(logs[BITS] - logs - logs[::-1] + bits * math.log(differ) + (BITS - bits) * math.log1p(-differ))
+    other = 1 - np.prod(np.maximum(0, 1 - bits[:, None] / (BITS - np.arange(n_bits))), axis=1)  # a choice has one of the bits that differ
+    low, high = 0, 1
+    while share @ other ** high > MISSED:
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if share @ other ** middle > MISSED else (low, middle)
+    return high
+
+
 def bit_choices(count, similarity):
     """Masks of the bits that must agree, a row per choice, for `count` fingerprints.
 
@@ -128,10 +148,9 @@ def bit_choices(count, similarity):
     agrees with the share 1 - acos / pi. A choice takes so many bits that unlike texts seldom agree, and there are so many
     choices that like ones agree in one of them.
     """
-    agree = 1 - math.acos(min(1, 2 * similarity / (1 + similarity))) / math.pi
+    differ = math.acos(min(1, 2 * similarity / (1 + similarity))) / math.pi
     n_bits = min(MOST_BITS, max(1, count).bit_length() + SPARE_BITS)
-    n_choices = math.ceil(-math.log(MISSED) / agree ** n_bits)
-    masks = np.zeros((n_choices, BITS), np.uint8)
+    masks = np.zeros((_n_choices(n_bits, differ), BITS), np.uint8)
     for i, mask in enumerate(masks):
         mask[np.random.default_rng(i).choice(BITS, n_bits, replace=False)] = 1
     return np.packbits(masks, axis=1, bitorder="little").view("<u8")
@@ -204,7 +223,7 @@ def keep_one(docs, words_per_shingle=KEEP_SHINGLE, similarity=SIMILARITY):
     items = distinct.where("id <> 0").select("id", F.struct(*_WORDS).alias("fp"), "n", *_WORDS)
     differing = sum(hamming(F.col(f"fp.{c}"), F.col(f"fp2.{c}")) for c in _WORDS)
     masks = bit_choices(items.count(), similarity)
-    keys, each = _bit_keys(masks), -(-len(masks) // KEY_TURNS)
+    keys, each = _bit_keys(masks), min(CHOICES_PER_TURN, -(-len(masks) // KEY_TURNS))
     keys.turns = [_bit_keys(masks[i:i + each], i) for i in range(0, len(masks), each)]
     groups = keyed_groups(items, len(masks), keys, differing <= RADIUS, verify)
     kept = (distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from conftest import SMALL
 from llm.conftest import ODD
@@ -197,6 +198,17 @@ def test_wide_fingerprints_meet_at_the_least_share():
     assert far == 0 and missed <= 9
 
 
+@pytest.mark.parametrize("count", [100, 60_000, 4_000_000])
+def test_choices_of_bits_miss_no_more_pairs_of_larger_tables(count):
+    """Of pairs at the least share, counted with those that differ in more bits than on average."""
+    rng, masks = np.random.default_rng(4), simhash.bit_choices(count, 0.8)
+    differ = np.arccos(1.6 / 1.8) / np.pi
+    bits = np.packbits(rng.random((4000, simhash.BITS)) < differ, axis=1, bitorder="little").view("<u8")
+    missed = sum(not (x & masks == 0).all(axis=1).any() for x in bits)
+    assert missed <= 12
+    assert len(simhash.bit_choices(count, 1)) == 1
+
+
 def test_no_plan_multiplies_rows(spark):
     plan = simhash.op1_simhash(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
