@@ -269,8 +269,13 @@ def _flags(df):
     return issue_flags() if {"open", "high", "low", "close", "volume"} <= set(df.columns) else none
 
 
-def _described(measured):
-    """Files of such a table: path, rows, times, zone of pairs, bytes, digests."""
+def _described(spark, root, number):
+    """Files of a write, from the states it left: path, rows, times, zone of pairs, bytes, digests."""
+    return _of_files(spark.read.parquet(f"{root}/states/{number}"))
+
+
+def _of_files(measured):
+    """Files of a table of states, as `_described`."""
     return measured.groupBy("path", "bytes").agg(
         F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"),
         F.min("pair").alias("low"), F.max("pair").alias("high"), F.sum("digest_sum").alias("digest_sum"),
@@ -293,9 +298,8 @@ def _written(df, root, partition_by, layer=None):
     observed = seen.get
     if not observed["rows"]:
         return None
-    states = f"{root}/states/{number}"
-    _measured(_scan(spark, root, [f"write={number}"], df.schema)).write.parquet(states)
-    back = _described(spark.read.parquet(states))
+    _measured(_scan(spark, root, [f"write={number}"], df.schema)).write.parquet(f"{root}/states/{number}")
+    back = _described(spark, root, number)
     keys = [(F.col(k) if k in partition_by else F.lit(None).cast("string")).alias(k) for k in KEYS]
     back.select("path", *keys, "write", F.lit(layer).cast("long").alias("layer"), "rows", "first", "last", "low", "high", "bytes",
                 "digest_sum", "digest_xor", F.lit(False).alias("gone")).write.parquet(f"{root}/manifests/{name}")
@@ -331,7 +335,7 @@ def _damaged(spark, root, files):
         by_write.setdefault(r.write, []).append(r.path)
     for write, paths in by_write.items():
         held = spark.read.option("basePath", f"{root}/writes/write={write}").parquet(f"{root}/writes/{paths[0]}").schema
-        now = _described(_measured(_scan(spark, root, paths, held))).select(
+        now = _of_files(_measured(_scan(spark, root, paths, held))).select(
             "path", F.col("rows").alias("found"), F.col("digest_sum").alias("_sum"), F.col("digest_xor").alias("_xor"))
         both = files.where(F.col("write") == write).join(now, "path", "left")
         same = (F.col("rows") == F.col("found")) & (F.col("digest_sum") == F.col("_sum")) & (F.col("digest_xor") == F.col("_xor"))
